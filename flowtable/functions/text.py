@@ -12,10 +12,13 @@ LINE_BREAK = r"\r\n|\n|\r"
 def text_lines(text: Column) -> Column:
     """Lines of a text the way a buffered line reader yields them: no final
     empty line after a trailing terminator; an empty text has no lines."""
-    parts = F.split(text, LINE_BREAK, -1)
-    return F.when(
-        F.element_at(parts, -1) == F.lit(""), F.slice(parts, 1, F.size(parts) - 1)
-    ).otherwise(parts)
+    body = F.regexp_replace(text, r"(?:\r\n|\n|\r)\z", "")
+    return F.when(text == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK, -1))
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element fold)."""
+    return F.aggregate(F.array(value), F.lit(None), lambda _acc, v: body(v))
 
 
 def java_regex_groups(spark: SparkSession, regex: str) -> int:

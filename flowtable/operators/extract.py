@@ -15,7 +15,7 @@ from flowtable.functions.text import java_regex_groups, text_lines
 
 def nth_match_value(text: Column, regex: str, occurrence: int, group_support: bool,
                     has_group: bool = True) -> Column:
-    """Struct(found, value) of the ``occurrence``-th regex match over the lines of ``text``.
+    """Struct(cnt, value, hit) of the ``occurrence``-th regex match over the lines of ``text``.
 
     Matches are counted across lines (zero-length ones too). The line that holds
     match k gives the value: group 1 (or the whole line) of the *last* match on
@@ -29,22 +29,25 @@ def nth_match_value(text: Column, regex: str, occurrence: int, group_support: bo
     if occurrence <= 0 or (group_support and not has_group):
         # Counter starts at 1 and only grows: k <= 0 is never reached; a missing
         # group 1 fails on assignment, which yields no value.
-        return F.struct(F.lit(False).alias("found"), F.lit(None).cast("string").alias("value"))
+        return F.struct(F.lit(0).cast("long").alias("cnt"), F.lit(None).cast("string").alias("value"),
+                        F.lit(False).alias("hit"))
 
     def step(acc: Column, line: Column) -> Column:
+        def advance(total: Column) -> Column:
+            if group_support:
+                picked = F.element_at(F.regexp_extract_all(line, F.lit(regex), 1), -1)
+            else:
+                picked = line
+            reached = F.struct(total.alias("cnt"), picked.alias("value"), F.lit(True).alias("hit"))
+            pending = F.struct(total.alias("cnt"), F.lit(None).cast("string").alias("value"),
+                               F.lit(False).alias("hit"))
+            return F.when(total >= k, reached).otherwise(pending)
+
+        # Lines after the hit are not scanned; the match count is bound once per line.
         n = F.size(F.regexp_extract_all(line, F.lit(regex), 0)).cast("long")
-        total = acc["cnt"] + n
-        if group_support:
-            picked = F.element_at(F.regexp_extract_all(line, F.lit(regex), 1), -1)
-        else:
-            picked = line
-        reached = F.struct(total.alias("cnt"), picked.alias("value"), F.lit(True).alias("hit"))
-        pending = F.struct(total.alias("cnt"), F.lit(None).cast("string").alias("value"),
-                           F.lit(False).alias("hit"))
-        return F.when(acc["hit"], acc).when(total >= k, reached).otherwise(pending)
+        return F.when(acc["hit"], acc).otherwise(F.aggregate(F.array(acc["cnt"] + n), init, lambda _a, t: advance(t)))
 
-    folded = F.aggregate(lines, init, step)
-    return F.struct(F.coalesce(folded["hit"], F.lit(False)).alias("found"), folded["value"].alias("value"))
+    return F.aggregate(lines, init, step)
 
 
 def nth_match(df: DataFrame, key_cols: Sequence[str], text_col: str, regex: str, occurrence: int,
@@ -62,8 +65,11 @@ def nth_match(df: DataFrame, key_cols: Sequence[str], text_col: str, regex: str,
         return df.select(*keys, F.lit(False).alias("found"), F.lit(None).cast("string").alias("value"),
                          F.lit("failure").alias("route"))
     res = nth_match_value(F.col(text_col), regex, occurrence, group_support, groups >= 1)
-    return df.select(*keys, res["found"].alias("found"), res["value"].alias("value"),
-                     F.lit("success").alias("route"))
+    # The fold is projected once; fields are read from the projected struct.
+    out = df.select(*keys, res.alias("_nth"))
+    return out.select(*key_cols, F.coalesce(F.col("_nth.hit"), F.lit(False)).alias("found"),
+                      F.col("_nth.value").alias("value"),
+                      F.lit("success").alias("route"))
 
 
 @dataclass

@@ -33,3 +33,57 @@ FROM documents d LEFT JOIN hit ON d.doc_id = hit.doc_id
 def q_nth_match(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
     return nth_match(docs, ["doc_id"], "text", NTH_REGEX, NTH_K, group_support=True)
+
+
+# Definition tree: sentences (cropped: children see the last one), then words in it.
+DETECTORS = [
+    {"name": "sentence", "pattern": "[A-Z][^.!?]*[.!?]", "crop": "true",
+     "children": [{"name": "word", "pattern": "th[a-z]+"}]},
+]
+
+
+@query("nested_detect", oracle="""
+WITH s AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Z][^.!?]*[.!?]') AS sent FROM documents
+), c AS (
+  SELECT doc_id, sent, CASE WHEN len(sent) > 0 THEN sent[-1] ELSE text END AS crop FROM s
+), w AS (
+  SELECT doc_id, sent, regexp_extract_all(crop, 'th[a-z]+') AS words FROM c
+), det AS (
+  SELECT doc_id, 'sentence' AS path, 'sentence' AS name,
+         CAST(generate_subscripts(sent, 1) AS INTEGER) AS ordinal, unnest(sent) AS content FROM w
+  UNION ALL
+  SELECT doc_id, 'sentence/word', 'word', CAST(generate_subscripts(words, 1) AS INTEGER), unnest(words) FROM w
+)
+SELECT doc_id, path, name, ordinal, content, 'success' AS route FROM det
+UNION ALL
+SELECT doc_id, NULL, NULL, NULL, NULL, 'no_object_detected' FROM w WHERE len(sent) = 0 AND len(words) = 0
+""")
+def q_nested_detect(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    return nested_detect(docs, "doc_id", "text", DETECTORS)
+
+
+PHONE = "[0-9]{3}-[0-9]{4}"
+
+
+@query("extract_to", oracle=f"""
+SELECT doc_id,
+       CASE WHEN regexp_matches(text, '{PHONE}') THEN regexp_extract(text, '{PHONE}', 0) END AS phone,
+       CASE WHEN regexp_matches(text, '{PHONE}') THEN 'success' ELSE 'failure' END AS route
+FROM documents
+""")
+def q_extract_to(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return extract_to(docs, "text", PHONE, destination="attribute", attribute="phone").select("doc_id", "phone", "route")
+
+
+@query("extract_to_content", oracle=f"""
+SELECT doc_id,
+       CASE WHEN regexp_matches(text, '{PHONE}') THEN regexp_extract(text, '{PHONE}', 0) ELSE text END AS text,
+       CASE WHEN regexp_matches(text, '{PHONE}') THEN 'success' ELSE 'failure' END AS route
+FROM documents
+""")
+def q_extract_to_content(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return extract_to(docs, "text", PHONE, destination="content")
