@@ -44,9 +44,11 @@ def object_summary(df: DataFrame, name: str) -> DataFrame:
 
 def list_objects(spark: SparkSession, sf_dir: str, names: Sequence[str] = TABLES) -> DataFrame:
     """One row per available table: name, number of fields, number of rows."""
-    parts = [load(spark, sf_dir, n).agg(F.count(F.lit(1)).alias("n_rows"))
-             .select(F.lit(n).alias("object"), F.lit(len(load(spark, sf_dir, n).columns)).alias("n_fields"), "n_rows")
-             for n in names]
+    parts = []
+    for n in names:
+        df = load(spark, sf_dir, n)
+        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"))
+                     .select(F.lit(n).alias("object"), F.lit(len(df.columns)).alias("n_fields"), "n_rows"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -104,14 +106,16 @@ def typed_schema(fields: Sequence[tuple[str, str]]) -> T.StructType:
                          for n, t in fields])
 
 
-def build_extract_url(describes_df: DataFrame, base: str, table: str, last_sync: str,
+def build_extract_url(describes_df: DataFrame, base: str, table: str | Column, last_sync: str,
                       name_col: str = "sobject_name", fields_col: str = "fields_json") -> DataFrame:
     """Extract URL per describe: ``base + path + SELECT f,… FROM table WHERE
-    ts > last order by ts asc`` with every space turned into ``+``."""
+    ts > last order by ts asc`` with every space turned into ``+``. ``table``
+    is a fixed name or a column (e.g. the described object's own name)."""
     fields = parse_fields(F.col(fields_col))
     names = F.array_join(F.transform(fields, lambda f: f["name"]), ",")
-    q = F.concat(F.lit(base + EXTRACT_PATH + "SELECT "), names,
-                 F.lit(f" FROM {table} WHERE {EXTRACT_TS} > {last_sync} order by {EXTRACT_TS} asc"))
+    tbl = table if isinstance(table, Column) else F.lit(table)
+    q = F.concat(F.lit(base + EXTRACT_PATH + "SELECT "), names, F.lit(" FROM "), tbl,
+                 F.lit(f" WHERE {EXTRACT_TS} > {last_sync} order by {EXTRACT_TS} asc"))
     ok = fields.isNotNull() & (F.size(fields) > 0)
     return describes_df.select(
         F.col(name_col), F.when(ok, F.replace(q, F.lit(" "), F.lit("+"))).alias("url"),

@@ -99,15 +99,24 @@ def parse_pairs(df: DataFrame, col: str, out_col: str = "pairs", route_col: str
     ``failure`` with a null map; other rows are ``success``.
     """
     items = nonempty_split(F.col(col), ",")
-    toks = F.transform(items, lambda it: nonempty_split(it, "="))
-    bad = F.exists(toks, lambda t: F.size(t) < 2)
-    entries = F.transform(toks, lambda t: F.struct(t[0].alias("key"), t[1].alias("value")))
-    # keep an entry only when no later entry has the same key (last one wins)
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))),
-                                                      lambda o: o["key"] == e["key"]))
-    pairs = F.when(F.col(col).isNull(), F.lit(None)).when(bad, F.lit(None)).otherwise(F.map_from_entries(last))
-    route = F.when(F.col(col).isNotNull() & bad, F.lit("failure")).otherwise(F.lit("success"))
-    return df.withColumn(out_col, pairs).withColumn(route_col, route)
+    init = F.struct(F.array().cast("array<struct<key:string,value:string>>").alias("entries"),
+                    F.lit(False).alias("bad"))
+
+    def step(acc: Column, item: Column) -> Column:
+        def add(toks: Column) -> Column:
+            kept = F.filter(acc["entries"], lambda e: e["key"] != toks[0])
+            entry = F.struct(toks[0].alias("key"), toks[1].alias("value"))
+            return F.when(F.size(toks) < 2, F.struct(acc["entries"].alias("entries"), F.lit(True).alias("bad"))) \
+                    .otherwise(F.struct(F.concat(kept, F.array(entry)).alias("entries"), acc["bad"].alias("bad")))
+        # tokens bound once per item; a repeated key replaces the earlier entry
+        return F.aggregate(F.array(nonempty_split(item, "=")), acc, lambda _a, t: add(t))
+
+    folded = df.withColumn("_pp", F.aggregate(items, init, step))
+    ok = F.col(col).isNotNull() & ~F.col("_pp.bad")
+    return (folded.withColumn(out_col, F.when(ok, F.map_from_entries(F.col("_pp.entries"))))
+            .withColumn(route_col, F.when(F.col(col).isNotNull() & F.col("_pp.bad"), F.lit("failure"))
+                        .otherwise(F.lit("success")))
+            .drop("_pp"))
 
 
 def metric_json(df: DataFrame, object_col: str, value_col: str, agg: str = "max",

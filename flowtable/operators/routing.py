@@ -117,18 +117,23 @@ def busy_nodes(groups_df: DataFrame, queues_df: DataFrame, threshold: int = 10,
         F.col(queue_group).alias("_g"), F.col(queue_name).alias("queue"), F.col(queued).alias("count"))
     groups = groups_df.select(F.col(group_id).alias("_id"), F.col(parent_id).alias("_parent"),
                               F.col(name).alias("_name"))
-    # frontier: (queue row, group whose name is prepended next)
+    # frontier: (queue row, group whose name is prepended next). The frontier
+    # only shrinks, so one size check decides how every level joins.
     active = busy.select("_g", "queue", "count", F.lit(None).cast("string").alias("path"),
                          F.lit(-1).alias("depth"), F.col("_g").alias("_cur"))
+    bcast = fits_broadcast(active)
     finished: list[DataFrame] = []
+    levels: list[DataFrame] = []
     for level in range(max_depth + 1):
-        step = small_side(active).join(groups, F.col("_cur") == F.col("_id"), "inner").select(
+        left = F.broadcast(active) if bcast else active
+        step = left.join(groups, F.col("_cur") == F.col("_id"), "inner").select(
             "_g", "queue", "count",
             F.when(F.col("path").isNull(), F.col("_name"))
              .otherwise(F.concat_ws("/", F.col("_name"), F.col("path"))).alias("path"),
             (F.col("depth") + 1).alias("depth"), F.col("_parent").alias("_cur"))
-        if level % 4 == 3:
-            step = step.checkpoint()  # bound the lineage on deep trees
+        # each level is materialised once: the emptiness test and the next level reuse it
+        step = step.checkpoint() if level % 8 == 7 else step.persist()
+        levels.append(step)
         finished.append(step.where(F.col("_cur").isNull()))
         active = step.where(F.col("_cur").isNotNull())
         # stop once every chain reached a root (one small action per level)

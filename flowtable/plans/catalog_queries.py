@@ -6,6 +6,7 @@ import json
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtable.operators.catalog import (build_extract_url, describe_object, list_objects, object_summary,
@@ -118,12 +119,8 @@ SELECT table_name AS sobject_name,
 FROM cols GROUP BY table_name
 """)
 def q_build_extract_url(spark, sf_dir):
-    describes = schema_describes(spark, sf_dir)
     # the extracted object is the described one: one URL per table
-    out = []
-    for t in TABLES:
-        out.append(build_extract_url(describes.where(describes.sobject_name == t), EXTRACT_BASE, t, LAST_SYNC))
-    return reduce(DataFrame.unionByName, out)
+    return build_extract_url(schema_describes(spark, sf_dir), EXTRACT_BASE, F.col("sobject_name"), LAST_SYNC)
 
 
 # Configured limits per event type (a parameter table; 'refund' is never used).
