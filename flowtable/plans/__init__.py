@@ -7,6 +7,8 @@ from flowtable.plans import (  # noqa: F401  (modules register their queries)
     raster_queries,
     routing_queries,
     scoring_queries,
+    stage_queries,
+    stream_queries,
     sync_queries,
     text_queries,
 )
