@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 
 def _c(v) -> Column:
+    if isinstance(v, str):
+        return F.col(v)
     return v if isinstance(v, Column) else F.lit(v)
 
 

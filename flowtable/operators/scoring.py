@@ -39,11 +39,14 @@ def label_top1(df: DataFrame, scores_col: str, labels: Sequence[str] | Column, m
         scores = normalize(scores, mean, scale)
     idx = best_index(scores)
     names = labels if isinstance(labels, Column) else F.array(*[F.lit(x) for x in labels])
-    score = F.round(F.element_at(scores, idx).cast("double") * F.lit(100.0), digits)
+    # guard the lookups: a null index must not reach element_at (generated code
+    # would read it as a default integer)
+    has = F.col("_idx").isNotNull()
+    score = F.round(F.element_at(scores, F.col("_idx")).cast("double") * F.lit(100.0), digits)
     return (df.withColumn("_idx", idx)
             .withColumn("label_index", F.col("_idx") - 1)
-            .withColumn("label_name", F.element_at(names, F.col("_idx")))
-            .withColumn("label_score", score).drop("_idx"))
+            .withColumn("label_name", F.when(has, F.element_at(names, F.col("_idx"))))
+            .withColumn("label_score", F.when(has, score)).drop("_idx"))
 
 
 def top_k_annotations(df: DataFrame, key_cols: Sequence[str], feature_col: str, score_col: str,
