@@ -26,12 +26,23 @@ EXTRACT_PATH = "/services/data/v36.0/queryAll/?q="
 EXTRACT_TS = "SYSTEMMODSTAMP"
 
 
+DESCRIBE_SCHEMA = "object string, ordinal int, name string, type string, nullable boolean"
+
+
+def _describe_rows(df: DataFrame, name: str) -> list[tuple]:
+    return [(name, i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+
+
 def describe_object(df: DataFrame, name: str) -> DataFrame:
     """All fields of one object: object, ordinal (1-based), name, type, nullable.
     Built from the schema (metadata only; no data is read)."""
-    rows = [(name, i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(
-        rows, "object string, ordinal int, name string, type string, nullable boolean")
+    return df.sparkSession.createDataFrame(_describe_rows(df, name), DESCRIBE_SCHEMA)
+
+
+def describe_objects(spark: SparkSession, objects: dict[str, DataFrame]) -> DataFrame:
+    """``describe_object`` for many objects as one small local table."""
+    rows = [r for name, df in objects.items() for r in _describe_rows(df, name)]
+    return spark.createDataFrame(rows, DESCRIBE_SCHEMA)
 
 
 def object_summary(df: DataFrame, name: str) -> DataFrame:

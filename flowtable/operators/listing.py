@@ -107,7 +107,8 @@ def incremental_listing(files_df: DataFrame, state: ListingState, as_of_ms: int,
     4. new state: listed = max(listed, newest eligible), emitted = max(emitted, newest emitted).
 
     Returns ``(emitted_rows, new_state_row)``; both are lazy. ``L`` and the
-    maxima are scalar subqueries of the same plan (no collect, no cross join).
+    newest eligible time come from one scalar subquery (one aggregate pass,
+    no collect, no cross join).
     Write the state only after the output has been committed (at least once).
     """
     if min_age_ms is not None and max_age_ms is not None and min_age_ms > max_age_ms:
@@ -121,12 +122,16 @@ def incremental_listing(files_df: DataFrame, state: ListingState, as_of_ms: int,
         keep = keep & (age <= F.lit(int(max_age_ms)))
     eligible = files_df.where(keep)
     listed, emitted_wm = F.lit(int(state.listed_ms)), F.lit(int(state.emitted_ms))
-    candidates = eligible.where((mtime >= listed) & (mtime > emitted_wm))
-    newest = candidates.agg(F.max(mtime_col)).scalar()
-    out = candidates.where(F.when(newest == listed, F.lit(True)).otherwise(mtime < newest))
+    is_candidate = (mtime >= listed) & (mtime > emitted_wm)
+    # One aggregate pass gives the newest eligible time and the emit cut-off:
+    # hold back the newest candidate time, unless it equals `listed` (then emit all).
+    stats = eligible.agg(F.max(mtime).alias("all_max"), F.max(F.when(is_candidate, mtime)).alias("newest")).select(
+        F.struct("all_max", F.when(F.col("newest") == listed, F.col("newest") + 1)
+                 .otherwise(F.col("newest")).alias("cutoff")).alias("s")).scalar()
+    out = eligible.where(is_candidate & (mtime < stats["cutoff"]))
     spark = files_df.sparkSession
     new_state = spark.range(1).select(
-        F.greatest(listed, F.coalesce(eligible.agg(F.max(mtime_col)).scalar(), listed)).alias("listed_ms"),
+        F.greatest(listed, F.coalesce(stats["all_max"], listed)).alias("listed_ms"),
         F.greatest(emitted_wm, F.coalesce(out.agg(F.max(mtime_col)).scalar(), emitted_wm)).alias("emitted_ms"))
     return out, new_state
 

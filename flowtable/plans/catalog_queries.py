@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import json
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtable.operators.catalog import (build_extract_url, describe_object, list_objects, object_summary,
+from flowtable.operators.catalog import (build_extract_url, describe_objects, list_objects, object_summary,
                                          quota_usage, typed_ddl)
 from flowtable.plans.registry import query
 from flowtable.sources.tables import TABLES, load
@@ -52,8 +51,7 @@ SELECT table_name AS object, CAST(ordinal_position AS INTEGER) AS ordinal, colum
 FROM information_schema.columns WHERE table_name IN ({_IN_TABLES})
 """)
 def q_describe_object(spark, sf_dir):
-    parts = [describe_object(load(spark, sf_dir, t), t) for t in TABLES]
-    return reduce(DataFrame.unionByName, parts)
+    return describe_objects(spark, {t: load(spark, sf_dir, t) for t in TABLES})
 
 
 def _describe_type(i: int, f: T.StructField) -> str:
