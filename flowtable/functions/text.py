@@ -12,13 +12,14 @@ LINE_BREAK = r"\r\n|\n|\r"
 def text_lines(text: Column) -> Column:
     """Lines of a text the way a buffered line reader yields them: no final
     empty line after a trailing terminator; an empty text has no lines."""
-    body = F.regexp_replace(text, r"(?:\r\n|\n|\r)\z", "")
-    return F.when(text == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK, -1))
+    # texts without CR split on the single LF character (a plain scan, no regex)
+    parts = F.when(text.contains("\r"), F.split(text, LINE_BREAK, -1)).otherwise(F.split(text, "\n", -1))
+    return let(parts, lambda p: F.when(F.element_at(p, -1) == F.lit(""), F.slice(p, 1, F.size(p) - 1)).otherwise(p))
 
 
 def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` (a one-element fold)."""
-    return F.aggregate(F.array(value), F.lit(None), lambda _acc, v: body(v))
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element transform)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def java_regex_groups(spark: SparkSession, regex: str) -> int:
