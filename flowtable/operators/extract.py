@@ -119,15 +119,24 @@ def nested_detect(df: DataFrame, key_col: str, text_col: str, definitions: Seque
     """
     defs = [d if isinstance(d, Detector) else Detector.from_dict(d) for d in definitions]
     pieces: list[Column] = []
-
-    def run(node: Detector, content: Column, prefix: str) -> Column:
+    cur = df.select(F.col(key_col), F.col(text_col).alias("_in"))
+    counter = [0]
+
+    def run(node: Detector, content: str, prefix: str) -> str:
+        """Adds this node's matches as their own column (computed once) and
+        returns the column holding the node's result content."""
+        nonlocal cur
+        i = counter[0]
+        counter[0] += 1
         path = f"{prefix}/{node.name}" if prefix else node.name
-        found = F.regexp_extract_all(content, F.lit(node.pattern), 0)
-        pieces.append(F.transform(found, lambda m, i: F.struct(
+        found, result = f"_m{i}", f"_c{i}"
+        cur = cur.withColumn(found, F.regexp_extract_all(F.col(content), F.lit(node.pattern), 0))
+        pieces.append(F.transform(F.col(found), lambda m, j: F.struct(
             F.lit(path).alias("path"), F.lit(node.name).alias("name"),
-            (i + 1).cast("int").alias("ordinal"), m.alias("content"))))
+            (j + 1).cast("int").alias("ordinal"), m.alias("content"))))
         if node.crop:
-            result = F.when(F.size(found) > 0, F.element_at(found, -1)).otherwise(content)
+            cur = cur.withColumn(result, F.when(F.size(F.col(found)) > 0, F.element_at(F.col(found), -1))
+                                 .otherwise(F.col(content)))
         else:
             result = content
         current = result
@@ -136,9 +145,9 @@ def nested_detect(df: DataFrame, key_col: str, text_col: str, definitions: Seque
         return current
 
     for d in defs:
-        run(d, F.col(text_col), "")
+        run(d, "_in", "")
     everything = F.flatten(F.array(*pieces)) if pieces else F.array().cast(T.ArrayType(_DETECTION))
-    out = df.select(F.col(key_col), F.explode_outer(everything).alias("d"))
+    out = cur.select(F.col(key_col), F.explode_outer(everything).alias("d"))
     return out.select(
         key_col, F.col("d.path").alias("path"), F.col("d.name").alias("name"),
         F.col("d.ordinal").alias("ordinal"), F.col("d.content").alias("content"),

@@ -76,27 +76,61 @@ def tokens(text: Column, split_regex: str = "[^a-z]+") -> Column:
     return F.filter(F.split(F.lower(text), split_regex), lambda t: t != F.lit(""))
 
 
+def words(text: Column) -> Column:
+    """Lower-cased ASCII-letter words (the same tokens as ``tokens``)."""
+    return F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), 0)
+
+
+# Lexicons up to this size are inlined as a map literal and summed inside each row.
+INLINE_LEXICON_MAX = 256
+
+
+def _sentiment_result(key_col: str, s: Column, m: Column, n: Column, digits: int) -> list[Column]:
+    found = n > 0
+    return [F.col(key_col),
+            F.when(found, F.round(s / m, digits)).alias("score"),
+            F.when(found, F.round(m, digits)).alias("magnitude"),
+            n.alias("n_hits"),
+            F.when(found, F.lit("success")).otherwise(F.lit(NO_RESULTS)).alias("route")]
+
+
 def sentiment(df: DataFrame, key_col: str, text_col: str, lexicon_df: DataFrame, token_col: str = "token",
               weight_col: str = "weight", digits: int = 6) -> DataFrame:
     """Per text: ``magnitude`` = Σ|weight|, ``score`` = Σweight / magnitude of
     its lexicon tokens; texts without any lexicon token route ``no results``.
 
-    Tokens are exploded and joined with the lexicon (broadcast when its size is
-    proven small); the sum is a partial aggregate, so each task ships one row
-    per text before the shuffle.
+    A lexicon proven to hold at most ``INLINE_LEXICON_MAX`` entries becomes a
+    map literal and the weights are folded inside each row: no explode, no
+    shuffle. A larger lexicon is joined to the exploded tokens (broadcast when
+    its size is proven small) and summed with a partial aggregate, so each task
+    ships one row per text.
     """
     lex = lexicon_df.select(F.col(token_col).alias("_tok"), F.col(weight_col).cast("double").alias("_w"))
-    exploded = df.select(F.col(key_col), F.explode_outer(tokens(F.col(text_col))).alias("_tok"))
+    small = lex.limit(INLINE_LEXICON_MAX + 1).collect()  # a bounded parameter table, not data
+    if len(small) <= INLINE_LEXICON_MAX:
+        weights: dict[str, float] = {}
+        for tok, w in small:
+            if tok is not None and w is not None:
+                weights[tok] = weights.get(tok, 0.0) + w  # duplicate tokens add up, as in a join
+        if not weights:
+            lit_map = F.create_map().cast("map<string,double>")
+        else:
+            lit_map = F.create_map(*[x for tok, w in weights.items() for x in (F.lit(tok), F.lit(float(w)))])
+        init = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("m"), F.lit(0).cast("long").alias("n"))
+
+        def step(acc, word):
+            w = lit_map[word]
+            return F.when(w.isNull(), acc).otherwise(
+                F.struct((acc["s"] + w).alias("s"), (acc["m"] + F.abs(w)).alias("m"), (acc["n"] + 1).alias("n")))
+
+        folded = df.select(F.col(key_col), F.aggregate(words(F.col(text_col)), init, step).alias("_f"))
+        return folded.select(*_sentiment_result(key_col, F.col("_f.s"), F.col("_f.m"),
+                                                F.coalesce(F.col("_f.n"), F.lit(0).cast("long")), digits))
+    exploded = df.select(F.col(key_col), F.explode_outer(words(F.col(text_col))).alias("_tok"))
     hits = exploded.join(small_side(lex), "_tok", "left")
     agg = hits.groupBy(key_col).agg(F.sum("_w").alias("_s"), F.sum(F.abs("_w")).alias("_m"),
                                     F.count("_w").alias("n_hits"))
-    found = F.col("n_hits") > 0
-    return agg.select(
-        key_col,
-        F.when(found, F.round(F.col("_s") / F.col("_m"), digits)).alias("score"),
-        F.when(found, F.round(F.col("_m"), digits)).alias("magnitude"),
-        "n_hits",
-        F.when(found, F.lit("success")).otherwise(F.lit(NO_RESULTS)).alias("route"))
+    return agg.select(*_sentiment_result(key_col, F.col("_s"), F.col("_m"), F.col("n_hits"), digits))
 
 
 def utterances(df: DataFrame, key_col: str, order_col: str, text_col: str) -> DataFrame:

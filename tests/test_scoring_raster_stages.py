@@ -83,3 +83,14 @@ def test_model_batch_job_routes(spark):
 
     got = {r.id: (r.label, r.route) for r in model_batch_job(df, loader, predict, "label string", keep=["id"]).collect()}
     assert got == {1: ("animal:cat", "success"), 2: (None, "no results"), 3: (None, "failure")}
+
+
+def test_sentiment_join_path_matches_inline_path(spark, monkeypatch):
+    import flowtable.operators.scoring as scoring
+
+    docs = spark.createDataFrame([(1, "Good good bad."), (2, "nothing"), (3, "")], "id long, text string")
+    lex = spark.createDataFrame([("good", 1.0), ("bad", -0.5)], "token string, weight double")
+    inline = sorted(tuple(r) for r in sentiment(docs, "id", "text", lex).collect())
+    monkeypatch.setattr(scoring, "INLINE_LEXICON_MAX", 0)
+    joined = sorted(tuple(r) for r in scoring.sentiment(docs, "id", "text", lex).collect())
+    assert inline == joined
