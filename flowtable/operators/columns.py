@@ -75,7 +75,7 @@ def lookup_enrich(df: DataFrame, key_col: str, map_df: DataFrame, map_key: str =
     lookup = (map_df.select(F.lower(F.col(map_key)).alias("_lk"), F.col(map_key).alias("_k"),
                             F.col(map_value).alias("_v"))
               .groupBy("_lk").agg(F.min_by("_v", "_k").alias("_lv")))
-    joined = df.join(small_side(lookup), F.lower(F.col(key_col)) == F.col("_lk"), "left")
+    joined = df.join(small_side(lookup, check=map_df), F.lower(F.col(key_col)) == F.col("_lk"), "left")
     value = F.col("_lv") if default is None else F.coalesce(F.col("_lv"), F.lit(default))
     return joined.withColumn(out_col, value).drop("_lk", "_lv")
 

@@ -42,8 +42,8 @@ def detect_format(df: DataFrame, content_col: str) -> DataFrame:
 def purge_keys(df: DataFrame, tombstones_df: DataFrame, key_col: str, tomb_key: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key has no tombstone (anti join; tombstones are
     broadcast only when their size is proven small)."""
-    tombs = tombstones_df.select(F.col(tomb_key or key_col).alias(key_col)).distinct()
-    return df.join(small_side(tombs), key_col, "left_anti")
+    raw = tombstones_df.select(F.col(tomb_key or key_col).alias(key_col))
+    return df.join(small_side(raw.distinct(), check=raw), key_col, "left_anti")
 
 
 def purge_report(df: DataFrame, tombstones_df: DataFrame, key_col: str, tomb_key: str | None = None) -> DataFrame:
@@ -69,8 +69,8 @@ def clear_scope(scopes_df: DataFrame, df: DataFrame, scope_col: str, scope_key:
     n = F.when(exists, F.coalesce(F.col("_n"), F.lit(0))).otherwise(F.lit(0)).cast("long")
     report = rep.select(F.col(scope_key), n.alias("n_removed"),
                         F.when(~exists, "failure").when(n == 0, "empty").otherwise("success").alias("route"))
-    cleared = scopes_df.where(exists).select(F.col(scope_key).alias(scope_col)).distinct()
-    survivors = df.join(small_side(cleared), scope_col, "left_anti")
+    cleared = scopes_df.where(exists).select(F.col(scope_key).alias(scope_col))
+    survivors = df.join(small_side(cleared.distinct(), check=cleared), scope_col, "left_anti")
     return report, survivors
 
 
@@ -97,7 +97,8 @@ def capped_actions(df: DataFrame, order_cols: Sequence[str], maximum: int, alrea
     w = Window.partitionBy(key_col).orderBy(*[F.col(c) for c in order_cols])
     top = df.select(key_col, *order_cols).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
     cut = top.groupBy(F.col(key_col).alias("_key")).agg(F.max(order).alias("_cut"))
-    joined = df.join(small_side(cut), F.col(key_col) == F.col("_key"), "left")
+    # one row per key: AQE broadcasts it from its measured size (no second run of the window)
+    joined = df.join(cut, F.col(key_col) == F.col("_key"), "left")
     return joined.withColumn(route_col, F.when(order <= F.col("_cut"), F.lit("act")).otherwise(F.lit(NO_ACTION))) \
                  .drop("_key", "_cut")
 
@@ -120,7 +121,7 @@ def busy_nodes(groups_df: DataFrame, queues_df: DataFrame, threshold: int = 10,
     # frontier: (queue row, group whose name is prepended next). The frontier
     # only shrinks, so one size check decides how every level joins.
     active = busy.select("_g", "queue", "count", F.lit(None).cast("string").alias("path"),
-                         F.lit(-1).alias("depth"), F.col("_g").alias("_cur"))
+                         F.lit(-1).alias("depth"), F.col("_g").alias("_cur")).persist()
     bcast = fits_broadcast(active)
     finished: list[DataFrame] = []
     levels: list[DataFrame] = []

@@ -59,8 +59,8 @@ def deleted_between(old_df: DataFrame, new_df: DataFrame, id_col: str) -> DataFr
 def row_lookup(df: DataFrame, id_col: str, ids_df: DataFrame, ids_col: str | None = None) -> DataFrame:
     """Rows of ``df`` whose id is in ``ids_df`` (semi join; the id side is
     broadcast only when its size is proven small)."""
-    ids = ids_df.select(F.col(ids_col or id_col).alias(id_col)).distinct()
-    return df.join(small_side(ids), id_col, "left_semi")
+    raw = ids_df.select(F.col(ids_col or id_col).alias(id_col))
+    return df.join(small_side(raw.distinct(), check=raw), id_col, "left_semi")
 
 
 def run_query(spark: SparkSession, sql: str, args: Mapping | None = None,

@@ -23,7 +23,7 @@ EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type st
 @query("topic_drain", oracle="SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_topic_drain(spark, sf_dir):
     base = scratch_path(spark, "topic")
-    publish(load(spark, sf_dir, "events"), f"{base}/topic", records_per_file=1000)
+    publish(load(spark, sf_dir, "events"), f"{base}/topic", records_per_file=5000)
     stream = topic_drain(spark, f"{base}/topic", EVENT_SCHEMA, max_files_per_trigger=10)
     return drain_available(stream, f"{base}/sink", f"{base}/checkpoint")
 
@@ -31,8 +31,9 @@ def q_topic_drain(spark, sf_dir):
 @query("delay_stream")
 def q_delay_stream(spark, sf_dir):
     base = scratch_path(spark, "delay")
-    publish(load(spark, sf_dir, "events"), f"{base}/topic", records_per_file=1000)
-    stream = topic_drain(spark, f"{base}/topic", EVENT_SCHEMA, max_files_per_trigger=2)
+    publish(load(spark, sf_dir, "events"), f"{base}/topic", records_per_file=5000)
+    # a few triggers, so the watermark moves and earlier keys time out
+    stream = topic_drain(spark, f"{base}/topic", EVENT_SCHEMA, max_files_per_trigger=8)
     gated = delay_stream(stream, "user_id", delay_ms=24 * 3600 * 1000, event_time_col="ts")
     return drain_available(gated, f"{base}/sink", f"{base}/checkpoint")
 
@@ -59,7 +60,7 @@ def q_listing_stream(spark, sf_dir):
     return emitted_so_far(spark, f"{base}/out").select("o_orderkey", "mtime_ms")
 
 
-ARCHIVE_BUCKET = 25
+ARCHIVE_BUCKET = 100
 
 
 @query("zip_entries", oracle=f"""

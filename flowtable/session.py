@@ -62,11 +62,17 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, check: DataFrame | None = None) -> DataFrame:
     """Broadcast hint for a side whose row count is checked; otherwise the
     plain side, so the join shuffles (and AQE may still broadcast it at run
-    time from measured sizes)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    time from measured sizes).
+
+    ``check`` is a cheaper DataFrame that bounds ``df``'s rows (e.g. the raw
+    input of a ``distinct``), so the check does not compute ``df`` itself.
+    Sides derived by shuffles or windows are better left to AQE's runtime
+    conversion, which measures them without running them twice.
+    """
+    return F.broadcast(df) if fits_broadcast(df if check is None else check, max_rows) else df
 
 
 def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
