@@ -145,11 +145,30 @@ def utterances(df: DataFrame, key_col: str, order_col: str, text_col: str) -> Da
         F.when(empty, F.lit(NO_RESULTS)).otherwise(F.lit("success")).alias("route"))
 
 
+def _ordered_join(order: Column, text: Column) -> Column:
+    """Texts sorted by order, each followed by one space (an aggregate expression)."""
+    parts = F.array_sort(F.collect_list(F.struct(order.alias("o"), text.alias("t"))))
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.coalesce(p["t"], F.lit("")), F.lit(" "))), "")
+
+
 def assemble_transcript(df: DataFrame, key_col: str, order_col: str, text_col: str,
-                        out_col: str = "transcript") -> DataFrame:
-    """Texts of a key in order, each followed by one space (trailing space
-    kept). Lists are combined map-side (partial aggregation) before the
-    shuffle; the sort happens once per key on the reducer."""
-    parts = F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col(text_col).alias("t"))))
-    joined = F.array_join(F.transform(parts, lambda p: F.concat(F.coalesce(p["t"], F.lit("")), F.lit(" "))), "")
-    return df.groupBy(key_col).agg(joined.alias(out_col), F.count(F.lit(1)).alias("n_parts"))
+                        out_col: str = "transcript", bucket_size: int | None = 4096) -> DataFrame:
+    """Texts of a key in order, each followed by one space (trailing space kept).
+
+    With an integral order column the work is split in two levels: texts are
+    first joined within buckets of ``bucket_size`` consecutive order values
+    (so no group collects more than a bucket of turns), then the per-key merge
+    concatenates the bucket strings in order. Both levels combine map-side
+    before their shuffle. Other order types use one level.
+    """
+    order, text = F.col(order_col), F.col(text_col)
+    integral = df.schema[order_col].dataType.typeName() in ("long", "integer", "short", "byte")
+    if not bucket_size or not integral:
+        return df.groupBy(key_col).agg(_ordered_join(order, text).alias(out_col),
+                                       F.count(F.lit(1)).alias("n_parts"))
+    buckets = df.groupBy(key_col, F.floor(order / F.lit(int(bucket_size))).alias("_b")).agg(
+        _ordered_join(order, text).alias("_part"), F.count(F.lit(1)).alias("_n"))
+    merged = F.array_sort(F.collect_list(F.struct(F.col("_b").alias("b"), F.col("_part").alias("p"))))
+    return buckets.groupBy(key_col).agg(
+        F.array_join(F.transform(merged, lambda x: x["p"]), "").alias(out_col),
+        F.sum("_n").alias("n_parts"))

@@ -87,12 +87,18 @@ def q_content_sink(spark, sf_dir):
     return as_json_content(events, per="row")
 
 
-@query("content_sink_grouped", oracle="""
-SELECT event_type,
-       '[' || string_agg('{"event_id":' || event_id || ',"value":' || CAST(value AS VARCHAR) || '}', ','
+# One JSON array per event type and range of 1000 event ids: a type may hold a
+# large share of all events, so its arrays are split into bounded chunks.
+CHUNK = 1000
+
+
+@query("content_sink_grouped", oracle=f"""
+SELECT event_type, event_id // {CHUNK} AS chunk,
+       '[' || string_agg('{{"event_id":' || event_id || ',"value":' || CAST(value AS VARCHAR) || '}}', ','
                          ORDER BY event_id) || ']' AS content
-FROM events GROUP BY event_type
+FROM events GROUP BY event_type, event_id // {CHUNK}
 """)
 def q_content_sink_grouped(spark, sf_dir):
-    events = load(spark, sf_dir, "events").select("event_type", "event_id", "value")
-    return as_json_content(events, per="group", key_cols=["event_type"], order_cols=["event_id"])
+    events = load(spark, sf_dir, "events").select(
+        "event_type", F.floor(F.col("event_id") / CHUNK).alias("chunk"), "event_id", "value")
+    return as_json_content(events, per="group", key_cols=["event_type", "chunk"], order_cols=["event_id"])

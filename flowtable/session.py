@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Largest lookup side (rows) that operators broadcast after checking it.
 BROADCAST_MAX_ROWS = 1_000_000
+# Sides whose plan statistics already exceed this are not counted at all.
+BROADCAST_MAX_EST_BYTES = 1 << 30
 
 
 def get_session(master: str | None = None, app: str = "flowtable", partitions: int | None = None) -> SparkSession:
@@ -57,8 +59,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "flowtable", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (file sizes for scans; an upper
+    bound in practice, since filters are not subtracted without CBO)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # no JVM handle (e.g. Spark Connect): fall back to counting
+        return None
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Proves that ``df`` has at most ``max_rows`` rows (stops reading after max_rows + 1)."""
+    """Proves that ``df`` has at most ``max_rows`` rows (stops reading after
+    max_rows + 1). Sides the optimizer already estimates as large are refused
+    without reading them, so the check never costs a scan of a big table."""
+    est = estimated_bytes(df)
+    if est is not None and est > BROADCAST_MAX_EST_BYTES:
+        return False
     return df.limit(max_rows + 1).count() <= max_rows
 
 

@@ -42,18 +42,24 @@ def delay_stream(df: DataFrame, key_col: str, delay_ms: int, event_time_col: str
             state.remove()
             yield pd.DataFrame({key_col: [key[0]], "delay_timestamp": [stamp], "n_records": [0], "route": ["ready"]})
             return
-        rows = pd.concat(list(pdfs), ignore_index=True)
+        # stream through the key's Arrow batches: a hot key never sits in memory whole
+        n_rows, first_t = 0, None
+        for pdf in pdfs:
+            n_rows += len(pdf)
+            if event_time_col and len(pdf):
+                t = int(pdf["_t"].min())
+                first_t = t if first_t is None else min(first_t, t)
         if state.exists:
             (stamp,) = state.get
         else:
-            stamp = int(rows["_t"].min()) if event_time_col else int(time.time() * 1000)
+            stamp = first_t if event_time_col else int(time.time() * 1000)
             state.update((stamp,))
             # strict '>': ready one millisecond after the delay has elapsed
             if event_time_col:
                 state.setTimeoutTimestamp(stamp + delay + 1)
             else:
                 state.setTimeoutDuration(delay + 1)
-        yield pd.DataFrame({key_col: [key[0]], "delay_timestamp": [stamp], "n_records": [len(rows)],
+        yield pd.DataFrame({key_col: [key[0]], "delay_timestamp": [stamp], "n_records": [n_rows],
                             "route": ["delay"]})
 
     return src.groupBy(key_col).applyInPandasWithState(gate, out_schema, "stamp long", "append", timeout)

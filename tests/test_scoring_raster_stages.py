@@ -94,3 +94,12 @@ def test_sentiment_join_path_matches_inline_path(spark, monkeypatch):
     monkeypatch.setattr(scoring, "INLINE_LEXICON_MAX", 0)
     joined = sorted(tuple(r) for r in scoring.sentiment(docs, "id", "text", lex).collect())
     assert inline == joined
+
+
+def test_transcript_buckets_keep_order(spark):
+    rows = [(1, i, f"t{i}") for i in range(50)] + [(2, 7, "x")]
+    df = spark.createDataFrame(rows, "k long, o long, t string")
+    one = {r.k: (r.transcript, r.n_parts) for r in assemble_transcript(df, "k", "o", "t", bucket_size=None).collect()}
+    two = {r.k: (r.transcript, r.n_parts) for r in assemble_transcript(df, "k", "o", "t", bucket_size=4).collect()}
+    assert one == two
+    assert one[1][0] == "".join(f"t{i} " for i in range(50))
