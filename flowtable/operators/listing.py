@@ -94,6 +94,20 @@ class ListingState:
         return ListingState() if row is None else ListingState(int(row[0]), int(row[1]))
 
 
+def _eligible(files_df: DataFrame, as_of_ms: int, min_age_ms: int | None, max_age_ms: int | None,
+              mtime_col: str, name_col: str) -> DataFrame:
+    if min_age_ms is not None and max_age_ms is not None and min_age_ms > max_age_ms:
+        raise ValueError("min age greater than max age")
+    mtime = F.col(mtime_col)
+    age = F.lit(int(as_of_ms)) - mtime
+    keep = ~F.col(name_col).endswith(COPYING_SUFFIX)
+    if min_age_ms is not None:
+        keep = keep & (age >= F.lit(int(min_age_ms)))
+    if max_age_ms is not None:
+        keep = keep & (age <= F.lit(int(max_age_ms)))
+    return files_df.where(keep)
+
+
 def incremental_listing(files_df: DataFrame, state: ListingState, as_of_ms: int,
                         min_age_ms: int | None = None, max_age_ms: int | None = None,
                         mtime_col: str = "mtime_ms", name_col: str = "name") -> tuple[DataFrame, DataFrame]:
@@ -108,19 +122,12 @@ def incremental_listing(files_df: DataFrame, state: ListingState, as_of_ms: int,
 
     Returns ``(emitted_rows, new_state_row)``; both are lazy. ``L`` and the
     newest eligible time come from one scalar subquery (one aggregate pass,
-    no collect, no cross join).
+    no collect, no cross join). ``run_listing`` is the eager form that also
+    turns the cut-off into a literal the parquet scan can use.
     Write the state only after the output has been committed (at least once).
     """
-    if min_age_ms is not None and max_age_ms is not None and min_age_ms > max_age_ms:
-        raise ValueError("min age greater than max age")
     mtime = F.col(mtime_col)
-    age = F.lit(int(as_of_ms)) - mtime
-    keep = ~F.col(name_col).endswith(COPYING_SUFFIX)
-    if min_age_ms is not None:
-        keep = keep & (age >= F.lit(int(min_age_ms)))
-    if max_age_ms is not None:
-        keep = keep & (age <= F.lit(int(max_age_ms)))
-    eligible = files_df.where(keep)
+    eligible = _eligible(files_df, as_of_ms, min_age_ms, max_age_ms, mtime_col, name_col)
     listed, emitted_wm = F.lit(int(state.listed_ms)), F.lit(int(state.emitted_ms))
     is_candidate = (mtime >= listed) & (mtime > emitted_wm)
     # One aggregate pass gives the newest eligible time and the emit cut-off:
@@ -136,27 +143,61 @@ def incremental_listing(files_df: DataFrame, state: ListingState, as_of_ms: int,
     return out, new_state
 
 
+def listing_cutoff(files_df: DataFrame, state: ListingState, as_of_ms: int, min_age_ms: int | None = None,
+                   max_age_ms: int | None = None, mtime_col: str = "mtime_ms",
+                   name_col: str = "name") -> tuple[DataFrame, int | None]:
+    """Eager step of a run: one aggregate pass returns (emitted rows with the
+    cut-off as a literal, newest eligible time). The two numbers are the only
+    values that reach the driver."""
+    mtime = F.col(mtime_col)
+    eligible = _eligible(files_df, as_of_ms, min_age_ms, max_age_ms, mtime_col, name_col)
+    listed, emitted_wm = int(state.listed_ms), int(state.emitted_ms)
+    is_candidate = (mtime >= F.lit(listed)) & (mtime > F.lit(emitted_wm))
+    row = eligible.agg(F.max(mtime).alias("all_max"), F.max(F.when(is_candidate, mtime)).alias("newest")).first()
+    newest = row["newest"]
+    if newest is None:
+        return eligible.where(F.lit(False)), row["all_max"]
+    cutoff = newest + 1 if newest == listed else newest
+    # plain literal bounds on the time column: parquet skips row groups outside them
+    out = eligible.where((mtime >= F.lit(listed)) & (mtime > F.lit(emitted_wm)) & (mtime < F.lit(int(cutoff))))
+    return out, row["all_max"]
+
+
 def run_listing(files_df: DataFrame, state_path: str, output_path: str, as_of_ms: int,
                 min_age_ms: int | None = None, max_age_ms: int | None = None) -> DataFrame:
-    """A complete run with durable state: read state, write the emitted rows
-    (appending), then overwrite the state table. Returns the emitted rows as
-    written. A lost run re-emits (at least once), never skips."""
+    """A complete run with durable state: read the state, write the emitted
+    rows, then replace the state. Returns the emitted rows as written. A lost
+    run re-emits (at least once), never skips.
+
+    Passes over the inventory: one aggregate, one filtered write (cut-off as
+    a literal); the new emitted watermark comes from the written output."""
     spark = files_df.sparkSession
     try:
         state_df = spark.read.parquet(state_path)
     except Exception:  # first run: no state table yet
         state_df = None
     state = ListingState.read(state_df)
-    emitted, new_state = incremental_listing(files_df, state, as_of_ms, min_age_ms, max_age_ms)
+    emitted, newest_eligible = listing_cutoff(files_df, state, as_of_ms, min_age_ms, max_age_ms)
     batch_path = f"{output_path}/run={as_of_ms}"
     emitted.write.mode("overwrite").parquet(batch_path)
     written = spark.read.parquet(batch_path)
-    # the new state is computed from what was written, then replaces the old one
+    new_state = next_state(spark, state, newest_eligible, written)
+    # the new state is written beside the old one, then replaces it
     new_state.write.mode("overwrite").parquet(state_path + ".next")
     spark.read.parquet(state_path + ".next").write.mode("overwrite").parquet(state_path)
     return written
 
 
+def next_state(spark: SparkSession, state: ListingState, newest_eligible: int | None,
+               written: DataFrame, mtime_col: str = "mtime_ms") -> DataFrame:
+    """State row after a run, from the newest eligible time and the output."""
+    listed = max(state.listed_ms, newest_eligible if newest_eligible is not None else state.listed_ms)
+    return spark.range(1).select(
+        F.lit(int(listed)).alias("listed_ms"),
+        F.greatest(F.lit(int(state.emitted_ms)),
+                   F.coalesce(written.agg(F.max(mtime_col)).scalar(), F.lit(int(state.emitted_ms)))).alias("emitted_ms"))
+
+
 def directory_status(dirs_df: DataFrame, files_df: DataFrame, path_col: str = "path",
                      exists_col: str = "exists", parent_col: str = "parent",
                      is_file_col: str | None = None) -> DataFrame:

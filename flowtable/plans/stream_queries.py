@@ -32,8 +32,13 @@ def q_topic_drain(spark, sf_dir):
 def q_delay_stream(spark, sf_dir):
     base = scratch_path(spark, "delay")
     publish(load(spark, sf_dir, "events"), f"{base}/topic", records_per_file=5000)
+    # The state store keeps the partition count the query starts with; size it
+    # to the cluster's cores in a sibling session instead of the shuffle default.
+    stateful = spark.newSession()
+    stateful.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    stateful.conf.set("spark.sql.session.timeZone", "UTC")
     # a few triggers, so the watermark moves and earlier keys time out
-    stream = topic_drain(spark, f"{base}/topic", EVENT_SCHEMA, max_files_per_trigger=8)
+    stream = topic_drain(stateful, f"{base}/topic", EVENT_SCHEMA, max_files_per_trigger=8)
     gated = delay_stream(stream, "user_id", delay_ms=24 * 3600 * 1000, event_time_col="ts")
     return drain_available(gated, f"{base}/sink", f"{base}/checkpoint")
 
@@ -49,10 +54,13 @@ SELECT o_orderkey, mtime_ms FROM order_files WHERE mtime_ms < (SELECT max(mtime_
 def q_listing_stream(spark, sf_dir):
     base = scratch_path(spark, "listing")
     files = order_files(spark, sf_dir)
-    for as_of in SNAPSHOT_DATES_MS:
-        snap = f"{base}/snapshots/{as_of}"
-        files.where(F.col("mtime_ms") <= as_of).write.mode("overwrite").parquet(snap)
-        announce(spark, f"{base}/manifests", snap, as_of)
+    # all snapshots in one write: snapshot k holds every file up to its date
+    dates = spark.createDataFrame([(d,) for d in SNAPSHOT_DATES_MS], "as_of bigint")
+    snaps = files.join(F.broadcast(dates), F.col("mtime_ms") <= F.col("as_of"))
+    snaps.write.mode("overwrite").partitionBy("as_of").parquet(f"{base}/snapshots")
+    # two manifests of two snapshots each: two triggers
+    for pair in (SNAPSHOT_DATES_MS[:2], SNAPSHOT_DATES_MS[2:]):
+        announce(spark, f"{base}/manifests", [(f"{base}/snapshots/as_of={d}", d) for d in pair])
     q = listing_stream(spark, f"{base}/manifests", f"{base}/state", f"{base}/out", f"{base}/checkpoint")
     q.awaitTermination()
     if q.exception() is not None:

@@ -15,14 +15,17 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtable.operators.listing import ListingState, incremental_listing
+from flowtable.operators.listing import ListingState, listing_cutoff, next_state
 
 MANIFEST_SCHEMA = "snapshot string, as_of_ms bigint"
 
 
-def announce(spark: SparkSession, manifest_dir: str, snapshot_path: str, as_of_ms: int) -> None:
-    """Write the manifest line announcing one snapshot folder."""
-    spark.createDataFrame([(snapshot_path, int(as_of_ms))], MANIFEST_SCHEMA).coalesce(1) \
+def announce(spark: SparkSession, manifest_dir: str, snapshot_path: str | list[tuple[str, int]],
+             as_of_ms: int | None = None) -> None:
+    """Write one manifest file announcing a snapshot folder, or several
+    ``(folder, as_of_ms)`` snapshots at once (processed in time order)."""
+    rows = snapshot_path if isinstance(snapshot_path, list) else [(snapshot_path, as_of_ms)]
+    spark.createDataFrame([(p, int(t)) for p, t in rows], MANIFEST_SCHEMA).coalesce(1) \
          .write.mode("append").json(manifest_dir)
 
 
@@ -40,8 +43,10 @@ def listing_batch(spark: SparkSession, snapshot_path: str, as_of_ms: int, state_
     """One listing run: output first, then the state row (at least once)."""
     files = spark.read.parquet(snapshot_path)
     state = _state_before(spark, state_dir, as_of_ms)
-    emitted, new_state = incremental_listing(files, state, as_of_ms, min_age_ms, max_age_ms)
-    emitted.write.mode("overwrite").parquet(os.path.join(output_dir, f"as_of_ms={as_of_ms}"))
+    emitted, newest_eligible = listing_cutoff(files, state, as_of_ms, min_age_ms, max_age_ms)
+    out_path = os.path.join(output_dir, f"as_of_ms={as_of_ms}")
+    emitted.write.mode("overwrite").parquet(out_path)
+    new_state = next_state(spark, state, newest_eligible, spark.read.parquet(out_path))
     new_state.withColumn("as_of_ms", F.lit(int(as_of_ms))).write.mode("append").parquet(state_dir)
 
 

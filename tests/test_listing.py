@@ -106,3 +106,21 @@ def test_name_suffix_inventory(spark):
                                "name string")
     got = sorted(r.name for r in name_suffix_inventory(df, "name", ".traineddata", default="eng").collect())
     assert got == ["deu", "eng", "fra"]
+
+
+def test_run_listing_with_durable_state(spark):
+    from flowtable.operators.listing import run_listing
+    from flowtable.session import scratch_path
+
+    base = scratch_path(spark, "t-run-listing")
+    files, state_m, seen = [], (-1, -1), []
+    for i, batch in enumerate([[("a", 10), ("b", 20)], [("c", 20), ("d", 30)], [], [("late", 5), ("e", 40)], []]):
+        files += batch
+        out_m, state_m = model_run(files, state_m, 1000)
+        df = spark.createDataFrame([frow(f"/d/{n}", t) for n, t in files], FILES_SCHEMA)
+        written = run_listing(df, f"{base}/state", f"{base}/out", as_of_ms=1000 + i)
+        assert sorted((r.name, r.mtime_ms) for r in written.collect()) == out_m
+        st = spark.read.parquet(f"{base}/state").first()
+        assert (st.listed_ms, st.emitted_ms) == state_m
+        seen += [n for n, _ in out_m]
+    assert sorted(seen) == ["a", "b", "c", "d", "e"]
