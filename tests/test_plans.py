@@ -51,3 +51,8 @@ def test_small_checked_sides_are_broadcast(spark):
 
 def test_global_cap_uses_top_k_not_a_full_sort(spark):
     assert "TakeOrderedAndProject" in plan(spark, "capped_actions")
+
+
+def test_folder_scan_never_reads_file_content(spark):
+    scan = [line for line in plan(spark, "scan_inventory").split("\n") if "FileScan binaryFile" in line]
+    assert scan and "content" not in scan[0]
