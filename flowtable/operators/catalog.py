@@ -49,7 +49,7 @@ def object_summary(df: DataFrame, name: str) -> DataFrame:
     """Basic metadata of one object: name, number of fields, field names, number of rows."""
     names = ",".join(df.schema.fieldNames())
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(name).alias("object"), F.lit(len(df.columns)).alias("n_fields"),
+        F.lit(name).alias("object"), F.lit(len(df.columns)).cast("long").alias("n_fields"),
         F.lit(names).alias("field_names"), "n_rows")
 
 
@@ -59,7 +59,7 @@ def list_objects(spark: SparkSession, sf_dir: str, names: Sequence[str] = TABLES
     for n in names:
         df = load(spark, sf_dir, n)
         parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"))
-                     .select(F.lit(n).alias("object"), F.lit(len(df.columns)).alias("n_fields"), "n_rows"))
+                     .select(F.lit(n).alias("object"), F.lit(len(df.columns)).cast("long").alias("n_fields"), "n_rows"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -140,8 +140,8 @@ def utterances(df: DataFrame, key_col: str, order_col: str, text_col: str) -> Da
     empty = text.isNull() | (F.trim(text) == "")
     return df.select(
         key_col, order_col, text.alias("transcript"),
-        F.coalesce(F.octet_length(text), F.lit(0)).alias("n_bytes"),
-        F.coalesce(word_count(text), F.lit(0)).alias("n_words"),
+        F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
+        F.coalesce(word_count(text), F.lit(0)).cast("long").alias("n_words"),
         F.when(empty, F.lit(NO_RESULTS)).otherwise(F.lit("success")).alias("route"))
 
 

@@ -47,7 +47,7 @@ def q_top_k_annotations(spark, sf_dir):
 # so sums are exact in any order.
 LEXICON = [("the", 0.125), ("and", 0.25), ("of", -0.125), ("is", 0.5), ("that", -0.25), ("with", 0.375),
            ("et", 0.25), ("la", -0.375), ("le", 0.125), ("der", -0.5), ("und", 0.75), ("el", -0.25), ("y", 0.125)]
-_LEX_VALUES = ", ".join(f"('{t}', {w})" for t, w in LEXICON)
+_LEX_VALUES = ", ".join(f"('{t}', CAST({w} AS DOUBLE))" for t, w in LEXICON)
 
 
 @query("sentiment", oracle=f"""
