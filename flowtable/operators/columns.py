@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtable.session import small_side
+from flowtable.session import small_side, spread
 
 _PLACEHOLDER = re.compile(r"\$\{([^}]*)\}")
 
@@ -90,6 +90,11 @@ def split_list(df: DataFrame, col: str, out_col: str | None = None, sep: str = "
     return df.withColumn(out_col or col, nonempty_split(F.col(col), re.escape(sep)))
 
 
+# An item (text between commas) with two non-empty ``=``-separated tokens:
+# the match may only start at an item start, and swallows the rest of the item.
+_GOOD_ITEM = r"(?<![^,])=*([^=,]+)=+([^=,]+)[^,]*"
+
+
 def parse_pairs(df: DataFrame, col: str, out_col: str = "pairs", route_col: str = "route") -> DataFrame:
     """``k=v,k=v`` → map<string,string>.
 
@@ -97,26 +102,22 @@ def parse_pairs(df: DataFrame, col: str, out_col: str = "pairs", route_col: str
     the first token is the key, the second the value (later ones ignored), the
     last duplicate key wins. An item with fewer than two tokens makes the row
     ``failure`` with a null map; other rows are ``success``.
+
+    Two native regex scans per text (non-empty items; well-formed items with
+    their key and value) and one filter that keeps each key's last entry.
     """
-    items = nonempty_split(F.col(col), ",")
-    init = F.struct(F.array().cast("array<struct<key:string,value:string>>").alias("entries"),
-                    F.lit(False).alias("bad"))
-
-    def step(acc: Column, item: Column) -> Column:
-        def add(toks: Column) -> Column:
-            kept = F.filter(acc["entries"], lambda e: e["key"] != toks[0])
-            entry = F.struct(toks[0].alias("key"), toks[1].alias("value"))
-            return F.when(F.size(toks) < 2, F.struct(acc["entries"].alias("entries"), F.lit(True).alias("bad"))) \
-                    .otherwise(F.struct(F.concat(kept, F.array(entry)).alias("entries"), acc["bad"].alias("bad")))
-        # tokens bound once per item; a repeated key replaces the earlier entry
-        return F.aggregate(F.array(nonempty_split(item, "=")), acc, lambda _a, t: add(t))
-
-    folded = df.withColumn("_pp", F.aggregate(items, init, step))
-    ok = F.col(col).isNotNull() & ~F.col("_pp.bad")
-    return (folded.withColumn(out_col, F.when(ok, F.map_from_entries(F.col("_pp.entries"))))
-            .withColumn(route_col, F.when(F.col(col).isNotNull() & F.col("_pp.bad"), F.lit("failure"))
+    text = F.col(col)
+    n_items = F.size(F.regexp_extract_all(text, F.lit("[^,]+"), 0))
+    keys = F.regexp_extract_all(text, F.lit(_GOOD_ITEM), 1)
+    values = F.regexp_extract_all(text, F.lit(_GOOD_ITEM), 2)
+    staged = spread(df).withColumn("_k", keys).withColumn("_v", values).withColumn("_bad", F.size("_k") < n_items)
+    last = F.filter(F.arrays_zip(F.col("_k").alias("key"), F.col("_v").alias("value")),
+                    lambda e, i: i == F.size("_k") - F.array_position(F.reverse(F.col("_k")), e["key"]))
+    ok = text.isNotNull() & ~F.col("_bad")
+    return (staged.withColumn(out_col, F.when(ok, F.map_from_entries(last)))
+            .withColumn(route_col, F.when(text.isNotNull() & F.col("_bad"), F.lit("failure"))
                         .otherwise(F.lit("success")))
-            .drop("_pp"))
+            .drop("_k", "_v", "_bad"))
 
 
 def metric_json(df: DataFrame, object_col: str, value_col: str, agg: str = "max",

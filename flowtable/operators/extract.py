@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtable.functions.text import java_regex_groups, text_lines
+from flowtable.session import spread
 
 
 def nth_match_value(text: Column, regex: str, occurrence: int, group_support: bool,
@@ -119,7 +120,7 @@ def nested_detect(df: DataFrame, key_col: str, text_col: str, definitions: Seque
     """
     defs = [d if isinstance(d, Detector) else Detector.from_dict(d) for d in definitions]
     pieces: list[Column] = []
-    cur = df.select(F.col(key_col), F.col(text_col).alias("_in"))
+    cur = spread(df, heavy=True).select(F.col(key_col), F.col(text_col).alias("_in"))
     counter = [0]
 
     def run(node: Detector, content: str, prefix: str) -> str:

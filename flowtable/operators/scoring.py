@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtable.functions.text import word_count
-from flowtable.session import small_side
+from flowtable.session import small_side, spread
 
 NO_DETECTIONS = "no detections"
 NO_RESULTS = "no results"
@@ -123,7 +123,7 @@ def sentiment(df: DataFrame, key_col: str, text_col: str, lexicon_df: DataFrame,
             return F.when(w.isNull(), acc).otherwise(
                 F.struct((acc["s"] + w).alias("s"), (acc["m"] + F.abs(w)).alias("m"), (acc["n"] + 1).alias("n")))
 
-        folded = df.select(F.col(key_col), F.aggregate(words(F.col(text_col)), init, step).alias("_f"))
+        folded = spread(df, heavy=True).select(F.col(key_col), F.aggregate(words(F.col(text_col)), init, step).alias("_f"))
         return folded.select(*_sentiment_result(key_col, F.col("_f.s"), F.col("_f.m"),
                                                 F.coalesce(F.col("_f.n"), F.lit(0).cast("long")), digits))
     exploded = df.select(F.col(key_col), F.explode_outer(words(F.col(text_col))).alias("_tok"))

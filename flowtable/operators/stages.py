@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from flowtable.session import spread
+
 ROUTE_FIELDS = [T.StructField("exit_code", T.IntegerType()), T.StructField("route", T.StringType()),
                 T.StructField("error", T.StringType())]
 
@@ -70,7 +72,7 @@ def python_stage(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], out_
         for pdf in batches:
             yield _apply(fn, pdf, keep, out_names, no_result=False)
 
-    return df.mapInPandas(run, _schema(keep_fields, out_schema))
+    return spread(df, heavy=True).mapInPandas(run, _schema(keep_fields, out_schema))
 
 
 def model_batch_job(df: DataFrame, loader: Callable[[], object],
@@ -93,4 +95,4 @@ def model_batch_job(df: DataFrame, loader: Callable[[], object],
         for pdf in batches:
             yield _apply(fn, pdf, keep, out_names, no_result=True)
 
-    return df.mapInPandas(run, _schema(keep_fields, out_schema))
+    return spread(df, heavy=True).mapInPandas(run, _schema(keep_fields, out_schema))

@@ -4,6 +4,7 @@ and a load-once model, both with row-level failure routing."""
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pandas as pd
 
@@ -36,6 +37,9 @@ STOPWORDS = [("en", ["the", "and", "of", "is", "that"]), ("fr", ["le", "la", "et
 _SW_VALUES = ", ".join(f"('{lang}', {i}, '{w}')" for i, (lang, ws) in enumerate(STOPWORDS) for w in ws)
 
 
+_WORD = re.compile("[a-z]+")
+
+
 def load_stopword_model():
     """Loader: runs once per task."""
     return {w: lang for lang, ws in STOPWORDS for w in ws}, [lang for lang, _ in STOPWORDS]
@@ -45,11 +49,10 @@ def predict_language(model, pdf: pd.DataFrame) -> pd.DataFrame:
     words, order = model
     preds, hits = [], []
     for text in pdf["text"]:
+        seen = Counter(_WORD.findall(text.lower()))
         counts = dict.fromkeys(order, 0)
-        for tok in re.findall("[a-z]+", text.lower()):
-            lang = words.get(tok)
-            if lang:
-                counts[lang] += 1
+        for word, lang in words.items():
+            counts[lang] += seen.get(word, 0)
         best = max(order, key=lambda lang: (counts[lang], -order.index(lang)))
         preds.append(best if counts[best] > 0 else None)
         hits.append(counts[best] if counts[best] > 0 else None)

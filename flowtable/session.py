@@ -91,6 +91,21 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, check: DataFra
     return F.broadcast(df) if fits_broadcast(df if check is None else check, max_rows) else df
 
 
+def spread(df: DataFrame, heavy: bool = False) -> DataFrame:
+    """Spread an under-partitioned input over the cluster's cores before
+    CPU-heavy per-row work (a round-robin exchange). It applies when fewer
+    than half the cores would be busy, or fewer than all of them for
+    ``heavy`` work (Python stages, several regex passes per row). Any large
+    table has far more partitions than that, so at scale this adds no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave it as is
+        return df
+    limit = cores if heavy else cores // 2
+    return df.repartition(cores) if parts < limit else df
+
+
 def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as parquet under the shared folder and reading it back."""
     spark = df.sparkSession
