@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from flowtable.session import fits_broadcast, small_side
+from flowtable.session import fits_broadcast, reliable_checkpoint, small_side
 
 # Magic bytes (hex prefix) of the accepted formats, and the
 # message for anything else.
@@ -24,6 +24,8 @@ MAGIC = [
 ]
 UNSUPPORTED = "unsupported image format"
 NO_ACTION = "no action taken"
+# Global caps up to this size use a top-k (each task keeps at most this many rows).
+TOPK_MAX = 1_000_000
 
 
 def detect_format(df: DataFrame, content_col: str) -> DataFrame:
@@ -91,8 +93,11 @@ def capped_actions(df: DataFrame, order_cols: Sequence[str], maximum: int, alrea
     if cap == 0:
         return df.withColumn(route_col, F.lit(NO_ACTION))
     if key_col is None:
-        cutoff = (df.select(order.alias("_o")).orderBy(*[F.col("_o." + c) for c in order_cols]).limit(cap)
-                  .agg(F.max("_o")).scalar())
+        if cap <= TOPK_MAX:
+            cutoff = (df.select(order.alias("_o")).orderBy(*[F.col("_o." + c) for c in order_cols]).limit(cap)
+                      .agg(F.max("_o")).scalar())
+        else:
+            cutoff = _ranked_cutoff(df, order_cols, cap)
         return df.withColumn(route_col, F.when(order <= cutoff, F.lit("act")).otherwise(F.lit(NO_ACTION)))
     w = Window.partitionBy(key_col).orderBy(*[F.col(c) for c in order_cols])
     top = df.select(key_col, *order_cols).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
@@ -103,6 +108,27 @@ def capped_actions(df: DataFrame, order_cols: Sequence[str], maximum: int, alrea
                  .drop("_key", "_cut")
 
 
+def _ranked_cutoff(df: DataFrame, order_cols: Sequence[str], cap: int):
+    """Exact cut-off for a large global cap without holding ``cap`` rows in a
+    task: sort the order keys (range partitioned), number rows within each
+    sorted partition, turn per-partition counts (one row per partition) into
+    offsets, and take the largest key whose global rank is at most ``cap``.
+    The sorted keys are checkpointed so the row numbers are stable."""
+    low_bits = 33  # monotonically_increasing_id: partition index above bit 33
+    keys = (df.select(F.struct(*[F.col(c) for c in order_cols]).alias("_o"))
+            .sort(*[F.col("_o." + c) for c in order_cols])
+            .withColumn("_id", F.monotonically_increasing_id()))
+    keys = reliable_checkpoint(keys)
+    part = F.shiftright(F.col("_id"), low_bits)
+    counts = keys.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: a tiny table, bounded by the partition count
+    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    rank = F.col("_off") + F.col("_id").bitwiseAND((1 << low_bits) - 1) + 1
+    ranked = keys.join(F.broadcast(offsets), part == F.col("_p"))
+    return ranked.where(rank <= F.lit(int(cap))).agg(F.max("_o")).scalar()
+
+
 def busy_nodes(groups_df: DataFrame, queues_df: DataFrame, threshold: int = 10, max_depth: int = 64,
                group_id: str = "group_id", parent_id: str = "parent_id", name: str = "name",
                queue_group: str = "group_id", queue_name: str = "queue_name",

@@ -106,6 +106,13 @@ def spread(df: DataFrame, heavy: bool = False) -> DataFrame:
     return df.repartition(cores) if parts < limit else df
 
 
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` into the shared checkpoint folder (made known to
+    the SparkContext first); survives executor loss, unlike a local checkpoint."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as parquet under the shared folder and reading it back."""
     spark = df.sparkSession

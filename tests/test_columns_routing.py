@@ -134,3 +134,15 @@ def test_delay_gate_strict_boundary(spark):
     df = spark.createDataFrame([(1, None), (2, 900), (3, 899), (4, 1000)], "id long, stamp long")
     got = {r.id: (r.stamp, r.route) for r in delay_gate(df, "stamp", as_of_ms=1000, delay_ms=100).collect()}
     assert got == {1: (1000, "delay"), 2: (900, "delay"), 3: (899, "ready"), 4: (1000, "delay")}
+
+
+def test_capped_actions_large_cap_path_is_exact(spark, monkeypatch):
+    import flowtable.operators.routing as routing
+
+    df = spark.createDataFrame([(i, (i * 7) % 23) for i in range(200)], "id long, t long").repartition(5)
+    small = {r.id: r.route for r in capped_actions(df, ["t", "id"], maximum=37).collect()}
+    monkeypatch.setattr(routing, "TOPK_MAX", 10)
+    large = {r.id: r.route for r in routing.capped_actions(df, ["t", "id"], maximum=37).collect()}
+    assert small == large and sum(r == "act" for r in large.values()) == 37
+    everything = {r.route for r in routing.capped_actions(df, ["t", "id"], maximum=500).collect()}
+    assert everything == {"act"}
