@@ -159,7 +159,7 @@ def busy_nodes(groups_df: DataFrame, queues_df: DataFrame, threshold: int = 10,
              .otherwise(F.concat_ws("/", F.col("_name"), F.col("path"))).alias("path"),
             (F.col("depth") + 1).alias("depth"), F.col("_parent").alias("_cur"))
         # each level is materialised once: the emptiness test and the next level reuse it
-        step = step.checkpoint() if level % 8 == 7 else step.persist()
+        step = reliable_checkpoint(step) if level % 8 == 7 else step.persist()
         levels.append(step)
         finished.append(step.where(F.col("_cur").isNull()))
         active = step.where(F.col("_cur").isNotNull())

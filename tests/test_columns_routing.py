@@ -146,3 +146,12 @@ def test_capped_actions_large_cap_path_is_exact(spark, monkeypatch):
     assert small == large and sum(r == "act" for r in large.values()) == 37
     everything = {r.route for r in routing.capped_actions(df, ["t", "id"], maximum=500).collect()}
     assert everything == {"act"}
+
+
+def test_busy_nodes_deep_chain_checkpoints(spark):
+    # 20 levels: the walk checkpoints its frontier every 8 levels
+    rows = [("g0", None, "n0")] + [(f"g{i}", f"g{i - 1}", f"n{i}") for i in range(1, 20)]
+    groups = spark.createDataFrame(rows, "group_id string, parent_id string, name string")
+    queues = spark.createDataFrame([("g19", "q", 99)], "group_id string, queue_name string, queued_count long")
+    (path, depth, queue, count), = [tuple(r) for r in busy_nodes(groups, queues).collect()]
+    assert path == "/".join(f"n{i}" for i in range(20)) and depth == 19 and count == 99
