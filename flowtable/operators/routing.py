@@ -148,6 +148,7 @@ def busy_nodes(groups_df: DataFrame, queues_df: DataFrame, threshold: int = 10,
     # only shrinks, so one size check decides how every level joins.
     active = busy.select("_g", "queue", "count", F.lit(None).cast("string").alias("path"),
                          F.lit(-1).alias("depth"), F.col("_g").alias("_cur")).persist()
+    first = active
     bcast = fits_broadcast(active)
     finished: list[DataFrame] = []
     levels: list[DataFrame] = []
@@ -171,5 +172,9 @@ def busy_nodes(groups_df: DataFrame, queues_df: DataFrame, threshold: int = 10,
     out = finished[0]
     for part in finished[1:]:
         out = out.unionByName(part)
-    # depth counts levels below the root
-    return out.select("path", "depth", "queue", "count")
+    # depth counts levels below the root; the result (one row per busy queue) is
+    # materialised in the shared folder so the cached levels can be released
+    result = reliable_checkpoint(out.select("path", "depth", "queue", "count"))
+    for cached in levels + [first]:
+        cached.unpersist()
+    return result
