@@ -24,10 +24,22 @@ def let(value: Column, body) -> Column:
 
 def java_regex_groups(spark: SparkSession, regex: str) -> int:
     """Validate ``regex`` in the JVM's dialect (the one Spark uses) and return
-    its number of capturing groups. Raises ``ValueError`` when invalid."""
+    its number of capturing groups. Raises ``ValueError`` when invalid.
+
+    Without a JVM handle (e.g. a remote session) the ``regex`` module, which
+    reads the same class and group syntax for common patterns, stands in."""
     try:
         jvm = spark.sparkContext._jvm
-        return int(jvm.java.util.regex.Pattern.compile(regex).matcher("").groupCount())
+        pattern = jvm.java.util.regex.Pattern
+    except Exception:  # no local JVM gateway
+        import regex as pyregex
+
+        try:
+            return int(pyregex.compile(regex).groups)
+        except pyregex.error as exc:
+            raise ValueError(f"invalid regex {regex!r}: {exc}") from None
+    try:
+        return int(pattern.compile(regex).matcher("").groupCount())
     except Exception as exc:  # py4j wraps PatternSyntaxException
         raise ValueError(f"invalid regex {regex!r}: {exc}") from None
 

@@ -10,7 +10,7 @@ from flowtable.operators.extract import nth_match
 from flowtable.plans.common import ORDER_FILES_SQL, order_files
 from flowtable.plans.registry import query
 from flowtable.plans.text_queries import NTH_K, NTH_REGEX
-from flowtable.session import scratch_path
+from flowtable.session import cluster_cores, scratch_path
 from flowtable.sources.archives import first_value_per_archive, write_zip_archives, zip_entries
 from flowtable.sources.tables import load
 from flowtable.streaming.delay import delay_stream
@@ -35,7 +35,7 @@ def q_delay_stream(spark, sf_dir):
     # The state store keeps the partition count the query starts with; size it
     # to the cluster's cores in a sibling session instead of the shuffle default.
     stateful = spark.newSession()
-    stateful.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    stateful.conf.set("spark.sql.shuffle.partitions", str(cluster_cores(spark)))
     stateful.conf.set("spark.sql.session.timeZone", "UTC")
     # a few triggers, so the watermark moves and earlier keys time out
     stream = topic_drain(stateful, f"{base}/topic", EVENT_SCHEMA, max_files_per_trigger=8)

@@ -41,16 +41,29 @@ def shared_dir(spark: SparkSession) -> str:
     Only when the session names none (local tests) do we create one.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the conf is all there is
+        sc = None
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="flowtable-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
+def cluster_cores(spark: SparkSession) -> int:
+    """Cores of the cluster (default parallelism), or the shuffle partition
+    count when the context is not reachable."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one run's output."""
     base = shared_dir(spark)
@@ -97,7 +110,7 @@ def spread(df: DataFrame, heavy: bool = False) -> DataFrame:
     than half the cores would be busy, or fewer than all of them for
     ``heavy`` work (Python stages, several regex passes per row). Any large
     table has far more partitions than that, so at scale this adds no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    cores = cluster_cores(df.sparkSession)
     try:
         parts = df.rdd.getNumPartitions()
     except Exception:  # no RDD view (e.g. Spark Connect): leave it as is

@@ -57,7 +57,7 @@ def write_zip_archives(df: DataFrame, out_dir: str, archive_col: str, name_col:
         path = os.path.join(out_dir, f"{key}.zip")
         os.makedirs(out_dir, exist_ok=True)
         buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
             for name, text in zip(pdf[name_col], pdf[text_col]):
                 zf.writestr(str(name), (text or "").encode("utf-8"))
         with open(path, "wb") as fh:
