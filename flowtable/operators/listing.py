@@ -3,6 +3,7 @@ listing, directory status and name-suffix inventories."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,22 +41,25 @@ def full_match(text: Column, regex: str) -> Column:
     return text.rlike(r"\A(?:" + regex + r")\z")
 
 
-def file_inventory(files_df: DataFrame, root: str, recurse: bool = True,
+def file_inventory(files_df: DataFrame, root: str | Sequence[str], recurse: bool = True,
                    name_regex: str = DEFAULT_NAME_REGEX) -> DataFrame:
-    """Files under ``root`` whose every path component below ``root`` fully
-    matches ``name_regex`` (a directory that fails the filter is not
-    descended); only direct children without ``recurse``.
+    """Files under ``root`` (one folder or several) whose every path component
+    below the root fully matches ``name_regex`` (a directory that fails the
+    filter is not descended); only direct children without ``recurse``.
 
     Output: filename, path (absolute parent), owner, group, last_modified,
     length, replication, permissions.
     """
-    base = root.rstrip("/") + "/"
-    rel = F.substring(F.col("path"), len(base) + 1, 1 << 30)
-    parts = F.split(rel, "/")
-    keep = F.col("path").startswith(base) & ~F.col("is_dir") & F.forall(parts, lambda p: full_match(p, name_regex))
-    if not recurse:
-        keep = keep & (F.size(parts) == 1)
-    return files_df.where(keep).select(
+    roots = [root] if isinstance(root, str) else list(root)
+    keep = F.lit(False)
+    for r in roots:
+        base = r.rstrip("/") + "/"
+        parts = F.split(F.substring(F.col("path"), len(base) + 1, 1 << 30), "/")
+        under = F.col("path").startswith(base) & F.forall(parts, lambda p: full_match(p, name_regex))
+        if not recurse:
+            under = under & (F.size(parts) == 1)
+        keep = keep | under
+    return files_df.where(~F.col("is_dir") & keep).select(
         F.col("name").alias("filename"), F.col("parent").alias("path"), "owner", "group",
         F.col("mtime_ms").alias("last_modified"), "length", "replication",
         permissions(F.col("mode")).alias("permissions"))

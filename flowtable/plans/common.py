@@ -28,7 +28,7 @@ def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_extract("url", r"^[a-z]+://[^/?#]+/([a-z]+)", 1).alias("group"),
         F.lit(3).alias("replication"),
         (F.col("page_id") % 512).cast("int").alias("mode"),
-        F.lit(False).alias("is_dir"))
+        F.lit(False).alias("is_dir"), "url")
 
 
 PAGE_FILES_SQL = r"""

@@ -28,16 +28,34 @@ def q_file_inventory(spark, sf_dir):
     return file_inventory(page_files(spark, sf_dir), "/", recurse=True, name_regex=NAME_REGEX)
 
 
+# Export layout: /<lang>/<page_id>.html, hidden ('.' prefix) for urls with a fragment.
+LANG_DIRS = ["/en", "/fr", "/de", "/es"]
+
+
+def _export_files(spark, sf_dir):
+    files = page_files(spark, sf_dir)
+    lang = F.regexp_extract("url", r"^[a-z]+://[^/?#]+/([a-z]+)", 1)
+    name = F.concat(F.when(F.col("url").contains("#"), F.lit(".")).otherwise(F.lit("")),
+                    F.col("page_id").cast("string"), F.lit(".html"))
+    return files.withColumn("name", name).withColumn("parent", F.concat(F.lit("/"), lang)) \
+                .withColumn("path", F.concat(F.col("parent"), F.lit("/"), F.col("name"))).drop("url")
+
+
 @query("file_inventory_top", oracle=f"""
-WITH {PAGE_FILES_SQL}
-SELECT name AS filename, parent AS path, owner, "group", mtime_ms AS last_modified, length, replication,
+WITH {PAGE_FILES_SQL},
+export AS (
+  SELECT f.*, '/' || regexp_extract(p.url, '^[a-z]+://[^/?#]+/([a-z]+)', 1) AS dir,
+         CASE WHEN contains(p.url, '#') THEN '.' ELSE '' END || CAST(f.page_id AS VARCHAR) || '.html' AS fname
+  FROM page_files f JOIN pages p ON f.page_id = p.page_id
+)
+SELECT fname AS filename, dir AS path, owner, "group", mtime_ms AS last_modified, length, replication,
        {perms_sql('mode')} AS permissions
-FROM page_files
-WHERE len(string_split(substr(path, 2), '/')) = 1 AND regexp_full_match(substr(path, 2), '[^.].*')
+FROM export
+WHERE dir IN ('/en', '/fr', '/de', '/es') AND regexp_full_match(fname, '[^.].*')
 """)
 def q_file_inventory_top(spark, sf_dir):
-    # non-recursive listing with the default filter: only files directly under the root
-    return file_inventory(page_files(spark, sf_dir), "/", recurse=False)
+    # non-recursive listing of the four language folders with the default filter (no hidden names)
+    return file_inventory(_export_files(spark, sf_dir), LANG_DIRS, recurse=False)
 
 
 LISTED, EMITTED, AS_OF = 900000000000, 880000000000, 1000000000000

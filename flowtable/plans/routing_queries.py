@@ -72,7 +72,7 @@ def q_purge_report(spark, sf_dir):
 
 
 # Scopes a user asks to clear (nation names; one that does not exist).
-CLEAR_SCOPES = ["GERMANY", "FRANCE", "JAPAN", "ATLANTIS"]
+CLEAR_SCOPES = ["NATION_3", "NATION_7", "NATION_11", "ATLANTIS"]
 _CLEAR_VALUES = ", ".join(f"('{s}')" for s in CLEAR_SCOPES)
 
 
