@@ -118,16 +118,20 @@ def typed_schema(fields: Sequence[tuple[str, str]]) -> T.StructType:
 
 
 def build_extract_url(describes_df: DataFrame, base: str, table: str | Column, last_sync: str,
-                      name_col: str = "sobject_name", fields_col: str = "fields_json") -> DataFrame:
+                      name_col: str = "sobject_name", fields_col: str = "fields_json",
+                      encode_query: bool = False) -> DataFrame:
     """Extract URL per describe: ``base + path + SELECT f,… FROM table WHERE
     ts > last order by ts asc`` with every space turned into ``+``. ``table``
-    is a fixed name or a column (e.g. the described object's own name)."""
+    is a fixed name or a column (e.g. the described object's own name).
+    ``encode_query`` percent-encodes the query text (only the query, never the
+    whole URL); spaces still become ``+``."""
     fields = parse_fields(F.col(fields_col))
     names = F.array_join(F.transform(fields, lambda f: f["name"]), ",")
     tbl = table if isinstance(table, Column) else F.lit(table)
-    q = F.concat(F.lit(base + EXTRACT_PATH + "SELECT "), names, F.lit(" FROM "), tbl,
-                 F.lit(f" WHERE {EXTRACT_TS} > {last_sync} order by {EXTRACT_TS} asc"))
+    soql = F.concat(F.lit("SELECT "), names, F.lit(" FROM "), tbl,
+                    F.lit(f" WHERE {EXTRACT_TS} > {last_sync} order by {EXTRACT_TS} asc"))
+    query_text = F.url_encode(soql) if encode_query else F.replace(soql, F.lit(" "), F.lit("+"))
     ok = fields.isNotNull() & (F.size(fields) > 0)
     return describes_df.select(
-        F.col(name_col), F.when(ok, F.replace(q, F.lit(" "), F.lit("+"))).alias("url"),
+        F.col(name_col), F.when(ok, F.concat(F.lit(base + EXTRACT_PATH), query_text)).alias("url"),
         F.when(ok, F.lit("success")).otherwise(F.lit("failure")).alias("route"))

@@ -18,8 +18,11 @@ def delay_stream(df: DataFrame, key_col: str, delay_ms: int, event_time_col: str
     delay has strictly passed the key emits ``ready`` and its state is dropped.
 
     The clock is processing time by default (timeouts fire in later
-    micro-batches). With ``event_time_col`` the stamp is the key's first event
-    time and the watermark is the clock, which makes the output repeatable.
+    micro-batches; run it with a processing-time trigger, e.g.
+    ``topic.start_drain``, since such timeouts always ask for another batch
+    and ``availableNow`` would not finish). With ``event_time_col`` the stamp
+    is the key's first event time and the watermark is the clock, which makes
+    the output repeatable and works with ``availableNow``.
     Output: key, delay_timestamp (epoch ms), n_records, route.
     """
     key_type = df.schema[key_col].dataType.simpleString()

@@ -51,8 +51,12 @@ def listing_batch(spark: SparkSession, snapshot_path: str, as_of_ms: int, state_
 
 
 def listing_stream(spark: SparkSession, manifest_dir: str, state_dir: str, output_dir: str, checkpoint: str,
-                   min_age_ms: int | None = None, max_age_ms: int | None = None, snapshots_per_trigger: int = 1):
-    """Start the stream (``availableNow``); returns the started query."""
+                   min_age_ms: int | None = None, max_age_ms: int | None = None, snapshots_per_trigger: int = 1,
+                   trigger_interval: str | None = None):
+    """Start the stream; returns the started query. By default it processes
+    what is announced and stops (``availableNow``); with ``trigger_interval``
+    (e.g. ``"100 milliseconds"``, the minimum gap between two listings) it
+    keeps running until stopped."""
     manifests = (spark.readStream.schema(MANIFEST_SCHEMA)
                  .option("maxFilesPerTrigger", int(snapshots_per_trigger)).json(manifest_dir))
 
@@ -62,8 +66,10 @@ def listing_stream(spark: SparkSession, manifest_dir: str, state_dir: str, outpu
             listing_batch(spark, row["snapshot"], int(row["as_of_ms"]), state_dir, output_dir,
                           min_age_ms, max_age_ms)
 
-    return (manifests.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    writer = manifests.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    if trigger_interval:
+        return writer.trigger(processingTime=trigger_interval).start()
+    return writer.trigger(availableNow=True).start()
 
 
 def emitted_so_far(spark: SparkSession, output_dir: str) -> DataFrame:

@@ -41,3 +41,12 @@ def drain_available(stream_df: DataFrame, sink_path: str, checkpoint_path: str,
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return stream_df.sparkSession.read.format(fmt).load(sink_path)
+
+
+def start_drain(stream_df: DataFrame, sink_path: str, checkpoint_path: str, trigger_interval: str,
+                fmt: str = "parquet"):
+    """Start a continuously running drain with a processing-time trigger;
+    returns the query (stop it with ``query.stop()``). Needed for operators
+    with processing-time timeouts, which never let ``availableNow`` finish."""
+    return (stream_df.writeStream.format(fmt).option("path", sink_path)
+            .option("checkpointLocation", checkpoint_path).trigger(processingTime=trigger_interval).start())

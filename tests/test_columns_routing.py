@@ -155,3 +155,11 @@ def test_busy_nodes_deep_chain_checkpoints(spark):
     queues = spark.createDataFrame([("g19", "q", 99)], "group_id string, queue_name string, queued_count long")
     (path, depth, queue, count), = [tuple(r) for r in busy_nodes(groups, queues).collect()]
     assert path == "/".join(f"n{i}" for i in range(20)) and depth == 19 and count == 99
+
+
+def test_extract_url_encoded_query(spark):
+    df = spark.createDataFrame([("Account", '[{"name":"Id","type":"id"},{"name":"Name","type":"string"}]')],
+                               "sobject_name string, fields_json string")
+    url = build_extract_url(df, "https://h", "Account", "2016-01-01T00:00:00Z", encode_query=True).first().url
+    assert url == ("https://h/services/data/v36.0/queryAll/?q=SELECT+Id%2CName+FROM+Account+WHERE+SYSTEMMODSTAMP"
+                   "+%3E+2016-01-01T00%3A00%3A00Z+order+by+SYSTEMMODSTAMP+asc")
