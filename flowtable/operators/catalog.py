@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtable.sources.tables import TABLES, load
+from flowtable.sources.tables import TABLES, load_many
 
 FIELD = T.StructType([T.StructField("name", T.StringType()), T.StructField("type", T.StringType())])
 FIELDS = T.ArrayType(FIELD)
@@ -54,13 +54,17 @@ def object_summary(df: DataFrame, name: str) -> DataFrame:
 
 
 def list_objects(spark: SparkSession, sf_dir: str, names: Sequence[str] = TABLES) -> DataFrame:
-    """One row per available table: name, number of fields, number of rows."""
-    parts = []
-    for n in names:
-        df = load(spark, sf_dir, n)
-        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"))
-                     .select(F.lit(n).alias("object"), F.lit(len(df.columns)).cast("long").alias("n_fields"), "n_rows"))
-    return reduce(DataFrame.unionByName, parts)
+    """One row per available table: name, number of fields, number of rows.
+
+    All tables are counted in one aggregate over the union of their scans (no
+    column is read; one exchange); a zero row per table keeps empty tables."""
+    frames = load_many(spark, sf_dir, names)
+    scans = [df.select(F.lit(n).alias("object"), F.lit(len(df.columns)).cast("long").alias("n_fields"),
+                       F.lit(1).cast("long").alias("_one")) for n, df in frames.items()]
+    zeros = spark.createDataFrame([(n, len(df.columns), 0) for n, df in frames.items()],
+                                  "object string, n_fields bigint, _one bigint")
+    every = reduce(DataFrame.unionByName, scans + [zeros])
+    return every.groupBy("object", "n_fields").agg(F.sum("_one").alias("n_rows"))
 
 
 def quota_usage(df: DataFrame, scope_col: str, limits_df: DataFrame, limit_scope: str = "scope",

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from flowtable.operators.catalog import (build_extract_url, describe_objects, list_objects, object_summary,
                                          quota_usage, typed_ddl)
 from flowtable.plans.registry import query
-from flowtable.sources.tables import TABLES, load
+from flowtable.sources.tables import TABLES, load, load_many
 
 _IN_TABLES = ", ".join(f"'{t}'" for t in TABLES)
 
@@ -51,7 +51,7 @@ SELECT table_name AS object, CAST(ordinal_position AS INTEGER) AS ordinal, colum
 FROM information_schema.columns WHERE table_name IN ({_IN_TABLES})
 """)
 def q_describe_object(spark, sf_dir):
-    return describe_objects(spark, {t: load(spark, sf_dir, t) for t in TABLES})
+    return describe_objects(spark, load_many(spark, sf_dir, TABLES))
 
 
 def _describe_type(i: int, f: T.StructField) -> str:
@@ -72,8 +72,8 @@ def _describe_type(i: int, f: T.StructField) -> str:
 def schema_describes(spark, sf_dir) -> DataFrame:
     """One describe document per table (``sobject_name``, ``fields_json``)."""
     rows = []
-    for t in TABLES:
-        fields = [{"name": f.name, "type": _describe_type(i, f)} for i, f in enumerate(load(spark, sf_dir, t).schema)]
+    for t, df in load_many(spark, sf_dir, TABLES).items():
+        fields = [{"name": f.name, "type": _describe_type(i, f)} for i, f in enumerate(df.schema)]
         rows.append((t, json.dumps(fields)))
     return spark.createDataFrame(rows, "sobject_name string, fields_json string")
 

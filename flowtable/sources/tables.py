@@ -21,6 +21,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def load_many(spark: SparkSession, sf_dir: str, names=TABLES, threads: int = 8) -> dict[str, DataFrame]:
+    """Several tables at once: their file listings and footer reads (driver
+    metadata work) run concurrently instead of one after another."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(names)))) as pool:
+        frames = list(pool.map(lambda n: load(spark, sf_dir, n), names))
+    return dict(zip(names, frames))
+
+
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Register the tables as temp views (for ``run_query`` and SQL users)."""
     for name in names:
