@@ -112,8 +112,12 @@ def spread(df: DataFrame, heavy: bool = False) -> DataFrame:
     table has far more partitions than that, so at scale this adds no shuffle."""
     cores = cluster_cores(df.sparkSession)
     try:
+        # An input that already went through an exchange is partitioned by the
+        # shuffle; asking an adaptive plan for its RDD would run that shuffle.
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
         parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. Spark Connect): leave it as is
+    except Exception:  # no JVM or RDD view (e.g. Spark Connect): leave it as is
         return df
     limit = cores if heavy else cores // 2
     return df.repartition(cores) if parts < limit else df

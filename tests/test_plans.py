@@ -60,3 +60,15 @@ def test_global_cap_uses_top_k_not_a_full_sort(spark):
 def test_folder_scan_never_reads_file_content(spark):
     scan = [line for line in plan(spark, "scan_inventory").split("\n") if "FileScan binaryFile" in line]
     assert scan and "content" not in scan[0]
+
+
+def test_spread_leaves_shuffled_inputs_alone(spark):
+    from flowtable.session import spread
+
+    small = spark.range(100).coalesce(1)
+    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    shuffled = spark.range(100).selectExpr("id % 3 AS k").groupBy("k").count()
+    jobs_before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    out = spread(shuffled)
+    assert out is shuffled
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs_before
