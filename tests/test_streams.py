@@ -92,3 +92,22 @@ def test_listing_stream_with_trigger_interval(spark):
     finally:
         q.stop()
     assert [r.name for r in emitted_so_far(spark, f"{base}/out").collect()] == ["a"]
+
+
+def test_poll_stream_bounds_records_per_trigger(spark):
+    from flowtable.streaming.poll import poll_stream
+
+    base = scratch_path(spark, "t-poll")
+    stream = poll_stream(spark, "tests.poll_fixture:poll", "id long, body string", max_records_per_trigger=10)
+    q = start_drain(stream, f"{base}/sink", f"{base}/ckpt", "100 milliseconds")
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline:
+            q.awaitTermination(1)
+            if sum(p["numInputRows"] for p in q.recentProgress) >= 25:
+                break
+        sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] > 0]
+    finally:
+        q.stop()
+    assert sizes == [10, 10, 5]
+    assert sorted(r.id for r in spark.read.parquet(f"{base}/sink").collect()) == list(range(25))
