@@ -31,14 +31,14 @@ def q_topic_drain(spark, sf_dir):
 @query("delay_stream")
 def q_delay_stream(spark, sf_dir):
     base = scratch_path(spark, "delay")
-    publish(load(spark, sf_dir, "events"), f"{base}/topic", records_per_file=5000)
+    publish(load(spark, sf_dir, "events"), f"{base}/topic", records_per_file=10000)
     # The state store keeps the partition count the query starts with; size it
     # to the cluster's cores in a sibling session instead of the shuffle default.
     stateful = spark.newSession()
     stateful.conf.set("spark.sql.shuffle.partitions", str(cluster_cores(spark)))
     stateful.conf.set("spark.sql.session.timeZone", "UTC")
-    # a few triggers, so the watermark moves and earlier keys time out
-    stream = topic_drain(stateful, f"{base}/topic", EVENT_SCHEMA, max_files_per_trigger=8)
+    # the watermark moves with each trigger; keys whose delay it passes time out in the next one
+    stream = topic_drain(stateful, f"{base}/topic", EVENT_SCHEMA, max_files_per_trigger=10)
     gated = delay_stream(stream, "user_id", delay_ms=24 * 3600 * 1000, event_time_col="ts")
     return drain_available(gated, f"{base}/sink", f"{base}/checkpoint")
 
