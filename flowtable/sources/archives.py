@@ -47,26 +47,41 @@ def zip_entries(spark: SparkSession, path: str, glob: str = "*.zip", encoding: s
 def write_zip_archives(df: DataFrame, out_dir: str, archive_col: str, name_col: str, text_col: str,
                        order_col: str) -> DataFrame:
     """Write one zip archive per ``archive_col`` value (entries in ``order_col``
-    order); returns (archive value, path, n_entries). Archive groups must be
-    bounded in size by the caller (e.g. bucket a hot key)."""
+    order); returns (archive value, path, n_entries). Rows are hash-partitioned
+    by archive and sorted within partitions, so each task streams its archives
+    one after another. Archive groups must be bounded in size by the caller
+    (e.g. bucket a hot key)."""
     import os
 
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order_col)
-        key = str(pdf[archive_col].iloc[0])
+    def write_one(key, names, texts) -> tuple:
         path = os.path.join(out_dir, f"{key}.zip")
-        os.makedirs(out_dir, exist_ok=True)
         buf = io.BytesIO()
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
-            for name, text in zip(pdf[name_col], pdf[text_col]):
+            for name, text in zip(names, texts):
                 zf.writestr(str(name), (text or "").encode("utf-8"))
         with open(path, "wb") as fh:
             fh.write(buf.getvalue())
-        return pd.DataFrame({"archive_key": [key], "path": [path], "n_entries": [len(pdf)]})
+        return key, path, len(names)
+
+    def write(batches):
+        os.makedirs(out_dir, exist_ok=True)
+        key, names, texts = None, [], []
+        done = []
+        for pdf in batches:
+            for k, n, t in zip(pdf[archive_col].astype(str), pdf[name_col], pdf[text_col]):
+                if k != key and key is not None:
+                    done.append(write_one(key, names, texts))
+                    names, texts = [], []
+                key = k
+                names.append(n)
+                texts.append(t)
+        if key is not None:
+            done.append(write_one(key, names, texts))
+        yield pd.DataFrame(done, columns=["archive_key", "path", "n_entries"]).astype({"n_entries": "int64"})
 
-    cols = [archive_col, name_col, text_col, order_col]
-    return df.select(*dict.fromkeys(cols)).groupBy(archive_col).applyInPandas(
-        write, "archive_key string, path string, n_entries long")
+    cols = list(dict.fromkeys([archive_col, name_col, text_col, order_col]))
+    ordered = df.select(*cols).repartition(archive_col).sortWithinPartitions(archive_col, order_col)
+    return ordered.mapInPandas(write, "archive_key string, path string, n_entries long")
 
 
 def first_value_per_archive(matches: DataFrame, archive_col: str = "archive", index_col: str = "entry_index",
