@@ -35,11 +35,17 @@ def get_session(master: str | None = None, app: str = "flowtable", partitions: i
     return spark
 
 
+_fallback_dir: str | None = None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) do we create one.
+    Only a local session that names none (tests) gets a folder of its own: on
+    a cluster a machine-local folder would be invisible to other executors,
+    so a missing setting is an error there.
     """
+    global _fallback_dir
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -48,8 +54,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="flowtable-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if _fallback_dir is None:
+            _fallback_dir = tempfile.mkdtemp(prefix="flowtable-ckpt-")
+        path = _fallback_dir
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
@@ -128,11 +137,3 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     the SparkContext first); survives executor loss, unlike a local checkpoint."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing ``df`` as parquet under the shared folder and reading it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

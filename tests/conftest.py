@@ -23,10 +23,9 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", ckpt)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", ckpt)
     yield spark
     spark.stop()
