@@ -27,9 +27,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from flowtable.llm.common import with_arrow_column
+
 LEAF = 16  # pieces up to this many bytes are encoded directly
 CACHE = 200_000  # pieces kept per worker
-ROWS = 256  # rows of an output batch
 
 
 class Bpe:
@@ -157,25 +158,6 @@ def load(path: str, pattern: str) -> Bpe:
     return Bpe(path, pattern)
 
 
-def _with_column(df: DataFrame, source: str, name: str, kind, make) -> DataFrame:
-    """``df`` without ``source``'s place taken: one more column ``name`` from
-    ``make(column) -> array``, in small Arrow batches."""
-    kept = [f for f in df.schema.fields if f.name != name]
-    schema = T.StructType(kept + [T.StructField(name, kind)])
-    positions = [i for i, f in enumerate(df.schema.fields) if f.name != name]
-    names = [f.name for f in schema.fields]
-    at = df.columns.index(source)
-
-    def run(batches):
-        for whole in batches:
-            for row in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(row, ROWS)
-                columns = [batch.column(i) for i in positions]
-                yield pa.RecordBatch.from_arrays([*columns, make(batch.column(at))], names=names)
-
-    return df.mapInArrow(run, schema)
-
-
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the token ids of ``text`` in a column ``ids``."""
     def make(column: pa.Array) -> pa.Array:
@@ -185,7 +167,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
             offsets.append(len(flat))
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
 
-    return _with_column(df, text, ids, T.ArrayType(T.IntegerType()), make)
+    return with_arrow_column(df, text, ids, T.ArrayType(T.IntegerType()), make)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -200,4 +182,4 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
             at += n
         return pa.array(found, pa.binary())
 
-    return _with_column(df, ids, out, T.BinaryType(), make)
+    return with_arrow_column(df, ids, out, T.BinaryType(), make)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowtable.session import shared_dir
 
@@ -52,3 +54,35 @@ def with_key(docs: DataFrame) -> DataFrame:
 def same_key(a: DataFrame, b: DataFrame):
     """Null-safe equality of (doc_id, thash) between two tables."""
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["thash"] == b["thash"])
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose (doc_id, thash) is among the
+    materialised ``keys``; broadcast only if those are proven small."""
+    keys = maybe_broadcast(keys.select(F.col("doc_id").alias("gone_id"), F.col("thash").alias("gone_hash")), row_bytes=48)
+    text = F.coalesce(docs["text"], F.lit(""))
+    return docs.join(keys, docs["doc_id"].cast("long").eqNullSafe(keys["gone_id"])
+                     & (F.xxhash64(text) == keys["gone_hash"]), "left_anti")
+
+
+ARROW_ROWS = 256  # rows of an output batch
+
+
+def with_arrow_column(df: DataFrame, source: str, name: str, kind: T.DataType, make) -> DataFrame:
+    """``df`` with one more column ``name`` (in place of one of that name),
+    computed from column ``source`` by ``make(array) -> array`` in small Arrow
+    batches. All other columns pass through."""
+    kept = [f for f in df.schema.fields if f.name != name]
+    schema = T.StructType(kept + [T.StructField(name, kind)])
+    positions = [i for i, f in enumerate(df.schema.fields) if f.name != name]
+    names = [f.name for f in schema.fields]
+    at = df.columns.index(source)
+
+    def run(batches):
+        for whole in batches:
+            for row in range(0, whole.num_rows, ARROW_ROWS):
+                batch = whole.slice(row, ARROW_ROWS)
+                columns = [batch.column(i) for i in positions]
+                yield pa.RecordBatch.from_arrays([*columns, make(batch.column(at))], names=names)
+
+    return df.mapInArrow(run, schema)

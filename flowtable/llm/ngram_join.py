@@ -182,8 +182,10 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, threshold: tuple[int, int]
 
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """One row per document: ``doc_id, thash, n_shingles, class_id,
-    component_id`` (the smallest doc_id that links reach, its own included)."""
+    """One row per document: ``doc_id, thash, n_shingles, class_id, group_id,
+    component_id``. Documents of one class have equal sets, those of one group
+    reach each other by links; both are null for empty sets. ``component_id``
+    is the smallest doc_id that links reach, its own included."""
     num, den = threshold
     hashed, sets, orders = _prepared(docs, k, num, den)
     buckets = orders.select("class", "n", F.explode("p0").alias("token"))
@@ -219,8 +221,20 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, threshold: tuple[int,
     placed = least.join(comps, least["class"] == comps["node"], "left") \
         .select("class", "low", F.coalesce("root", "class").alias("root"))
     low = placed.groupBy("root").agg(F.min("low").alias("component")).withColumnRenamed("root", "r2")
-    found = placed.join(low, placed["root"] == low["r2"]).select(F.col("class").alias("c2"), "component")
+    found = placed.join(low, placed["root"] == low["r2"]).select(F.col("class").alias("c2"), "root", "component")
     out = hashed.join(found, (hashed["class"] == found["c2"]) & (hashed["n"] > 0), "left")
     return out.select("doc_id", "thash", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("class")).alias("class_id"),
+                      F.when(F.col("n") > 0, F.col("class")).alias("class_id"), F.col("root").alias("group_id"),
                       F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """(doc_id, thash) of the documents to drop so that one of each group
+    stays: that with the smallest doc_id (null ids last), then text hash."""
+    rows = materialize(jaccard_components(docs, k, threshold).filter("group_id is not null")
+                       .select("doc_id", "thash", "group_id"), "groups")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "thash")
+    kept = rows.groupBy("group_id").agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("c")).filter("c > 1") \
+        .withColumnRenamed("group_id", "g2")
+    return materialize(rows.join(kept, rows["group_id"] == kept["g2"]).filter(F.col("kept") != place)
+                       .select("doc_id", "thash").distinct(), "near-duplicates")

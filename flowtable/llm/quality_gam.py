@@ -12,8 +12,8 @@ hundred kilobytes of numbers); every text is scored whole, in Arrow batches.
 
 Defined cases: null text is empty and gets a score; texts of any length are
 read whole; repeated rows get equal scores; without labelled rows of both
-classes every score is 0.5; an empty table gives no rows; other columns are
-not read.
+classes every score is 0.5; an empty table gives no rows; other columns pass
+through.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from flowtable.llm import arrow_text as at
-from flowtable.llm.common import with_key
+from flowtable.llm.common import with_arrow_column
 from flowtable.llm.labelled import sample
 
 SAMPLE = 12_000  # labelled rows the model is fitted on, at most
@@ -189,16 +190,13 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, where=None) -
     return fit(np.array([r.x for r in rows]), np.array([r.y for r in rows], dtype=float))
 
 
-def score(docs: DataFrame, model: Gam | None) -> DataFrame:
-    """``doc_id, thash, score`` of every document."""
+def score(docs: DataFrame, model: Gam | None, text: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` with the score of ``text`` in a column ``out``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
-        for batch in batches:
-            for a, b, offsets, data in at.slices(batch.column("text")):
-                s = np.full(b - a, 0.5) if sent.value is None else sent.value.score(features(offsets, data))
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("thash"), pa.array(s)],
-                                                 names=["doc_id", "thash", "score"])
+    def make(column: pa.Array) -> pa.Array:
+        parts = [np.full(b - a, 0.5) if sent.value is None else sent.value.score(features(offsets, data))
+                 for a, b, offsets, data in at.slices(column)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
-    return with_key(docs).mapInArrow(run, "doc_id long, thash long, score double")
+    return with_arrow_column(docs, text, out, T.DoubleType(), make)

@@ -100,6 +100,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
 
 
+def contaminated() -> Column:
+    """The rule over ``contamination``'s columns: a twentieth of the words hit."""
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
 def _fingerprints(df: DataFrame, words: str, spans: list[int]) -> DataFrame:
     """``df`` with ``kept``: (span, hash) structs of the kept hashes. Each step
     is a column of its own, so no lambda computes its input again."""
