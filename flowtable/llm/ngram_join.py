@@ -16,7 +16,7 @@ other, each one lossless:
 4. the whole sets are compared.
 
 Candidates are not all pairs of a token's bucket. First each class of a bucket
-is compared with the bucket's smallest and largest member; the links found are
+is compared with the bucket's most central member and one other; the links found are
 merged into components; then only pairs across components are compared, each
 with at least one side outside its bucket's most frequent component. A pair of
 one component needs no comparison, so no reachable document is lost.
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtable.llm import arrow_text as at
@@ -119,23 +119,36 @@ def _first_filter(docs: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _orders(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(class, n, p0, p1, p2): prefixes under three rare-first orders, without
-    tokens that only one class has; classes with an empty prefix are left out."""
+    """(class, n, m, central, p0, p1, p2): prefixes under three rare-first
+    orders, without tokens that only one class has; ``m`` counts the others and
+    ``central`` is the mean number of classes of a token. Classes with an
+    empty prefix are left out."""
     tokens = sets.select("class", "n", F.explode("tokens").alias("token"))
     df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     df = df.withColumnRenamed("token", "t2")
     shared = tokens.join(df, tokens["token"] == df["t2"])
-    keys = [F.struct("df", "token"),
-            F.struct("df", F.xxhash64("token").alias("h"), "token"),
-            F.struct(F.floor(F.log2("df")).alias("band"), F.xxhash64("token", F.lit(7)).alias("h"), "token")]
     per_class = shared.groupBy("class").agg(
-        F.first("n").alias("n"), F.count(F.lit(1)).alias("m"),
-        *[F.sort_array(F.collect_list(key)).alias(f"o{i}") for i, key in enumerate(keys)])
+        F.first("n").alias("n"), F.count(F.lit(1)).alias("m"), F.sum("df").alias("weight"),
+        F.collect_list(F.struct("df", "token")).alias("shared"))
     # The n - m tokens of one class alone come first in every order.
     length = F.expr(f"cast(m - (n * {num} + {den - 1}) div {den} + 1 as int)")
     per_class = per_class.withColumn("length", length).filter("length > 0")
-    return per_class.select("class", "n", *[
-        F.transform(F.slice(f"o{i}", F.lit(1), F.col("length")), lambda s: s["token"]).alias(f"p{i}") for i in range(3)])
+    orders = [
+        F.sort_array("shared"),
+        F.sort_array(F.transform("shared", lambda s: F.struct(
+            s["df"].alias("df"), F.xxhash64(s["token"]).alias("h"), s["token"].alias("token")))),
+        F.sort_array(F.transform("shared", lambda s: F.struct(
+            F.floor(F.log2(s["df"])).alias("band"), F.xxhash64(s["token"], F.lit(7)).alias("h"), s["token"].alias("token"))))]
+    return per_class.select("class", "n", "m", (F.col("weight") / F.col("n")).alias("central"), *[
+        F.transform(F.slice(o, F.lit(1), F.col("length")), lambda s: s["token"]).alias(f"p{i}")
+        for i, o in enumerate(orders)])
+
+
+def _near(num: int, den: int) -> Column:
+    """Whether classes of (n, m) and (n2, m2) can reach the threshold at all:
+    common tokens are among both sides' m, and the union holds the larger m
+    and every token that only one class has."""
+    return F.expr(f"least(m, m2) * {den} >= (greatest(m, m2) + (n - m) + (n2 - m2)) * {num}")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, orders: DataFrame, num: int, den: int) -> DataFrame:
@@ -173,10 +186,9 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, threshold: tuple[int, int]
     as class ids of ``jaccard_components``."""
     num, den = threshold
     _, sets, orders = _prepared(docs, k, num, den)
-    t = orders.select("class", "n", F.explode("p0").alias("token"))
-    u = t.select(F.col("class").alias("c2"), F.col("n").alias("n2"), F.col("token").alias("t2"))
-    pairs = t.join(u, (t["token"] == u["t2"]) & (t["class"] < u["c2"]) & (F.col("n") * den >= F.col("n2") * num)
-                   & (F.col("n2") * den >= F.col("n") * num)) \
+    t = orders.select("class", "n", "m", F.explode("p0").alias("token"))
+    u = t.withColumnsRenamed({"class": "c2", "n": "n2", "m": "m2", "token": "t2"})
+    pairs = t.join(u, (t["token"] == u["t2"]) & (t["class"] < u["c2"]) & _near(num, den)) \
         .select(F.col("class").alias("a"), F.col("c2").alias("b")).distinct()
     return _verified(pairs, sets, orders, num, den)
 
@@ -188,31 +200,32 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, threshold: tuple[int,
     is the smallest doc_id that links reach, its own included."""
     num, den = threshold
     hashed, sets, orders = _prepared(docs, k, num, den)
-    buckets = orders.select("class", "n", F.explode("p0").alias("token"))
-    near = f"n * {den} >= m * {num} and m * {den} >= n * {num}"
-
-    # Each class of a bucket against its smallest and largest set.
-    ends = buckets.groupBy("token").agg(F.min(F.struct("n", "class")).alias("lo"), F.max(F.struct("n", "class")).alias("hi"))
-    ends = ends.filter("lo.class <> hi.class").select(F.col("token").alias("t2"), "lo", "hi")
-    starred = buckets.join(ends, buckets["token"] == ends["t2"]) \
-        .select("class", "n", F.explode(F.array("lo", "hi")).alias("hub")) \
-        .select("class", "n", F.col("hub.class").alias("hub"), F.col("hub.n").alias("m")).filter("class <> hub") \
-        .filter(near).select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
+    buckets = orders.select("class", "n", "m", "central", F.explode("p0").alias("token"))
+    near = _near(num, den)
+
+    # Each class of a bucket against its most central set (of near copies, the
+    # one that they were made from) and one other.
+    ends = buckets.groupBy("token").agg(F.max(F.struct("central", "class", "n", "m")).alias("hi"),
+                                        F.min(F.struct("class", "n", "m")).alias("lo"), F.count(F.lit(1)).alias("size"))
+    hub = lambda c: F.struct(F.col(f"{c}.class").alias("c2"), F.col(f"{c}.n").alias("n2"), F.col(f"{c}.m").alias("m2"))
+    ends = ends.filter("size > 1").select(F.col("token").alias("t2"), F.array(hub("hi"), hub("lo")).alias("hubs"))
+    starred = buckets.join(ends, buckets["token"] == ends["t2"]).select("class", "n", "m", F.explode("hubs").alias("hub")) \
+        .select("class", "n", "m", "hub.c2", "hub.n2", "hub.m2").filter((F.col("class") != F.col("c2")) & near) \
+        .select(F.least("class", "c2").alias("a"), F.greatest("class", "c2").alias("b")).distinct()
     links = materialize(_verified(starred, sets, orders, num, den).select("a", "b"), "star-links")
     comps = materialize(components(links), "star-components")
 
     # Pairs across components: one side is outside the bucket's main component.
     placed = buckets.join(comps, buckets["class"] == comps["node"], "left") \
-        .select("class", "n", "token", F.coalesce("root", "class").alias("comp"))
+        .select("class", "n", "m", "token", F.coalesce("root", "class").alias("comp"))
     sizes = placed.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("size"))
     mains = sizes.groupBy("token").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("parts")) \
         .filter("parts > 1").select(F.col("token").alias("t2"), F.col("top.comp").alias("main"))
     mixed = materialize(placed.join(mains, placed["token"] == mains["t2"]).drop("t2"), "mixed")
-    other = mixed.select(F.col("class").alias("c2"), F.col("n").alias("m"), F.col("token").alias("t2"),
-                         F.col("comp").alias("comp2"), F.col("main").alias("main2"))
+    other = mixed.withColumnsRenamed({c: f"{c}2" for c in ("n", "m", "comp", "main")} | {"class": "c2", "token": "t2"})
     side = mixed.filter("comp <> main")
     across = side.join(other, (side["token"] == other["t2"]) & (F.col("comp") != F.col("comp2"))
-                       & ((F.col("comp2") == F.col("main2")) | (F.col("class") < F.col("c2"))) & F.expr(near)) \
+                       & ((F.col("comp2") == F.col("main2")) | (F.col("class") < F.col("c2"))) & near) \
         .select(F.least("class", "c2").alias("a"), F.greatest("class", "c2").alias("b")).distinct()
     more = materialize(_verified(across, sets, orders, num, den).select("a", "b"), "cross-links")
     comps = components(links.unionAll(more))
