@@ -2,12 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import queries
+from flowtable.plans import ORACLES, QUERIES
 from tests.compare import compare, duck
 from tests.conftest import SF_CHECK
 
-ORACLES = oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -20,7 +19,7 @@ def test_query_matches_oracle(spark, con, name):
     compare(df, con, ORACLES[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(queries())))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_runs_small(spark, name):
     df = queries()[name](spark, "/root/testdata/sf0.001")
     df.count()
