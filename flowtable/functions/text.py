@@ -53,11 +53,5 @@ def regex_is_valid(spark: SparkSession, regex: str) -> bool:
 
 
 def word_count(text: Column) -> Column:
-    """Whitespace-separated words; 0 for empty or blank text."""
-    trimmed = F.trim(text)
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, r"\s+")))
-
-
-def sql_string(value: str) -> str:
-    """Quote a Python string as a SQL string literal."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    """Words separated by white space of any kind; 0 for blank text."""
+    return F.regexp_count(text, F.lit(r"\S+"))

@@ -2,7 +2,7 @@
 
 from flowtable.operators.catalog import (build_extract_url, describe_object, describe_objects, list_objects,
                                          object_summary, quota_usage, typed_ddl, typed_schema)
-from flowtable.operators.columns import (lookup_enrich, metric_json, mock_weight_table, parse_pairs, put_content,
+from flowtable.operators.columns import (lookup_enrich, metric_json, parse_pairs, put_content,
                                          rewrite_extension, split_list)
 from flowtable.operators.extract import Detector, extract_to, nested_detect, nth_match
 from flowtable.operators.gate import delay_gate

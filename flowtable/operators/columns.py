@@ -47,23 +47,6 @@ def rewrite_extension(df: DataFrame, col: str, extension: str = ".jpg", out_col:
     return df.withColumn(out_col or col, new)
 
 
-# The reference's mocked weight lookup (file name -> weight, compared
-# ignoring case, default "0.0").
-MOCK_WEIGHTS = [
-    ("IMG_5103.JPG", "0.0"),
-    ("IMG_5104.JPG", "130"),
-    ("IMG_5105.JPG", "130"),
-    ("IMG_5106.JPG", "130"),
-    ("IMG_5107.JPG", "263"),
-    ("IMG_5108.JPG", "263"),
-]
-MOCK_WEIGHT_DEFAULT = "0.0"
-
-
-def mock_weight_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MOCK_WEIGHTS, "key string, value string")
-
-
 def lookup_enrich(df: DataFrame, key_col: str, map_df: DataFrame, map_key: str = "key",
                   map_value: str = "value", out_col: str = "value", default: str | None = None) -> DataFrame:
     """Case-insensitive lookup of ``key_col`` in ``map_df``; misses get ``default``.
@@ -101,7 +84,8 @@ def parse_pairs(df: DataFrame, col: str, out_col: str = "pairs", route_col: str
     Items and ``=``-separated tokens are split with empty tokens dropped;
     the first token is the key, the second the value (later ones ignored), the
     last duplicate key wins. An item with fewer than two tokens makes the row
-    ``failure`` with a null map; other rows are ``success``.
+    ``failure`` with a null map; other rows are ``success``; a null text has no
+    items and gives an empty map.
 
     Two native regex scans per text (non-empty items; well-formed items with
     their key and value) and one filter that keeps each key's last entry.
@@ -113,8 +97,9 @@ def parse_pairs(df: DataFrame, col: str, out_col: str = "pairs", route_col: str
     staged = spread(df).withColumn("_k", keys).withColumn("_v", values).withColumn("_bad", F.size("_k") < n_items)
     last = F.filter(F.arrays_zip(F.col("_k").alias("key"), F.col("_v").alias("value")),
                     lambda e, i: i == F.size("_k") - F.array_position(F.reverse(F.col("_k")), e["key"]))
-    ok = text.isNotNull() & ~F.col("_bad")
-    return (staged.withColumn(out_col, F.when(ok, F.map_from_entries(last)))
+    empty = F.create_map().cast("map<string,string>")
+    pairs = F.when(text.isNull(), empty).when(~F.col("_bad"), F.map_from_entries(last))
+    return (staged.withColumn(out_col, pairs)
             .withColumn(route_col, F.when(text.isNotNull() & F.col("_bad"), F.lit("failure"))
                         .otherwise(F.lit("success")))
             .drop("_k", "_v", "_bad"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,8 +79,8 @@ def scan_inventory(spark: SparkSession, root: str, glob: str | None = None) -> D
         path.alias("path"), F.element_at(F.split(path, "/"), -1).alias("name"),
         F.regexp_extract(path, r"^(.*)/[^/]*$", 1).alias("parent"), F.col("length"),
         F.unix_millis(F.col("modificationTime")).alias("mtime_ms"), F.lit(None).cast("string").alias("owner"),
-        F.lit(None).cast("string").alias("group"), F.lit(1).alias("replication"),
-        F.lit(0o644).alias("mode"), F.lit(False).alias("is_dir"))
+        F.lit(None).cast("string").alias("group"), F.lit(None).cast("int").alias("replication"),
+        F.lit(None).cast("int").alias("mode"), F.lit(False).alias("is_dir"))
 
 
 @dataclass(frozen=True)
@@ -170,28 +171,46 @@ def listing_cutoff(files_df: DataFrame, state: ListingState, as_of_ms: int, min_
 def run_listing(files_df: DataFrame, state_path: str, output_path: str, as_of_ms: int,
                 min_age_ms: int | None = None, max_age_ms: int | None = None) -> DataFrame:
     """A complete run with durable state: read the state, write the emitted
-    rows, then replace the state. Returns the emitted rows as written. A lost
-    run re-emits (at least once), never skips.
+    rows, then append the new state to the history. Returns the emitted rows as
+    written. A lost run re-emits (at least once), never skips; a run repeated
+    with its ``as_of_ms`` reads the state before it and writes the same rows.
 
     Passes over the inventory: one aggregate, one filtered write (cut-off as
     a literal); the new emitted watermark comes from the written output."""
     spark = files_df.sparkSession
-    try:
-        state_df = spark.read.parquet(state_path)
-    except Exception:  # first run: no state table yet
-        state_df = None
-    state = ListingState.read(state_df)
+    state, seq = state_before(spark, state_path, as_of_ms)
     emitted, newest_eligible = listing_cutoff(files_df, state, as_of_ms, min_age_ms, max_age_ms)
     batch_path = f"{output_path}/run={as_of_ms}"
     emitted.write.mode("overwrite").parquet(batch_path)
     written = spark.read.parquet(batch_path)
-    new_state = next_state(spark, state, newest_eligible, written)
-    # the new state is written beside the old one, then replaces it
-    new_state.write.mode("overwrite").parquet(state_path + ".next")
-    spark.read.parquet(state_path + ".next").write.mode("overwrite").parquet(state_path)
+    commit_state(next_state(spark, state, newest_eligible, written), state_path, as_of_ms, seq)
     return written
 
 
+def state_before(spark: SparkSession, state_path: str, as_of_ms: int) -> tuple[ListingState, int]:
+    """The state that run ``as_of_ms`` starts from, and the run's number: the
+    newest committed state, or, for a run that is repeated, the one before its
+    own. A late run (older ``as_of_ms`` than committed ones) so never sends
+    again what later runs have sent. Only a missing history means a first run;
+    any other read error is raised."""
+    try:
+        history = spark.read.parquet(state_path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return ListingState(), 0
+    own = history.where(F.col("as_of_ms") == int(as_of_ms)).agg(F.min("seq")).first()[0]
+    before = history if own is None else history.where(F.col("seq") < own)
+    row = before.orderBy(F.col("seq").desc()).first()
+    state = ListingState() if row is None else ListingState(int(row["listed_ms"]), int(row["emitted_ms"]))
+    return state, own if own is not None else 0 if row is None else row["seq"] + 1
+
+
+def commit_state(new_state: DataFrame, state_path: str, as_of_ms: int, seq: int) -> None:
+    new_state.select("listed_ms", "emitted_ms", F.lit(int(as_of_ms)).alias("as_of_ms"), F.lit(int(seq)).cast("long").alias("seq")) \
+        .write.mode("append").parquet(state_path)
+
+
 def next_state(spark: SparkSession, state: ListingState, newest_eligible: int | None,
                written: DataFrame, mtime_col: str = "mtime_ms") -> DataFrame:
     """State row after a run, from the newest eligible time and the output."""

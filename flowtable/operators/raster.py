@@ -14,10 +14,11 @@ def _c(v) -> Column:
 
 
 def to_raster(flat: Column, width: int) -> Column:
-    """Flat pixel array → rows of ``width`` pixels (a short last row is dropped)."""
-    rows = F.floor(F.size(flat) / F.lit(width)).cast("int")
-    return F.transform(F.sequence(F.lit(0), rows - 1),
-                       lambda i: F.slice(flat, i * width + 1, F.lit(width)))
+    """Flat pixel array → rows of ``width`` pixels (the last may be shorter; no
+    pixels give no rows)."""
+    rows = F.ceil(F.size(flat) / F.lit(width)).cast("int")
+    return F.when(rows <= 0, F.array().cast("array<array<int>>")).otherwise(F.transform(F.sequence(F.lit(0), rows - 1),
+                       lambda i: F.slice(flat, i * width + 1, F.lit(width))))
 
 
 def raster_text(img: Column) -> Column:
@@ -30,7 +31,8 @@ def raster_height(img: Column) -> Column:
 
 
 def raster_width(img: Column) -> Column:
-    return F.size(F.element_at(img, 1))
+    """Pixels of the first row; null for an empty raster."""
+    return F.size(F.get(img, F.lit(0)))
 
 
 def raster_crop(df: DataFrame, col: str, x, y, w, h, out_col: str = "crop") -> DataFrame:
@@ -49,13 +51,10 @@ def raster_zoom(df: DataFrame, col: str, factor: int = 2, out_col: str = "zoomed
     """Nearest-neighbour enlargement by an integer ``factor`` (default 2)."""
     if factor < 1:
         raise ValueError("factor must be >= 1")
-    img = F.col(col)
-    f = F.lit(int(factor))
-    zoomed = F.transform(
-        F.sequence(F.lit(0), raster_height(img) * f - 1),
-        lambda i: F.transform(F.sequence(F.lit(0), raster_width(img) * f - 1),
-                              lambda j: img[F.floor(i / f).cast("int")][F.floor(j / f).cast("int")]))
-    return df.withColumn(out_col, F.when(F.size(img) > 0, zoomed).otherwise(img))
+    def repeat(a: Column) -> Column:
+        return F.flatten(F.transform(a, lambda v: F.array_repeat(v, int(factor))))
+
+    return df.withColumn(out_col, repeat(F.transform(F.col(col), repeat)))
 
 
 def raster_bounds(df: DataFrame, col: str, x, y, w, h, value: int = 255, out_col: str = "bounded") -> DataFrame:

@@ -37,6 +37,11 @@ def outputs(df: DataFrame, names: Sequence[str], route_col: str = "route",
     return out
 
 
+# Times keep their microseconds.
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def as_json_content(df: DataFrame, per: str = "row", key_cols: Sequence[str] = (),
                     order_cols: Sequence[str] = (), content_col: str = "content",
                     table_max_rows: int = 100_000) -> DataFrame:
@@ -49,11 +54,11 @@ def as_json_content(df: DataFrame, per: str = "row", key_cols: Sequence[str] = (
       result proven to have at most ``table_max_rows`` rows.
     """
     if per == "row":
-        return df.select(*key_cols, F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(content_col))
+        return df.select(*key_cols, F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias(content_col))
     body_cols = [c for c in df.columns if c not in key_cols]
     ordered = list(order_cols) + [c for c in body_cols if c not in order_cols]
     elem = F.struct(*[F.col(c) for c in ordered])
-    as_array = F.to_json(F.array_sort(F.collect_list(elem)))
+    as_array = F.to_json(F.array_sort(F.collect_list(elem)), JSON_OPTIONS)
     if per == "group":
         if not key_cols:
             raise ValueError("per='group' needs key_cols")

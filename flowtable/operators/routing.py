@@ -25,7 +25,7 @@ MAGIC = [
 UNSUPPORTED = "unsupported image format"
 NO_ACTION = "no action taken"
 # Global caps up to this size use a top-k (each task keeps at most this many rows).
-TOPK_MAX = 1_000_000
+TOPK_MAX = 10_000
 
 
 def detect_format(df: DataFrame, content_col: str) -> DataFrame:
@@ -103,7 +103,7 @@ def capped_actions(df: DataFrame, order_cols: Sequence[str], maximum: int, alrea
     top = df.select(key_col, *order_cols).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
     cut = top.groupBy(F.col(key_col).alias("_key")).agg(F.max(order).alias("_cut"))
     # one row per key: AQE broadcasts it from its measured size (no second run of the window)
-    joined = df.join(cut, F.col(key_col) == F.col("_key"), "left")
+    joined = df.join(cut, F.col(key_col).eqNullSafe(F.col("_key")), "left")
     return joined.withColumn(route_col, F.when(order <= F.col("_cut"), F.lit("act")).otherwise(F.lit(NO_ACTION))) \
                  .drop("_key", "_cut")
 
@@ -129,7 +129,7 @@ def _ranked_cutoff(df: DataFrame, order_cols: Sequence[str], cap: int):
     return ranked.where(rank <= F.lit(int(cap))).agg(F.max("_o")).scalar()
 
 
-def busy_nodes(groups_df: DataFrame, queues_df: DataFrame, threshold: int = 10, max_depth: int = 64,
+def busy_nodes(groups_df: DataFrame, queues_df: DataFrame, threshold: int = 10,
                group_id: str = "group_id", parent_id: str = "parent_id", name: str = "name",
                queue_group: str = "group_id", queue_name: str = "queue_name",
                queued: str = "queued_count") -> DataFrame:
@@ -152,7 +152,16 @@ def busy_nodes(groups_df: DataFrame, queues_df: DataFrame, threshold: int = 10,
     bcast = fits_broadcast(active)
     finished: list[DataFrame] = []
     levels: list[DataFrame] = []
-    for level in range(max_depth + 1):
+    limit = None  # a chain longer than the number of groups runs in a circle
+    level = -1
+    while True:
+        level += 1
+        if level == 64:
+            limit = groups.count()
+        if limit is not None and level > limit:
+            for cached in levels + [first]:
+                cached.unpersist()
+            raise ValueError("the group tree has a cycle")
         left = F.broadcast(active) if bcast else active
         step = left.join(groups, F.col("_cur") == F.col("_id"), "inner").select(
             "_g", "queue", "count",
@@ -167,8 +176,6 @@ def busy_nodes(groups_df: DataFrame, queues_df: DataFrame, threshold: int = 10,
         # stop once every chain reached a root (one small action per level)
         if active.isEmpty():
             break
-    else:
-        raise ValueError(f"group tree deeper than {max_depth} levels (or cyclic)")
     out = finished[0]
     for part in finished[1:]:
         out = out.unionByName(part)

@@ -71,14 +71,9 @@ def top_k_annotations(df: DataFrame, key_cols: Sequence[str], feature_col: str,
     return top.unionByName(filler)
 
 
-def tokens(text: Column, split_regex: str = "[^a-z]+") -> Column:
-    """Lower-cased tokens (empty ones dropped)."""
-    return F.filter(F.split(F.lower(text), split_regex), lambda t: t != F.lit(""))
-
-
 def words(text: Column) -> Column:
-    """Lower-cased ASCII-letter words (the same tokens as ``tokens``)."""
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), 0)
+    """Lower-cased words of letters of any script."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), 0)
 
 
 # Lexicons up to this size are inlined as a map literal and summed inside each row.
@@ -88,7 +83,7 @@ INLINE_LEXICON_MAX = 256
 def _sentiment_result(key_col: str, s: Column, m: Column, n: Column, digits: int) -> list[Column]:
     found = n > 0
     return [F.col(key_col),
-            F.when(found, F.round(s / m, digits)).alias("score"),
+            F.when(found, F.coalesce(F.round(s / F.nullif(m, F.lit(0.0)), digits), F.lit(0.0))).alias("score"),
             F.when(found, F.round(m, digits)).alias("magnitude"),
             n.alias("n_hits"),
             F.when(found, F.lit("success")).otherwise(F.lit(NO_RESULTS)).alias("route")]
@@ -97,7 +92,9 @@ def _sentiment_result(key_col: str, s: Column, m: Column, n: Column, digits: int
 def sentiment(df: DataFrame, key_col: str, text_col: str, lexicon_df: DataFrame, token_col: str = "token",
               weight_col: str = "weight", digits: int = 6) -> DataFrame:
     """Per text: ``magnitude`` = Σ|weight|, ``score`` = Σweight / magnitude of
-    its lexicon tokens; texts without any lexicon token route ``no results``.
+    its lexicon tokens (score 0 when all weights met are 0); texts without any
+    lexicon token route ``no results``. A token's weights add up first, so both
+    plans below count a hit once. Rows with one id stay apart.
 
     A lexicon proven to hold at most ``INLINE_LEXICON_MAX`` entries becomes a
     map literal and the weights are folded inside each row: no explode, no
@@ -105,13 +102,11 @@ def sentiment(df: DataFrame, key_col: str, text_col: str, lexicon_df: DataFrame,
     its size is proven small) and summed with a partial aggregate, so each task
     ships one row per text.
     """
-    lex = lexicon_df.select(F.col(token_col).alias("_tok"), F.col(weight_col).cast("double").alias("_w"))
+    lex = lexicon_df.select(F.col(token_col).alias("_tok"), F.col(weight_col).cast("double").alias("_w")) \
+        .where("_tok is not null and _w is not null").groupBy("_tok").agg(F.sum("_w").alias("_w"))
     small = lex.limit(INLINE_LEXICON_MAX + 1).collect()  # a bounded parameter table, not data
     if len(small) <= INLINE_LEXICON_MAX:
-        weights: dict[str, float] = {}
-        for tok, w in small:
-            if tok is not None and w is not None:
-                weights[tok] = weights.get(tok, 0.0) + w  # duplicate tokens add up, as in a join
+        weights = dict(map(tuple, small))
         if not weights:
             lit_map = F.create_map().cast("map<string,double>")
         else:
@@ -126,9 +121,10 @@ def sentiment(df: DataFrame, key_col: str, text_col: str, lexicon_df: DataFrame,
         folded = spread(df, heavy=True).select(F.col(key_col), F.aggregate(words(F.col(text_col)), init, step).alias("_f"))
         return folded.select(*_sentiment_result(key_col, F.col("_f.s"), F.col("_f.m"),
                                                 F.coalesce(F.col("_f.n"), F.lit(0).cast("long")), digits))
-    exploded = df.select(F.col(key_col), F.explode_outer(words(F.col(text_col))).alias("_tok"))
+    rows = df.withColumn("_row", F.monotonically_increasing_id())  # before the explode: one number per text
+    exploded = rows.select(F.col(key_col), "_row", F.explode_outer(words(F.col(text_col))).alias("_tok"))
     hits = exploded.join(small_side(lex), "_tok", "left")
-    agg = hits.groupBy(key_col).agg(F.sum("_w").alias("_s"), F.sum(F.abs("_w")).alias("_m"),
+    agg = hits.groupBy(key_col, "_row").agg(F.sum("_w").alias("_s"), F.sum(F.abs("_w")).alias("_m"),
                                     F.count("_w").alias("n_hits"))
     return agg.select(*_sentiment_result(key_col, F.col("_s"), F.col("_m"), F.col("n_hits"), digits))
 
@@ -137,7 +133,7 @@ def utterances(df: DataFrame, key_col: str, order_col: str, text_col: str) -> Da
     """One result row per recognised utterance: transcript, bytes, words; an
     empty or missing text routes ``no results``."""
     text = F.col(text_col)
-    empty = text.isNull() | (F.trim(text) == "")
+    empty = F.coalesce(word_count(text), F.lit(0)) == 0
     return df.select(
         key_col, order_col, text.alias("transcript"),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowtable.operators.records import JSON_OPTIONS
 from flowtable.session import small_side
 
 
@@ -71,5 +72,5 @@ def run_query(spark: SparkSession, sql: str, args: Mapping | None = None,
         view.createOrReplaceTempView(name)
     out = spark.sql(sql, args=dict(args) if args else None)
     if as_json:
-        out = out.select(F.to_json(F.struct(*[F.col(c) for c in out.columns])).alias("content"))
+        out = out.select(F.to_json(F.struct(*[F.col(c) for c in out.columns]), JSON_OPTIONS).alias("content"))
     return out

@@ -52,7 +52,7 @@ _LEX_VALUES = ", ".join(f"('{t}', CAST({w} AS DOUBLE))" for t, w in LEXICON)
 
 @query("sentiment", oracle=f"""
 WITH lex(tok, w) AS (VALUES {_LEX_VALUES}),
-t AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) AS tok
+t AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda x: x <> '')) AS tok
       FROM documents),
 h AS (SELECT doc_id, sum(w) AS s, sum(abs(w)) AS m, count(*) AS n FROM t JOIN lex USING (tok) GROUP BY doc_id)
 SELECT d.doc_id,
@@ -70,9 +70,8 @@ def q_sentiment(spark, sf_dir):
 
 @query("utterances", oracle="""
 SELECT conv_id, turn, text AS transcript, coalesce(strlen(text), 0) AS n_bytes,
-       CASE WHEN text IS NULL OR trim(text) = '' THEN 0
-            ELSE len(regexp_split_to_array(trim(text), '\\s+')) END AS n_words,
-       CASE WHEN text IS NULL OR trim(text) = '' THEN 'no results' ELSE 'success' END AS route
+       coalesce(len(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')), 0) AS n_words,
+       CASE WHEN coalesce(regexp_matches(text, '[^ \t\n\x0B\f\r]'), false) THEN 'success' ELSE 'no results' END AS route
 FROM conversations
 """)
 def q_utterances(spark, sf_dir):

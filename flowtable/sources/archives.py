@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,8 @@ ENTRY_SCHEMA = "archive string, entry_index int, entry_name string, content stri
 
 def _unpack(batches, encoding: str):
     for pdf in batches:
-        out = []
         for path, blob in zip(pdf["path"], pdf["content"]):
+            out = []
             try:
                 with zipfile.ZipFile(io.BytesIO(blob)) as zf:
                     names = [i for i in zf.infolist() if not i.is_dir()]
@@ -29,10 +30,11 @@ def _unpack(batches, encoding: str):
                     for i, info in enumerate(names):
                         text = zf.read(info).decode(encoding, errors="replace")
                         out.append((path, i, info.filename, text, "success"))
-            except (zipfile.BadZipFile, OSError, ValueError):
+            # corrupt data, encrypted entries, unknown methods; entries before the bad one stay
+            except (zipfile.BadZipFile, zlib.error, EOFError, OSError, ValueError, RuntimeError, NotImplementedError):
                 out.append((path, None, None, None, "failure"))
-        yield pd.DataFrame(out, columns=["archive", "entry_index", "entry_name", "content", "route"]).astype(
-            {"entry_index": "Int32"})
+            yield pd.DataFrame(out, columns=["archive", "entry_index", "entry_name", "content", "route"]).astype(
+                {"entry_index": "Int32"})
 
 
 def zip_entries(spark: SparkSession, path: str, glob: str = "*.zip", encoding: str = "utf-8") -> DataFrame:

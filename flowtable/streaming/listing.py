@@ -4,8 +4,9 @@ Each snapshot is a full inventory (files schema) written to its own folder;
 a small manifest JSON line ``{"snapshot": path, "as_of_ms": n}`` announces it.
 The stream reads manifests (``foreachBatch``) and runs one listing per
 snapshot in ``as_of_ms`` order. Outputs are written per snapshot (overwrite)
-and the state history is keyed by ``as_of_ms``, so a re-run of a batch after
-a failure reads the same prior state and rewrites the same output.
+and the state history is appended in the order of commits, so a re-run of a
+batch reads the same prior state and rewrites the same output, and a late
+manifest starts from the newest state.
 """
 
 from __future__ import annotations
@@ -13,9 +14,8 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from flowtable.operators.listing import ListingState, listing_cutoff, next_state
+from flowtable.operators.listing import commit_state, listing_cutoff, next_state, state_before
 
 MANIFEST_SCHEMA = "snapshot string, as_of_ms bigint"
 
@@ -29,25 +29,15 @@ def announce(spark: SparkSession, manifest_dir: str, snapshot_path: str | list[t
          .write.mode("append").json(manifest_dir)
 
 
-def _state_before(spark: SparkSession, state_dir: str, as_of_ms: int) -> ListingState:
-    try:
-        hist = spark.read.parquet(state_dir)
-    except Exception:  # no state written yet
-        return ListingState()
-    prior = hist.where(F.col("as_of_ms") < as_of_ms).orderBy(F.col("as_of_ms").desc()).limit(1)
-    return ListingState.read(prior)
-
-
 def listing_batch(spark: SparkSession, snapshot_path: str, as_of_ms: int, state_dir: str, output_dir: str,
                   min_age_ms: int | None = None, max_age_ms: int | None = None) -> None:
     """One listing run: output first, then the state row (at least once)."""
     files = spark.read.parquet(snapshot_path)
-    state = _state_before(spark, state_dir, as_of_ms)
+    state, seq = state_before(spark, state_dir, as_of_ms)
     emitted, newest_eligible = listing_cutoff(files, state, as_of_ms, min_age_ms, max_age_ms)
     out_path = os.path.join(output_dir, f"as_of_ms={as_of_ms}")
     emitted.write.mode("overwrite").parquet(out_path)
-    new_state = next_state(spark, state, newest_eligible, spark.read.parquet(out_path))
-    new_state.withColumn("as_of_ms", F.lit(int(as_of_ms))).write.mode("append").parquet(state_dir)
+    commit_state(next_state(spark, state, newest_eligible, spark.read.parquet(out_path)), state_dir, as_of_ms, seq)
 
 
 def listing_stream(spark: SparkSession, manifest_dir: str, state_dir: str, output_dir: str, checkpoint: str,

@@ -41,14 +41,20 @@ class _PollReader(SimpleDataSourceStreamReader):
 
     def read(self, start: dict):
         records, nxt = self.poll(int(start["offset"]), self.max_records)
-        records = list(records)[: self.max_records]
-        return self._rows(records), {"offset": int(nxt)}
+        records = list(records)
+        if len(records) > self.max_records:
+            # its offset lies behind records that this trigger may not take
+            raise ValueError(f"poll returned {len(records)} records, more than the {self.max_records} asked for")
+        return self._rows(records), {"offset": int(nxt), "taken": len(records)}
 
     def readBetweenOffsets(self, start: dict, end: dict):
-        # replay of a planned batch after a failure: the same records again
-        want = int(end["offset"]) - int(start["offset"])
-        records, _ = self.poll(int(start["offset"]), want)
-        return self._rows(list(records)[:want])
+        # replay of a planned batch after a failure: as many records again,
+        # whatever the offsets count
+        want = int(end.get("taken", int(end["offset"]) - int(start["offset"])))
+        records = list(self.poll(int(start["offset"]), want)[0]) if want else []
+        if len(records) != want:
+            raise ValueError(f"a replay got {len(records)} records instead of {want}")
+        return self._rows(records)
 
     def commit(self, end: dict) -> None:
         pass

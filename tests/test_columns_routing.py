@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from flowtable.operators.catalog import build_extract_url, typed_ddl, typed_schema
-from flowtable.operators.columns import (MOCK_WEIGHT_DEFAULT, lookup_enrich, metric_json, mock_weight_table,
+from flowtable.operators.columns import (lookup_enrich, metric_json,
                                          parse_pairs, put_content, rewrite_extension, split_list)
 from flowtable.operators.gate import delay_gate
 from flowtable.operators.records import as_json_content, outputs, route_split
@@ -23,7 +23,7 @@ def test_parse_pairs_rules(spark):
     assert got[4] == (None, "failure")
     assert got[5] == ({"a": "b"}, "success")
     assert got[6] == ({}, "success")
-    assert got[7] == (None, "success")
+    assert got[7] == ({}, "success")  # null text: no items
 
 
 def test_split_list(spark):
@@ -43,10 +43,11 @@ def test_rewrite_extension(spark):
     assert got == ["a.b.jpg", "noext", "", None, "x.jpg", "$.jpg"]
 
 
-def test_lookup_enrich_mock_weights(spark):
+def test_lookup_enrich_ignores_case(spark):
     df = spark.createDataFrame([("img_5104.jpg",), ("IMG_5108.JPG",), ("other.jpg",)], "filename string")
-    got = [r.weight for r in lookup_enrich(df, "filename", mock_weight_table(spark), out_col="weight",
-                                           default=MOCK_WEIGHT_DEFAULT).orderBy("filename").collect()]
+    weights = spark.createDataFrame([("IMG_5104.JPG", "130"), ("img_5108.jpg", "263")], "key string, value string")
+    got = [r.weight for r in lookup_enrich(df, "filename", weights, out_col="weight",
+                                           default="0.0").orderBy("filename").collect()]
     assert got == ["263", "130", "0.0"]
 
 
