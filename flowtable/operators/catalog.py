@@ -26,23 +26,23 @@ EXTRACT_PATH = "/services/data/v36.0/queryAll/?q="
 EXTRACT_TS = "SYSTEMMODSTAMP"
 
 
-DESCRIBE_SCHEMA = "object string, ordinal int, name string, type string, nullable boolean"
-
-
-def _describe_rows(df: DataFrame, name: str) -> list[tuple]:
-    return [(name, i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-
-
 def describe_object(df: DataFrame, name: str) -> DataFrame:
-    """All fields of one object: object, ordinal (1-based), name, type, nullable.
-    Built from the schema (metadata only; no data is read)."""
-    return df.sparkSession.createDataFrame(_describe_rows(df, name), DESCRIBE_SCHEMA)
+    """All fields of one object: object, ordinal (1-based), name, type, n_rows,
+    n_null and nullable (whether a row has no value there). One aggregate over
+    the table counts every column."""
+    counts = [F.count(F.col(f"`{c}`")) for c in df.columns]
+    one = df.agg(F.count(F.lit(1)).alias("n_rows"), F.array(*counts).alias("n_set"))
+    fields = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"))
+                       for f in df.schema.fields])
+    each = one.select("n_rows", "n_set", F.posexplode(fields).alias("i", "f"))
+    n_null = F.col("n_rows") - F.get("n_set", F.col("i"))
+    return each.select(F.lit(name).alias("object"), (F.col("i") + 1).alias("ordinal"), F.col("f.name").alias("name"),
+                       F.col("f.type").alias("type"), "n_rows", n_null.alias("n_null"), (n_null > 0).alias("nullable"))
 
 
 def describe_objects(spark: SparkSession, objects: dict[str, DataFrame]) -> DataFrame:
-    """``describe_object`` for many objects as one small local table."""
-    rows = [r for name, df in objects.items() for r in _describe_rows(df, name)]
-    return spark.createDataFrame(rows, DESCRIBE_SCHEMA)
+    """``describe_object`` of many objects."""
+    return reduce(DataFrame.unionByName, [describe_object(df, name) for name, df in objects.items()])
 
 
 def object_summary(df: DataFrame, name: str) -> DataFrame:

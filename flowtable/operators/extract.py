@@ -127,6 +127,8 @@ def nested_detect(df: DataFrame, key_col: str, text_col: str, definitions: Seque
         """Adds this node's matches as their own column (computed once) and
         returns the column holding the node's result content."""
         nonlocal cur
+        if node.draw_bounds:
+            raise ValueError("draw_bounds marks images; a text has no bounds to draw")
         i = counter[0]
         counter[0] += 1
         path = f"{prefix}/{node.name}" if prefix else node.name

@@ -169,45 +169,50 @@ def listing_cutoff(files_df: DataFrame, state: ListingState, as_of_ms: int, min_
 
 
 def run_listing(files_df: DataFrame, state_path: str, output_path: str, as_of_ms: int,
-                min_age_ms: int | None = None, max_age_ms: int | None = None) -> DataFrame:
+                min_age_ms: int | None = None, max_age_ms: int | None = None, source: str = "") -> DataFrame:
     """A complete run with durable state: read the state, write the emitted
     rows, then append the new state to the history. Returns the emitted rows as
     written. A lost run re-emits (at least once), never skips; a run repeated
     with its ``as_of_ms`` reads the state before it and writes the same rows.
+    ``source`` names the folder and filter that are listed: when it differs
+    from the last run's, the watermarks start again at -1.
 
     Passes over the inventory: one aggregate, one filtered write (cut-off as
     a literal); the new emitted watermark comes from the written output."""
     spark = files_df.sparkSession
-    state, seq = state_before(spark, state_path, as_of_ms)
+    state, seq = state_before(spark, state_path, as_of_ms, source)
     emitted, newest_eligible = listing_cutoff(files_df, state, as_of_ms, min_age_ms, max_age_ms)
     batch_path = f"{output_path}/run={as_of_ms}"
     emitted.write.mode("overwrite").parquet(batch_path)
     written = spark.read.parquet(batch_path)
-    commit_state(next_state(spark, state, newest_eligible, written), state_path, as_of_ms, seq)
+    commit_state(next_state(spark, state, newest_eligible, written), state_path, as_of_ms, seq, source)
     return written
 
 
-def state_before(spark: SparkSession, state_path: str, as_of_ms: int) -> tuple[ListingState, int]:
+def state_before(spark: SparkSession, state_path: str, as_of_ms: int, source: str = "") -> tuple[ListingState, int]:
     """The state that run ``as_of_ms`` starts from, and the run's number: the
     newest committed state, or, for a run that is repeated, the one before its
     own. A late run (older ``as_of_ms`` than committed ones) so never sends
-    again what later runs have sent. Only a missing history means a first run;
-    any other read error is raised."""
+    again what later runs have sent. Only a missing history, or a last run of
+    another ``source``, means a first run; any other read error is raised."""
     try:
         history = spark.read.parquet(state_path)
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         return ListingState(), 0
-    own = history.where(F.col("as_of_ms") == int(as_of_ms)).agg(F.min("seq")).first()[0]
+    same = F.col("source") == source
+    own = history.where(same & (F.col("as_of_ms") == int(as_of_ms))).agg(F.min("seq")).first()[0]
     before = history if own is None else history.where(F.col("seq") < own)
     row = before.orderBy(F.col("seq").desc()).first()
-    state = ListingState() if row is None else ListingState(int(row["listed_ms"]), int(row["emitted_ms"]))
+    fresh = row is None or row["source"] != source
+    state = ListingState() if fresh else ListingState(int(row["listed_ms"]), int(row["emitted_ms"]))
     return state, own if own is not None else 0 if row is None else row["seq"] + 1
 
 
-def commit_state(new_state: DataFrame, state_path: str, as_of_ms: int, seq: int) -> None:
-    new_state.select("listed_ms", "emitted_ms", F.lit(int(as_of_ms)).alias("as_of_ms"), F.lit(int(seq)).cast("long").alias("seq")) \
+def commit_state(new_state: DataFrame, state_path: str, as_of_ms: int, seq: int, source: str = "") -> None:
+    new_state.select("listed_ms", "emitted_ms", F.lit(int(as_of_ms)).alias("as_of_ms"),
+                     F.lit(int(seq)).cast("long").alias("seq"), F.lit(source).alias("source")) \
         .write.mode("append").parquet(state_path)
 
 

@@ -129,16 +129,18 @@ def sentiment(df: DataFrame, key_col: str, text_col: str, lexicon_df: DataFrame,
     return agg.select(*_sentiment_result(key_col, F.col("_s"), F.col("_m"), F.col("n_hits"), digits))
 
 
-def utterances(df: DataFrame, key_col: str, order_col: str, text_col: str) -> DataFrame:
-    """One result row per recognised utterance: transcript, bytes, words; an
-    empty or missing text routes ``no results``."""
+def utterances(df: DataFrame, key_col: str, order_col: str, text_col: str, confidence_col: str | None = None) -> DataFrame:
+    """One result row per recognised utterance: transcript, bytes, words, and
+    its confidence where the input has one; an empty or missing text routes
+    ``no results``."""
     text = F.col(text_col)
     empty = F.coalesce(word_count(text), F.lit(0)) == 0
     return df.select(
         key_col, order_col, text.alias("transcript"),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
         F.coalesce(word_count(text), F.lit(0)).cast("long").alias("n_words"),
-        F.when(empty, F.lit(NO_RESULTS)).otherwise(F.lit("success")).alias("route"))
+        F.when(empty, F.lit(NO_RESULTS)).otherwise(F.lit("success")).alias("route"),
+        *([F.col(confidence_col).cast("double").alias("confidence")] if confidence_col else []))
 
 
 def _ordered_join(order: Column, text: Column) -> Column:

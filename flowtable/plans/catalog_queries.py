@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowtable.operators.catalog import (build_extract_url, describe_objects, list_objects, object_summary,
                                          quota_usage, typed_ddl)
 from flowtable.plans.registry import query
 from flowtable.sources.tables import TABLES, load, load_many
 
-_IN_TABLES = ", ".join(f"'{t}'" for t in TABLES)
-
 
 def _counts_sql() -> str:
     parts = [f"SELECT '{t}' AS object, (SELECT count(*) FROM information_schema.columns "
@@ -45,40 +40,43 @@ _DUCK_TO_SPARK = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' TH
   ELSE lower(data_type) END"""
 
 
+# (object, n_rows, name, n_null) of every column of every table, counted from its rows.
+_NULLS = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS object, n_rows, name, n_rows - n_set AS n_null FROM (SELECT count(*) AS n_rows FROM {t}), "
+    f"(UNPIVOT (SELECT count(COLUMNS(*)) FROM {t}) ON COLUMNS(*) INTO NAME name VALUE n_set)" for t in TABLES)
+
+
 @query("describe_object", oracle=f"""
+WITH nulls AS ({_NULLS})
 SELECT table_name AS object, CAST(ordinal_position AS INTEGER) AS ordinal, column_name AS name,
-       {_DUCK_TO_SPARK} AS type, is_nullable = 'YES' AS nullable
-FROM information_schema.columns WHERE table_name IN ({_IN_TABLES})
+       {_DUCK_TO_SPARK} AS type, n_rows, n_null, n_null > 0 AS nullable
+FROM information_schema.columns JOIN nulls ON table_name = object AND column_name = name
 """)
 def q_describe_object(spark, sf_dir):
     return describe_objects(spark, load_many(spark, sf_dir, TABLES))
 
 
-def _describe_type(i: int, f: T.StructField) -> str:
+def _describe_type() -> Column:
     """Describe vocabulary for a table column: first column is the id; money
     columns (price, balance) are currency; other doubles double; arrays are
     picklists; strings string; anything else other."""
-    if i == 0:
-        return "id"
-    if isinstance(f.dataType, T.DoubleType):
-        return "currency" if ("price" in f.name or "bal" in f.name) else "double"
-    if isinstance(f.dataType, T.ArrayType):
-        return "picklist"
-    if isinstance(f.dataType, T.StringType):
-        return "string"
-    return "other"
-
-
-def schema_describes(spark, sf_dir) -> DataFrame:
-    """One describe document per table (``sobject_name``, ``fields_json``)."""
-    rows = []
-    for t, df in load_many(spark, sf_dir, TABLES).items():
-        fields = [{"name": f.name, "type": _describe_type(i, f)} for i, f in enumerate(df.schema)]
-        rows.append((t, json.dumps(fields)))
-    return spark.createDataFrame(rows, "sobject_name string, fields_json string")
+    name, kind = F.col("name"), F.col("type")
+    return (F.when(F.col("ordinal") == 1, "id")
+            .when(kind == "double", F.when(name.contains("price") | name.contains("bal"), "currency").otherwise("double"))
+            .when(kind.startswith("array"), "picklist").when(kind == "string", "string").otherwise("other"))
+
+
+def describe_documents(spark, sf_dir) -> DataFrame:
+    """One describe document per table (``sobject_name``, ``fields_json``): the
+    fields that have a value in some row, in order."""
+    rows = describe_objects(spark, load_many(spark, sf_dir, TABLES)).where("n_null < n_rows")
+    fields = F.sort_array(F.collect_list(F.struct("ordinal", "name", _describe_type().alias("type"))))
+    return rows.groupBy(F.col("object").alias("sobject_name")).agg(F.to_json(F.transform(
+        fields, lambda f: F.struct(f["name"].alias("name"), f["type"].alias("type")))).alias("fields_json"))
 
 
 _DESCRIBE_COLS = f"""
+nulls AS ({_NULLS}),
 cols AS (
   SELECT table_name, column_name, ordinal_position AS pos,
          max(ordinal_position) OVER (PARTITION BY table_name) AS n,
@@ -86,7 +84,7 @@ cols AS (
               WHEN data_type = 'DOUBLE' THEN 'DOUBLE'
               WHEN data_type LIKE '%[]' THEN 'VARCHAR[]'
               ELSE 'VARCHAR' END AS ddl_type
-  FROM information_schema.columns WHERE table_name IN ({_IN_TABLES})
+  FROM information_schema.columns JOIN nulls ON table_name = object AND column_name = name WHERE n_null < n_rows
 )"""
 
 
@@ -100,7 +98,7 @@ SELECT table_name AS sobject_name,
 FROM cols GROUP BY table_name
 """)
 def q_typed_ddl(spark, sf_dir):
-    return typed_ddl(schema_describes(spark, sf_dir))
+    return typed_ddl(describe_documents(spark, sf_dir))
 
 
 EXTRACT_BASE = "https://instance.example.com"
@@ -118,7 +116,7 @@ FROM cols GROUP BY table_name
 """)
 def q_build_extract_url(spark, sf_dir):
     # the extracted object is the described one: one URL per table
-    return build_extract_url(schema_describes(spark, sf_dir), EXTRACT_BASE, F.col("sobject_name"), LAST_SYNC)
+    return build_extract_url(describe_documents(spark, sf_dir), EXTRACT_BASE, F.col("sobject_name"), LAST_SYNC)
 
 
 # Configured limits per event type (a parameter table; 'refund' is never used).

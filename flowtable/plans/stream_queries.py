@@ -28,7 +28,15 @@ def q_topic_drain(spark, sf_dir):
     return drain_available(stream, f"{base}/sink", f"{base}/checkpoint")
 
 
-@query("delay_stream")
+GATE_DELAY_MS = 24 * 3600 * 1000
+
+
+@query("delay_stream", oracle=f"""
+WITH e AS (SELECT *, epoch_us(ts) // 1000 AS delay_timestamp FROM events)
+SELECT *, 'delay' AS route FROM e
+UNION ALL
+SELECT *, 'ready' FROM e WHERE (SELECT max(delay_timestamp) FROM e) - delay_timestamp > {GATE_DELAY_MS}
+""")
 def q_delay_stream(spark, sf_dir):
     base = scratch_path(spark, "delay")
     publish(load(spark, sf_dir, "events"), f"{base}/topic", records_per_file=10000)
@@ -37,16 +45,12 @@ def q_delay_stream(spark, sf_dir):
     stateful = spark.newSession()
     stateful.conf.set("spark.sql.shuffle.partitions", str(cluster_cores(spark)))
     stateful.conf.set("spark.sql.session.timeZone", "UTC")
-    # the watermark moves with each trigger; keys whose delay it passes time out in the next one
+    # the watermark moves with each trigger; records whose delay it passes come out in the next one
     stream = topic_drain(stateful, f"{base}/topic", EVENT_SCHEMA, max_files_per_trigger=10)
-    gated = delay_stream(stream, "user_id", delay_ms=24 * 3600 * 1000, event_time_col="ts")
+    gated = delay_stream(stream, delay_ms=GATE_DELAY_MS, event_time_col="ts")
     return drain_available(gated, f"{base}/sink", f"{base}/checkpoint")
 
 
-# Listing snapshots of the orders "folder" as it grew: every file up to each date.
-SNAPSHOT_DATES_MS = [820454400000, 883612800000, 946684800000, 1000000000000]  # 1996, 1998, 2000, 2001-09-09
-
-
 @query("listing_stream", oracle=f"""
 WITH {ORDER_FILES_SQL}
 SELECT o_orderkey, mtime_ms FROM order_files WHERE mtime_ms < (SELECT max(mtime_ms) FROM order_files)
@@ -54,13 +58,14 @@ SELECT o_orderkey, mtime_ms FROM order_files WHERE mtime_ms < (SELECT max(mtime_
 def q_listing_stream(spark, sf_dir):
     base = scratch_path(spark, "listing")
     files = order_files(spark, sf_dir)
-    # all snapshots in one write: snapshot k holds every file up to its date
-    dates = spark.createDataFrame([(d,) for d in SNAPSHOT_DATES_MS], "as_of bigint")
-    snaps = files.join(F.broadcast(dates), F.col("mtime_ms") <= F.col("as_of"))
-    snaps.write.mode("overwrite").partitionBy("as_of").parquet(f"{base}/snapshots")
-    # two manifests of two snapshots each: two triggers
-    for pair in (SNAPSHOT_DATES_MS[:2], SNAPSHOT_DATES_MS[2:]):
-        announce(spark, f"{base}/manifests", [(f"{base}/snapshots/as_of={d}", d) for d in pair])
+    # the folder as it grew: four snapshots, evenly spaced up to the newest file
+    low, high = files.agg(F.min("mtime_ms"), F.max("mtime_ms")).first()
+    dates = [] if low is None else sorted({low + (high - low) * i // 4 for i in range(1, 5)})
+    for d in dates:
+        files.where(F.col("mtime_ms") <= d).write.mode("overwrite").parquet(f"{base}/snapshots/as_of={d}")
+    # two snapshots a manifest: one trigger each
+    for i in range(0, len(dates), 2):
+        announce(spark, f"{base}/manifests", [(f"{base}/snapshots/as_of={d}", d) for d in dates[i:i + 2]])
     q = listing_stream(spark, f"{base}/manifests", f"{base}/state", f"{base}/out", f"{base}/checkpoint")
     q.awaitTermination()
     if q.exception() is not None:

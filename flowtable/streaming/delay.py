@@ -1,5 +1,6 @@
-"""Delay gate on a stream: a record waits until a delay has passed since
-its key was first seen (``applyInPandasWithState``)."""
+"""Delay gate on a stream: every record is passed on at once as ``delay`` and
+again, whole, as ``ready`` once a delay has passed since it was first seen
+(``applyInPandasWithState``)."""
 
 from __future__ import annotations
 
@@ -10,59 +11,79 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from flowtable.streaming.topic import TS_OPTIONS
 
-def delay_stream(df: DataFrame, key_col: str, delay_ms: int, event_time_col: str | None = None,
-                 watermark: str = "0 seconds") -> DataFrame:
-    """Per key: the first sight stamps the key and emits ``delay``; later
-    records of a waiting key emit ``delay`` with the same stamp; once the
-    delay has strictly passed the key emits ``ready`` and its state is dropped.
+
+def delay_stream(df: DataFrame, delay_ms: int, event_time_col: str | None = None, watermark: str = "0 seconds",
+                 stamp_col: str = "delay_timestamp", shards: int = 64) -> DataFrame:
+    """The records of ``df`` with their stamp (epoch ms) and ``route``: each
+    record comes out once as ``delay`` when it is first seen, and once more as
+    ``ready`` when its delay has strictly passed. A stamp that a record already
+    carries in ``stamp_col`` is kept.
 
     The clock is processing time by default (timeouts fire in later
     micro-batches; run it with a processing-time trigger, e.g.
-    ``topic.start_drain``, since such timeouts always ask for another batch
-    and ``availableNow`` would not finish). With ``event_time_col`` the stamp
-    is the key's first event time and the watermark is the clock, which makes
-    the output repeatable and works with ``availableNow``.
-    Output: key, delay_timestamp (epoch ms), n_records, route.
+    ``topic.start_drain``, since such timeouts always ask for another batch and
+    ``availableNow`` would not finish). With ``event_time_col`` the record's
+    time is its stamp and the watermark the clock: the output does not depend
+    on the batches, and a record older than the watermark is no exception (it
+    waits for nothing more and is ``ready`` at once). A null time is stamp 0.
+
+    Waiting records are state, kept per shard and, under event time, per
+    period of one delay: a group holds one period's share of the stream
+    whatever the keys are.
     """
-    key_type = df.schema[key_col].dataType.simpleString()
-    out_schema = f"{key_col} {key_type}, delay_timestamp long, n_records long, route string"
+    names = [f.name for f in df.schema.fields if f.name != stamp_col]
+    schema = df.select(*names).schema
     delay = int(delay_ms)
-    src = df
+    given = F.col(stamp_col).cast("long") if stamp_col in df.columns else F.lit(None).cast("long")
+    record = F.to_json(F.struct(*names), TS_OPTIONS)
     if event_time_col:
-        # watermarks need TIMESTAMP; a zone-less time is read as UTC (session time zone)
-        src = df.withColumn(event_time_col, F.col(event_time_col).cast("timestamp"))
-        src = src.withWatermark(event_time_col, watermark).select(
-            key_col, event_time_col, F.unix_millis(F.col(event_time_col).cast("timestamp")).alias("_t"))
+        # Spark drops rows whose watermark column is late. So the time travels on a
+        # copy of each record that only moves the watermark (and may be dropped);
+        # the record itself has no value there. A zone-less time is read as UTC.
+        at = F.col(event_time_col).cast("timestamp")
+        stamp = F.coalesce(given, F.unix_millis(at), F.lit(0))
+        rows = df.select(record.alias("record"), stamp.alias("stamp"), at.alias("at"),
+                         F.floor(stamp / max(1, delay)).cast("long").alias("period"))
         timeout = GroupStateTimeout.EventTimeTimeout
     else:
-        src = df.select(key_col)
+        rows = df.select(record.alias("record"), given.alias("stamp"), F.lit(0).cast("long").alias("period"))
         timeout = GroupStateTimeout.ProcessingTimeTimeout
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("record"), F.lit(int(shards))))
+    if event_time_col:
+        none = F.lit(None)
+        both = F.array(F.struct(none.cast("string").alias("record"), F.col("at").alias("clock")),
+                       F.struct(F.col("record").alias("record"), none.cast("timestamp").alias("clock")))
+        rows = rows.select("shard", "period", "stamp", F.inline(both)).withWatermark("clock", watermark)
 
-    def gate(key, pdfs, state):
-        if state.hasTimedOut:
-            (stamp,) = state.get
-            state.remove()
-            yield pd.DataFrame({key_col: [key[0]], "delay_timestamp": [stamp], "n_records": [0], "route": ["ready"]})
+    def gate(key, frames, state):
+        now = state.getCurrentWatermarkMs() if event_time_col else int(time.time() * 1000)
+        records, stamps = map(list, state.get) if state.exists else ([], [])
+        if not state.hasTimedOut:
+            for frame in frames:
+                frame = frame[frame["record"].notna()]
+                first = frame["stamp"].fillna(now).astype("int64")
+                yield pd.DataFrame({"record": frame["record"], "stamp": first, "route": "delay"})
+                records += frame["record"].tolist()
+                stamps += first.tolist()
+        ready = [i for i, t in enumerate(stamps) if now - t > delay]
+        if ready:
+            yield pd.DataFrame({"record": [records[i] for i in ready], "stamp": [stamps[i] for i in ready], "route": "ready"})
+        waiting = [i for i, t in enumerate(stamps) if now - t <= delay]
+        if not waiting:
+            if state.exists:
+                state.remove()
             return
-        # stream through the key's Arrow batches: a hot key never sits in memory whole
-        n_rows, first_t = 0, None
-        for pdf in pdfs:
-            n_rows += len(pdf)
-            if event_time_col and len(pdf):
-                t = int(pdf["_t"].min())
-                first_t = t if first_t is None else min(first_t, t)
-        if state.exists:
-            (stamp,) = state.get
+        state.update(([records[i] for i in waiting], [int(stamps[i]) for i in waiting]))
+        due = min(int(stamps[i]) for i in waiting) + delay
+        # Event timeouts fire strictly after their time, durations at theirs.
+        if event_time_col:
+            state.setTimeoutTimestamp(due)
         else:
-            stamp = first_t if event_time_col else int(time.time() * 1000)
-            state.update((stamp,))
-            # strict '>': ready one millisecond after the delay has elapsed
-            if event_time_col:
-                state.setTimeoutTimestamp(stamp + delay + 1)
-            else:
-                state.setTimeoutDuration(delay + 1)
-        yield pd.DataFrame({key_col: [key[0]], "delay_timestamp": [stamp], "n_records": [n_rows],
-                            "route": ["delay"]})
+            state.setTimeoutDuration(due + 1 - now)
 
-    return src.groupBy(key_col).applyInPandasWithState(gate, out_schema, "stamp long", "append", timeout)
+    out = rows.groupBy("shard", "period").applyInPandasWithState(
+        gate, "record string, stamp long, route string", "records array<string>, stamps array<long>", "append", timeout)
+    return out.select(F.from_json("record", schema, TS_OPTIONS).alias("r"), "stamp", "route") \
+        .select("r.*", F.col("stamp").alias(stamp_col), "route")

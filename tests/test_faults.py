@@ -31,6 +31,14 @@ def test_listing_replay_and_late_run(spark):
     assert names(run_listing(second, f"{base}/state", f"{base}/out", 300)) == []
 
 
+def test_listing_state_starts_again_for_another_source(spark):
+    base = tempfile.mkdtemp(prefix="listing-")
+    rows = files(spark, ("a", 10), ("b", 20))
+    run = lambda at, source: sorted(r.name for r in run_listing(
+        rows, f"{base}/state", f"{base}/out", at, source=source).collect())
+    assert [run(100, "/d *"), run(200, "/d *"), run(300, "/d *.csv"), run(400, "/d *.csv")] == [["a"], ["b"], ["a"], ["b"]]
+
+
 def test_listing_state_unreadable_is_no_first_run(spark):
     base = tempfile.mkdtemp(prefix="listing-")
     assert state_before(spark, f"{base}/none", 1) == (ListingState(), 0)

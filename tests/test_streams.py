@@ -18,17 +18,21 @@ def at(sec):
 
 def test_delay_stream_event_time(spark):
     base = scratch_path(spark, "t-delay")
-    publish(spark.createDataFrame([("A", at(0)), ("A", at(1)), ("B", at(10))], SCHEMA).coalesce(1), f"{base}/topic")
-    publish(spark.createDataFrame([("C", at(100))], SCHEMA).coalesce(1), f"{base}/topic")
-    stream = topic_drain(spark, f"{base}/topic", SCHEMA, max_files_per_trigger=1)
-    out = drain_available(delay_stream(stream, "k", delay_ms=5000, event_time_col="ts"),
-                          f"{base}/sink", f"{base}/ckpt")
-    rows = {(r.k, r.route): (r.delay_timestamp, r.n_records) for r in out.collect()}
-    stamp_a = int((at(0) - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
-    assert rows[("A", "delay")] == (stamp_a, 2)
-    assert rows[("A", "ready")] == (stamp_a, 0)
-    assert ("B", "delay") in rows and ("C", "delay") in rows
-    assert ("C", "ready") not in rows  # the watermark never passes C's delay
+    schema = SCHEMA + ", body string"
+    # D is older than the watermark when it arrives; F carries no body
+    for rows in ([("A", at(0), "a"), ("A", at(1), "a2"), ("B", at(10), "b")], [("C", at(100), "c")], [("D", at(3), "d")],
+                 [("E", at(96), "e"), ("F", at(94), None)]):
+        publish(spark.createDataFrame(rows, schema).coalesce(1), f"{base}/topic")
+        time.sleep(0.01)
+    stream = topic_drain(spark, f"{base}/topic", schema, max_files_per_trigger=1)
+    out = drain_available(delay_stream(stream, delay_ms=5000, event_time_col="ts"), f"{base}/sink", f"{base}/ckpt")
+    got = sorted((r.body or "", r.k, r.ts, r.delay_timestamp, r.route) for r in out.collect())
+    stamp = lambda t: int((t - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+    every = [("a", "A", at(0)), ("a2", "A", at(1)), ("b", "B", at(10)), ("c", "C", at(100)), ("d", "D", at(3)),
+             ("e", "E", at(96)), ("", "F", at(94))]
+    want = [(body, k, t, stamp(t), "delay") for body, k, t in every]
+    want += [(body, k, t, stamp(t), "ready") for body, k, t in every if t < at(95)]
+    assert got == sorted(want)
 
 
 def test_topic_drain_bounded_batches(spark):
@@ -65,7 +69,7 @@ def test_delay_stream_processing_time(spark):
     publish(spark.createDataFrame([("A", at(0))], SCHEMA).coalesce(1), f"{base}/topic")
     publish(spark.createDataFrame([("B", at(1))], SCHEMA).coalesce(1), f"{base}/topic")
     stream = topic_drain(spark, f"{base}/topic", SCHEMA, max_files_per_trigger=1)
-    q = start_drain(delay_stream(stream, "k", delay_ms=1), f"{base}/sink", f"{base}/ckpt", "50 milliseconds")
+    q = start_drain(delay_stream(stream, delay_ms=1), f"{base}/sink", f"{base}/ckpt", "50 milliseconds")
     try:
         # processing-time timeouts keep triggers coming; let a few run, then stop
         deadline = time.time() + 60
