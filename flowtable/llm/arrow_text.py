@@ -1,13 +1,17 @@
-"""Vectorised word hashing over the byte buffers of Arrow string columns.
-
-Words are cut and hashed for a whole slice of rows at once: a random 64-bit
-value per byte, a polynomial prefix sum modulo 2**64 and one finishing mix.
-Memory is bounded by ``SLICE_BYTES`` (or by one long text).
+"""Vectorised word cutting and hashing over the byte buffers of Arrow columns.
+
+Words are cut for a whole slice of rows at once. Their names are 64 bits of a
+cryptographic hash, taken once per distinct word of the slice
+(``word_hashes``); two different words share a name only by chance, whatever
+the text says. ``range_hashes`` is a cheap polynomial that can be made to
+collide: it serves filters that an exact step follows. Memory is bounded by
+``SLICE_BYTES`` (or by one long text).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +24,8 @@ _TABLE = np.random.RandomState(20240229).randint(1, 1 << 63, 256, dtype=np.int64
 
 SPACE = np.zeros(256, dtype=bool)  # the contract's white space: space and 0x09-0x0D
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
-LOWER = np.arange(256)
+LOWER = np.arange(256, dtype=np.uint8)  # folds A-Z
 LOWER[65:91] += 32
-LOWER_TABLE = _TABLE[LOWER]
 
 _powers: list[np.ndarray] = []
 
@@ -85,12 +88,38 @@ def word_bounds(offsets: np.ndarray, data: np.ndarray, separator: np.ndarray = S
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _TABLE) -> np.ndarray:
-    """64-bit hashes of byte ranges; equal bytes (after ``table``'s folding)
-    give equal hashes wherever they stand."""
+def word_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
+    """The byte ranges as an array of strings (or of another ``kind`` with
+    64-bit offsets)."""
+    offsets = np.zeros(len(starts) + 1, dtype=np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    edge = np.zeros(len(data) + 1, dtype=np.int8)
+    edge[starts] += 1
+    edge[ends] -= 1
+    packed = data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
+    return pa.Array.from_buffers(kind or pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+
+
+def string_hashes(words: Iterable[bytes]) -> np.ndarray:
+    """64 bits of BLAKE2b of each byte string."""
+    digest = hashlib.blake2b
+    return np.frombuffer(b"".join(digest(w, digest_size=8).digest() for w in words), dtype="<u8").astype(np.uint64)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
+    """64-bit names of the words, equal for equal bytes (after ``fold``)."""
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    coded = word_array(data if fold is None else fold[data], starts, ends, pa.large_binary()).dictionary_encode()
+    return string_hashes(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit polynomial hashes of byte ranges, for filters only: equal bytes
+    give equal hashes wherever they stand, but unequal ones can be made to."""
     p, q = powers(len(data) + 1)
     acc = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(table[data] * p[:-1], out=acc[1:])
+    np.cumsum(_TABLE[data] * p[:-1], out=acc[1:])
     return mix((acc[ends] - acc[starts]) * q[starts])
 
 

@@ -56,7 +56,7 @@ def _sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each row (empty without words)."""
     for _, _, offsets, data in at.slices(column):
         starts, ends, first = at.word_bounds(offsets, data)
-        words = at.range_hashes(data, starts, ends, at.LOWER_TABLE)
+        words = at.word_hashes(data, starts, ends, at.LOWER)
         grams = at.shingle_hashes(words, k)
         for a, b in zip(first[:-1], first[1:]):
             if b - a >= k:

@@ -57,7 +57,7 @@ def features(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
         out[:, column] = np.diff(total[offsets]) / size
     short = np.concatenate([[0], np.cumsum(ends - starts <= 3)])
     out[:, 9] = np.diff(short[first]) / some
-    words = at.range_hashes(data, starts, ends)
+    words = at.word_hashes(data, starts, ends)
     fives = at.shingle_hashes(words, 5)
     again = np.zeros(len(words) + 1)
     again[2:] = np.cumsum(words[1:] == words[:-1]) if len(words) > 1 else 0

@@ -18,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from flowtable.llm import arrow_text as at
 from flowtable.llm.common import with_key
@@ -37,7 +38,7 @@ def _slots(data: np.ndarray, offsets: np.ndarray):
     """For word, word-pair and byte-trigram features: (slot of each n-gram,
     row of each n-gram), slots of the three kinds in ranges of their own."""
     starts, ends, first = at.word_bounds(offsets, data)
-    words = at.range_hashes(data, starts, ends)
+    words = at.word_hashes(data, starts, ends)
     mask = np.uint64(DIM - 1)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     yield (words & mask).astype(np.int32), row
@@ -93,22 +94,22 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(ab[0]), float(ab[1])
 
 
-def _fit(batches):
-    """mapInArrow over the whole (bounded) sample in one task: the weights, the
-    last three being bias and calibration."""
-    tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
-    if not tables:
-        return
-    t = pa.concat_tables(tables).combine_chunks()
+def _fit(t: pa.Table) -> pa.Table:
+    """The weights fitted on the whole (bounded) sample, which is one group:
+    the last three numbers are bias and calibration. No row without both
+    classes."""
+    none = pa.table([pa.array([], pa.binary())], names=["model"])
+    # Sorted by content, so that the order in which tasks end does not matter.
+    order = sorted(range(t.num_rows), key=lambda i: (t["slots"][i].values.to_numpy().tobytes(), t["y"][i].as_py()))
+    t = t.take(pa.array(order, pa.int64())).combine_chunks()
     y = t.column("y").to_numpy().astype(float)
     slots = t.column("slots").combine_chunks()
     weights = t.column("weights").combine_chunks()
     counts = np.diff(slots.offsets.to_numpy())
-    # Sorted by content, so that the order in which tasks end does not matter.
     index, value = slots.flatten().to_numpy(), weights.flatten().to_numpy().astype(np.float64)
     row = np.repeat(np.arange(len(y)), counts)
     if len(set(y)) < 2:
-        return
+        return none
     held = np.arange(len(y)) % 5 == 4
     # Balanced weights: the rarer class counts as much as the other.
     share = np.where(y == 1, 0.5 / max(1, (y[~held] == 1).sum()), 0.5 / max(1, (y[~held] == 0).sum())) * ~held
@@ -128,15 +129,17 @@ def _fit(batches):
     z = np.bincount(row, value * w[index], len(y)) + bias
     a, b = _platt(z[held], y[held]) if len(set(y[held])) == 2 else (1.0, 0.0)
     model = np.concatenate([w, [bias, a, b]])
-    yield pa.RecordBatch.from_arrays([pa.array([model.tobytes()], pa.binary())], names=["model"])
+    return pa.table([pa.array([model.tobytes()], pa.binary())], names=["model"])
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> bytes | None:
     """The fitted model (a fixed 768 KiB), or None without both classes."""
     rows = sample(docs, labels, "quality", limit).mapInArrow(
         _features, "y int, slots array<int>, weights array<float>")
-    rows = rows.repartitionByRange(1, "y", "slots").sortWithinPartitions("slots", "y")
-    found = rows.mapInArrow(_fit, "model binary").collect()
+    # One group: however the rows are dealt, one task gets the whole sample.
+    found = rows.groupBy(F.lit(0)).applyInArrow(_fit, "model binary").collect()
+    if len(found) > 1:
+        raise RuntimeError("the sample was split")
     return bytes(found[0].model) if found else None
 
 
@@ -163,7 +166,7 @@ def score(docs: DataFrame, model: bytes | None, keep: float = KEEP) -> DataFrame
                 rows = b - a
                 starts, ends, first = at.word_bounds(offsets, data)
                 n_words = np.diff(first)
-                grams = at.shingle_hashes(at.range_hashes(data, starts, ends), WINDOW)
+                grams = at.shingle_hashes(at.word_hashes(data, starts, ends), WINDOW)
                 point = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                 space = np.concatenate([[0], np.cumsum(at.SPACE[data])])
                 symbol = np.concatenate([[0], np.cumsum(np.isin(data, np.frombuffer(SYMBOLS, np.uint8)))])

@@ -7,8 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtable.llm import (bpe, chat, line_dedup, ngram_join, pii_crf, quality_gam, quality_rules, url_filter, warc,
-                           winnow)
+from flowtable.llm import (bpe, chat, collision_search, line_dedup, ngram_join, phrases, pii_crf, quality_gam,
+                           quality_rules, url_filter, warc, whitening, winnow)
 from flowtable.sources.tables import load
 
 QUERIES: dict = {}
@@ -187,3 +187,44 @@ def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_gam.train(docs, load(spark, sf_dir, "labels"), where=~held_out)
     return quality_gam.score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
                                                  (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query()
+def op11_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_search.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+_PIECES = rf"string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')"
+
+
+@_query(rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, m, unnest([w[i:i + m - 1] for i in range(1, len(w) - m + 2)]) AS g
+  FROM (SELECT lang, w, unnest(range(1, 6)) AS m FROM w) WHERE len(w) >= m),
+f AS (SELECT lang, m, g, count(*) AS f FROM g GROUP BY lang, m, g HAVING count(*) >= 100),
+c AS (SELECT lang, m, g, f AS a, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+s AS (
+  SELECT c.lang, c.m, c.g, c.a, c.k, x.f AS l, y.f AS r, n.n,
+         CAST((CAST(1000 AS HUGEINT) * c.a * n.n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM c JOIN n ON c.lang = n.lang JOIN f x ON x.lang = c.lang AND x.g = c.g[1:c.k] JOIN f y ON y.lang = c.lang AND y.g = c.g[c.k + 1:c.m]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+u AS (
+  SELECT DISTINCT b.lang, b.g
+  FROM b JOIN (SELECT lang, f, m, g, unnest(range(1, m + 1)) AS i, unnest(range(1, m + 1)) AS j FROM f WHERE m > 2) z
+    ON z.lang = b.lang AND z.m > b.m AND z.i + b.m - 1 <= z.m AND z.g[z.i:z.i + b.m - 1] = b.g AND 100 * z.f >= 100 * b.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.g, ' ')) AS rank,
+         array_to_string(b.g, ' ') AS phrase, a, l, r, n, score
+  FROM b LEFT JOIN u ON u.lang = b.lang AND u.g = b.g WHERE u.lang IS NULL)
+WHERE rank <= 2000
+""")
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(load(spark, sf_dir, "documents").select("lang", "text"))
+
+
+@_query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(load(spark, sf_dir, "embeddings"))

@@ -81,6 +81,16 @@ def test_jaccard_against_all_pairs(spark, k, threshold):
     assert ngram_join.jaccard_links(df, k, threshold).count() == n_links
 
 
+def test_words_that_collide_in_a_polynomial_stay_apart(spark):
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    one, two = ("".join("ab"[b ^ x] for b in bits) for x in (0, 1))
+    df = table(spark, [(1, one), (2, two)], "doc_id long, text string")
+    assert rows_of(ngram_join.jaccard_components(df, 4, (85, 100)), "doc_id", "component_id") == [(1, 1), (2, 2)]
+    text = " ".join(f"{w} p q r s" for w in (one, two, one + "a", two + "a"))
+    counted = quality_rules.score(table(spark, [(1, text)], "doc_id long, text string"), None).first()
+    assert counted.n_words == 20 and counted.n_repeat_words == 0
+
+
 def test_jaccard_empty(spark):
     assert ngram_join.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -147,6 +157,13 @@ def test_quality_rules_counts_and_model(spark):
     assert quality_rules.score(both.limit(0), None).count() == 0
 
 
+def test_quality_model_does_not_depend_on_partitions(spark):
+    df, _ = docs_of(spark)
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    models = {quality_rules.train(df.repartition(n), labels.repartition(n)) for n in (1, 64, 211)}
+    assert len(models) == 1 and None not in models
+
+
 # 6 WARC
 
 def test_warc_pages(spark):
@@ -301,7 +318,7 @@ def test_word_hashes_do_not_depend_on_the_place():
     column = pa.array(["ab  Cd", None, "", "cd\tab cd"])
     (_, _, offsets, data), = arrow_text.slices(column)
     starts, ends, first = arrow_text.word_bounds(offsets, data)
-    h = arrow_text.range_hashes(data, starts, ends, arrow_text.LOWER_TABLE)
+    h = arrow_text.word_hashes(data, starts, ends, arrow_text.LOWER)
     assert first.tolist() == [0, 2, 2, 2, 5] and h[0] == h[3] and h[1] == h[2] == h[4] and h[0] != h[1]
 
 
