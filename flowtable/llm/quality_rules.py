@@ -137,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> bytes | No
     rows = sample(docs, labels, "quality", limit).mapInArrow(
         _features, "y int, slots array<int>, weights array<float>")
     # One group: however the rows are dealt, one task gets the whole sample.
-    found = rows.groupBy(F.lit(0)).applyInArrow(_fit, "model binary").collect()
+    found = rows.withColumn("whole", F.lit(0)).groupBy("whole").applyInArrow(_fit, "model binary").collect()
     if len(found) > 1:
         raise RuntimeError("the sample was split")
     return bytes(found[0].model) if found else None
