@@ -63,8 +63,11 @@ def test_chat_round_trip(spark):
 
 # 2 n-gram join
 
-@pytest.mark.parametrize("k,threshold", [(4, (85, 100)), (3, (50, 100))])
-def test_jaccard_against_all_pairs(spark, k, threshold):
+@pytest.mark.parametrize("k,threshold,small,rounds", [(4, (85, 100), 64, 6), (3, (50, 100), 64, 6), (4, (85, 100), 2, 6),
+                                                      (3, (50, 100), 3, 2), (2, (70, 100), 2, 1)])
+def test_jaccard_against_all_pairs(spark, monkeypatch, k, threshold, small, rounds):
+    monkeypatch.setattr(ngram_join, "SMALL", small)
+    monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
     rng = random.Random(9)
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "A b c d e f"), (2, ""), (3, None), (None, None), (4, " \n"), (5, "x y"),
             (6, "X Y"), (None, "q"), (7, "é É"), (8, "é é"), (9, "z " * 200_000)]
@@ -81,6 +84,28 @@ def test_jaccard_against_all_pairs(spark, k, threshold):
     assert ngram_join.jaccard_links(df, k, threshold).count() == n_links
 
 
+def test_splitting_by_hubs_loses_no_link():
+    """The bound on common differences, on random sets of two components."""
+    rng = random.Random(4)
+    num, den = 85, 100
+    linked = lambda x, y: len(x & y) * den >= len(x | y) * num
+    seen = 0
+    for _ in range(60_000):
+        h = set(range(rng.randint(5, 40)))
+        x, y = ({t for t in h if rng.random() > 0.12} | {100 + rng.randrange(8) for _ in range(rng.randrange(6))} for _ in "xy")
+        if not linked(x, y) or linked(x, h):
+            continue
+        seen += 1
+        (ex, ax, dx), (ey, ay, dy) = ((h - z, z - h, len(h - z) + len(z - h)) for z in (x, y))
+        s = len(ex & ey) + len(ax & ay)
+        w = lambda e, a: num * len(a) + den * len(e)
+        slack = (den - num) * len(h)
+        assert s * (num + den) >= w(ex, ax) + w(ey, ay) - slack
+        assert s >= -(-(w(ex, ax) - slack) // den) and min(dx, dy) >= s
+        assert s >= (-(-(w(ey, ay) + 1) // (num + den)) if linked(y, h) else -(-(w(ey, ay) - slack) // den))
+    assert seen > 300
+
+
 def test_words_that_collide_in_a_polynomial_stay_apart(spark):
     bits = [bin(i).count("1") & 1 for i in range(2048)]
     one, two = ("".join("ab"[b ^ x] for b in bits) for x in (0, 1))
