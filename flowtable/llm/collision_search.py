@@ -43,12 +43,12 @@ from pyspark.sql import functions as F
 
 from flowtable.llm.common import materialize
 
-SHARD_ROWS = 4096
+SHARD_ROWS = 16_384
 BLOCK_ROWS = 16_384  # queries in a block
-PROJECTIONS = 128
-MISS = 0.03
-GROWTH = 1.3  # factor of the window's width from step to step
-START = 0.5  # first half width
+PROJECTIONS = 64
+MISS = 0.08
+GROWTH = 1.2  # factor of the window's width from step to step
+START = 0.5  # least first half width
 
 
 @functools.lru_cache(maxsize=4)
@@ -76,15 +76,21 @@ def threshold(m: int = PROJECTIONS, miss: float = MISS) -> int:
 
 
 class Index:
-    """Sorted arrays of one shard."""
+    """Sorted arrays of one shard, laid end to end."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, m: int = PROJECTIONS):
         self.ids, self.vectors = ids, vectors
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
-        values = (vectors / self.norms[:, None]) @ projections(vectors.shape[1], m)
-        order = np.argsort(values, axis=0, kind="stable")
-        self.order = np.ascontiguousarray(order.T.astype(np.int32))
-        self.values = np.ascontiguousarray(np.take_along_axis(values, order, axis=0).T)
+        self.directions = projections(vectors.shape[1], m)
+        values = ((vectors / self.norms[:, None]) @ self.directions).T
+        order = np.argsort(values, axis=1, kind="stable")
+        self.order = order.astype(np.int32).ravel()
+        # Every array has a range of numbers of its own, so that one sorted
+        # look-up finds a place in each.
+        self.apart = np.arange(m) * (4 + 2 * np.abs(values).max())
+        self.values = (np.take_along_axis(values, order, axis=1) + self.apart[:, None]).ravel()
+        self.edges = np.arange(m + 1) * len(ids)
+        self.half = START
 
     def cosines(self, rows: np.ndarray, vector: np.ndarray, norm: float) -> np.ndarray:
         """Row by row, so that equal vectors get equal scores."""
@@ -93,20 +99,20 @@ class Index:
     def search(self, vector: np.ndarray, own: int, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
         """(row numbers, cosines) of the k best verified vectors; ``own`` is
         the query's row number here, or -1."""
-        n, m = len(self.ids), len(self.values)
+        n = len(self.ids)
         norm = math.sqrt(float((vector * vector).sum()))
-        centre = (vector / norm) @ projections(len(vector), m)
-        lo = hi = np.array([np.searchsorted(v, c) for v, c in zip(self.values, centre)])
+        centre = (vector / norm) @ self.directions + self.apart
+        place = lambda at, side: np.clip(np.searchsorted(self.values, at, side), self.edges[:-1], self.edges[1:])
+        lo = hi = place(centre, "left")
         counts = np.zeros(n, dtype=np.int64)
         verified = np.zeros(n, dtype=bool)
         if own >= 0:
             verified[own] = True
-        rows, scores, half = np.zeros(0, np.int64), np.zeros(0), START
+        rows, scores, half, order = np.zeros(0, np.int64), np.zeros(0), self.half, self.order
         while True:
-            low = np.array([np.searchsorted(v, c) for v, c in zip(self.values, centre - half)])
-            high = np.array([np.searchsorted(v, c, "right") for v, c in zip(self.values, centre + half)])
-            ring = [o[a:b] for o, a, b in zip(self.order, low, lo)] + [o[a:b] for o, a, b in zip(self.order, hi, high)]
-            counts += np.bincount(np.concatenate(ring), minlength=n)
+            low, high = place(centre - half, "left"), place(centre + half, "right")
+            ends = zip([*low.tolist(), *hi.tolist()], [*lo.tolist(), *high.tolist()])
+            counts += np.bincount(np.concatenate([order[a:b] for a, b in ends]), minlength=n)
             lo, hi = low, high
             fresh = np.flatnonzero((counts >= least) & ~verified)
             if len(fresh):
@@ -115,11 +121,13 @@ class Index:
                 scores = np.concatenate([scores, self.cosines(fresh, vector, norm)])
                 best = np.lexsort((self.ids[rows], -scores))[:k]
                 rows, scores = rows[best], scores[best]
-            if lo.max() == 0 and hi.min() == n:
+            if (lo == self.edges[:-1]).all() and (hi == self.edges[1:]).all():
                 return rows, scores
             if len(rows) == k:
                 far = math.sqrt(max(0.0, 2 - 2 * scores[-1]))
                 if half >= far:
+                    # The next query of this shard starts a little below.
+                    self.half = max(START, 0.9 * far)
                     return rows, scores
                 half = min(max(half * GROWTH, half + 1e-9), far)
             else:
