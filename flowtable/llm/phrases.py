@@ -1,13 +1,15 @@
 """Phrase collocation mining with double-array tries of Apriori-safe candidates.
 
 Words are cut inside pieces (runs without ``[.,;:!?\\x0A-\\x0D]``); a phrase is
-a run of 1 to ``LONGEST`` words of one piece. Three passes over the texts:
+a run of 1 to ``LONGEST`` words of one piece. Passes over the texts:
 
-1. Filter. Every phrase is hashed into a table of small saturating counters,
-   one table per length. The tables of all tasks are added up; a phrase whose
-   counter stays below ``least`` occurs less often than that.
+1. Filter. Words and pairs of words are hashed into tables of small saturating
+   counters, one for each length, and the tables of all tasks are added up; a
+   second pass does the same for the phrases of 3 and more words whose pairs
+   may all be frequent. A phrase whose counter stays below ``least`` occurs
+   less often than that.
 2. Candidates. A phrase is a candidate if its counter and those of both its
-   halves one word shorter (and so of all its parts) reach ``least``. Since a
+   parts one word shorter (and so of all its parts) reach ``least``. Since a
    phrase is never more frequent than its parts, no frequent phrase is lost.
 3. Counting. The distinct candidates of each language are dealt into shards,
    each a double-array trie over the shard's own word codes, built in a task.
@@ -16,7 +18,9 @@ a run of 1 to ``LONGEST`` words of one piece. Three passes over the texts:
    states are counted per task with ``bincount`` and summed.
 
 Counts are exact whatever the hashes do: words are compared as strings when a
-trie gives them codes. The counter tables grow with the input up to
+trie gives them codes. Passes run in as many tasks as the cluster has cores, so
+that one table, or one vector of counts, serves all texts that a core reads.
+The counter tables grow with the input up to
 ``MAX_BUCKETS`` a length. Inputs of more than ``FILTER_BYTES`` would only fill
 them, and the candidates would be nearly all phrases; they are counted by a
 plain shuffle on the phrase instead, with the same result.
@@ -45,13 +49,14 @@ from pyspark.sql import functions as F
 
 from flowtable.llm import arrow_text as at
 from flowtable.llm.common import materialize
+from flowtable.session import cluster_cores
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
 CHUNK = 1 << 16  # counters in a row of the filter
 MIN_BUCKETS, MAX_BUCKETS = CHUNK, 1 << 25
-BYTES_A_BUCKET = 128  # text bytes for each counter
+BYTES_A_BUCKET = 64  # text bytes for each counter
 FILTER_BYTES = MAX_BUCKETS * BYTES_A_BUCKET
 SHARD_BYTES = 4 << 20  # candidates in a trie
 PACK_BYTES = 32 << 20  # tries in a broadcast
@@ -77,18 +82,25 @@ class Words:
         """The words, lower-cased, as a dictionary array."""
         return at.word_array(self.data, self.starts, self.ends).dictionary_encode()
 
-    def hashes(self, seed: np.uint64):
-        """For each length: (positions, hashes) of all phrases."""
+    def phrases(self, seed: np.uint64, flags: dict[int, np.ndarray], longest: int):
+        """For each length: (length, positions, hashes) of the phrases whose
+        parts pass ``flags``, and which pass them where their length is there."""
         words = at.range_hashes(self.data, self.starts, self.ends)
         h, where = at.mix(words + seed), np.arange(len(words))
-        yield where, h
-        for size in range(2, LONGEST + 1):
-            ok = where < len(words) - size + 1
-            h, where = h[ok], where[ok]
-            ok = self.follows[where + size - 2]
-            h, where = h[ok], where[ok]
-            h = at.mix(h * np.uint64(0x9E3779B97F4A7C15) + words[where + size - 1])
-            yield where, h
+        for size in range(1, longest + 1):
+            if size > 1:
+                passed = np.zeros(len(words) + 1, dtype=bool)
+                passed[where] = True
+                ok = where < len(words) - size + 1
+                h, where = h[ok], where[ok]
+                ok = self.follows[where + size - 2] & passed[where + 1]
+                h, where = h[ok], where[ok]
+                h = at.mix(h * np.uint64(0x9E3779B97F4A7C15) + words[where + size - 1])
+            if size in flags:
+                slot = (h & np.uint64(8 * len(flags[size]) - 1)).astype(np.int64)
+                ok = (flags[size][slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+                h, where = h[ok], where[ok]
+            yield size, where, h
 
 
 def _by_lang(batch: pa.RecordBatch):
@@ -109,80 +121,81 @@ def _texts(docs: DataFrame) -> DataFrame:
         .filter("text is not null and text <> ''")
 
 
-def _filter(texts: DataFrame, least: int, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """(n per lang, the counters' bits): the first pass."""
+_FILTER = "size int, chunk int, lang string, n long, counts binary"
+
+
+def _filter(texts: DataFrame, least: int, buckets: int, sizes: list[int], known: dict[int, np.ndarray]):
+    """(n per lang, {length: bits of the counters that reach ``least``})."""
+    sent = texts.sparkSession.sparkContext.broadcast(known)
+
     def run(batches):
-        tables = np.zeros((LONGEST, buckets), dtype=np.uint8)
+        tables = {size: np.zeros(buckets, dtype=np.uint8) for size in sizes}
         n: dict[str, int] = {}
         for batch in batches:
             for lang, words in _by_lang(batch):
                 n[lang] = n.get(lang, 0) + len(words.starts)
-                for level, (_, h) in enumerate(words.hashes(_seed(lang))):
-                    slot, count = np.unique(h & np.uint64(buckets - 1), return_counts=True)
-                    slot = slot.astype(np.int64)
-                    tables[level, slot] = np.minimum(least, tables[level, slot] + np.minimum(count, least)).astype(np.uint8)
-        for lang, count in n.items():
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([0], pa.int32()), pa.array([lang]),
-                                              pa.array([count], pa.int64()), pa.array([None], pa.binary())],
-                                             names=["level", "chunk", "lang", "n", "counts"])
-        for level in range(LONGEST):
-            parts = [(c, tables[level, c * CHUNK:(c + 1) * CHUNK]) for c in range(buckets // CHUNK)]
-            parts = [(c, part.tobytes()) for c, part in parts if part.any()]
-            m = len(parts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([level + 1] * m, pa.int32()), pa.array([c for c, _ in parts], pa.int32()),
-                 pa.array([None] * m, pa.string()), pa.array([None] * m, pa.int64()), pa.array([b for _, b in parts], pa.binary())],
-                names=["level", "chunk", "lang", "n", "counts"])
-
-    made = materialize(texts.mapInArrow(run, "level int, chunk int, lang string, n long, counts binary"), "phrase-filter")
+                for size, _, h in words.phrases(_seed(lang), sent.value, sizes[-1]):
+                    if size in tables and len(h):
+                        table = tables[size]
+                        slot, count = np.unique(h & np.uint64(buckets - 1), return_counts=True)
+                        slot = slot.astype(np.int64)
+                        table[slot] = np.minimum(least, table[slot] + np.minimum(count, least)).astype(np.uint8)
+
+        def rows(size, chunks, langs, counts, tables):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(size, pa.int32()), pa.array(chunks, pa.int32()), pa.array(langs, pa.string()),
+                 pa.array(counts, pa.int64()), pa.array(tables, pa.binary())], names=["size", "chunk", "lang", "n", "counts"])
+
+        m = len(n)
+        yield rows([0] * m, [0] * m, list(n), list(n.values()), [None] * m)
+        for size, table in tables.items():
+            for c in range(buckets // CHUNK):
+                part = table[c * CHUNK:(c + 1) * CHUNK]
+                if part.any():
+                    yield rows([size], [c], [None], [None], [part.tobytes()])
+
+    made = materialize(texts.mapInArrow(run, _FILTER), "phrase-filter")
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(CHUNK, dtype=np.int64)
         for value in table.column("counts"):
             total += np.frombuffer(value.as_buffer(), np.uint8)
-        return pa.table([table.column("level").slice(0, 1), table.column("chunk").slice(0, 1),
-                         pa.array([np.packbits(total >= least).tobytes()], pa.binary())], names=["level", "chunk", "bits"])
+        return pa.table([table.column("size").slice(0, 1), table.column("chunk").slice(0, 1),
+                         pa.array([np.packbits(total >= least).tobytes()], pa.binary())], names=["size", "chunk", "bits"])
 
-    sizes = made.filter("level = 0").groupBy("lang").agg(F.sum("n").alias("n"))
-    bits = made.filter("level > 0").select("level", "chunk", "counts").groupBy("level", "chunk").applyInArrow(
-        add, "level int, chunk int, bits binary")
-    return sizes, bits
+    found = {size: np.zeros(buckets // 8, dtype=np.uint8) for size in sizes}  # at most MAX_BUCKETS / 8 bytes a length
+    for r in made.filter("size > 0").select("size", "chunk", "counts").groupBy("size", "chunk").applyInArrow(
+            add, "size int, chunk int, bits binary").toLocalIterator():
+        found[r["size"]][r.chunk * CHUNK // 8:(r.chunk + 1) * CHUNK // 8] = np.frombuffer(r.bits, np.uint8)
+    return made.filter("size = 0").groupBy("lang").agg(F.sum("n").alias("n")), found
 
 
 def _distinct(coded: pa.DictionaryArray, where: np.ndarray, size: int) -> tuple[pa.Array, np.ndarray]:
     """(phrases, counts) of the distinct runs of ``size`` words that start at
     the positions ``where``, words joined by spaces."""
-    codes, names = coded.indices.to_numpy(), coded.dictionary
-    rows, counts = np.unique(np.stack([codes[where + j] for j in range(size)], 1), axis=0, return_counts=True)
-    parts = [names.take(pa.array(rows[:, j])) for j in range(size)]
+    codes, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    key = codes[where]
+    for j in range(1, size):  # pairs of (what came before, next word), numbered anew
+        _, key = np.unique(key, return_inverse=True)
+        key = key * len(names) + codes[where + j]
+    _, first, counts = np.unique(key, return_index=True, return_counts=True)
+    parts = [names.take(pa.array(codes[where[first] + j])) for j in range(size)]
     joined = pc.binary_join_element_wise(*parts, pa.scalar(" ", names.type)) if size > 1 else parts[0]
     return joined.cast(pa.string()), counts
 
 
-def _candidates(texts: DataFrame, bits: DataFrame, buckets: int) -> DataFrame:
-    """(lang, phrase, words): the second pass."""
-    flags = np.zeros((LONGEST, buckets // 8), dtype=np.uint8)  # at most MAX_BUCKETS / 8 bytes a length
-    for r in bits.toLocalIterator():
-        flags[r.level - 1, r.chunk * CHUNK // 8:(r.chunk + 1) * CHUNK // 8] = np.frombuffer(r.bits, np.uint8)
-    sent = texts.sparkSession.sparkContext.broadcast(flags.tobytes())
+def _candidates(texts: DataFrame, flags: dict[int, np.ndarray]) -> DataFrame:
+    """(lang, phrase): the second step."""
+    sent = texts.sparkSession.sparkContext.broadcast(flags)
 
     def run(batches):
-        table = np.frombuffer(sent.value, np.uint8).reshape(LONGEST, -1)
         for batch in batches:
             for lang, words in _by_lang(batch):
-                before, coded = None, words.strings()
-                for level, (where, h) in enumerate(words.hashes(_seed(lang))):
-                    slot = (h & np.uint64(buckets - 1)).astype(np.int64)
-                    ok = (table[level, slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
-                    passed = np.zeros(len(words.starts) + 1, dtype=bool)
-                    if before is None:
-                        passed[where] = ok
-                    else:
-                        passed[where] = ok & before[where] & before[where + 1]
-                    before, where = passed, np.flatnonzero(passed)
+                coded = words.strings()
+                for size, where, _ in words.phrases(_seed(lang), sent.value, LONGEST):
                     if not len(where):
                         break
-                    found, _ = _distinct(coded, where, level + 1)
+                    found, _ = _distinct(coded, where, size)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), found], names=["lang", "phrase"])
 
     return materialize(texts.mapInArrow(run, "lang string, phrase string").distinct(), "phrase-candidates")
@@ -389,9 +402,11 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, shard_bytes: int = SHARD_
     if size > filter_bytes or not 1 <= least <= 255:
         sizes, counts = _shuffle_counts(texts)
     else:
+        texts = texts.coalesce(cluster_cores(docs.sparkSession))
         buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, 1 << (size // BYTES_A_BUCKET).bit_length()))
-        sizes, bits = _filter(texts, least, buckets)
-        tries = _tries(_candidates(texts, bits, buckets), shard_bytes)
+        sizes, flags = _filter(texts, least, buckets, [1, 2], {})
+        flags |= _filter(texts, least, max(MIN_BUCKETS, buckets // 4), list(range(3, LONGEST + 1)), flags)[1]
+        tries = _tries(_candidates(texts, flags), shard_bytes)
         counts = _trie_counts(texts, tries, pack_bytes)
     return sizes, materialize(counts.filter(F.col("f") >= least), "frequent-phrases")
 
