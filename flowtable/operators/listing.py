@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowtable.sources.folders import list_folder
+
 # Inventory rows: one per file or directory.
 FILES_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("name", T.StringType()),
@@ -66,21 +68,14 @@ def file_inventory(files_df: DataFrame, root: str | Sequence[str], recurse: bool
         permissions(F.col("mode")).alias("permissions"))
 
 
-def scan_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Inventory rows from a real folder via the ``binaryFile`` source (file
-    content is pruned away, never read). The source hides names that start
-    with ``.`` or ``_`` and knows no owner, group or mode."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(root).select("path", "modificationTime", "length")
-    path = F.regexp_replace(F.col("path"), r"^file:", "")
-    return df.select(
-        path.alias("path"), F.element_at(F.split(path, "/"), -1).alias("name"),
-        F.regexp_extract(path, r"^(.*)/[^/]*$", 1).alias("parent"), F.col("length"),
-        F.unix_millis(F.col("modificationTime")).alias("mtime_ms"), F.lit(None).cast("string").alias("owner"),
-        F.lit(None).cast("string").alias("group"), F.lit(None).cast("int").alias("replication"),
-        F.lit(None).cast("int").alias("mode"), F.lit(False).alias("is_dir"))
+def scan_inventory(spark: SparkSession, root: str, recurse: bool = True, name_regex: str | None = None) -> DataFrame:
+    """Inventory rows (files and directories, hidden names included) of a real
+    folder, listed level by level in tasks (``sources.folders``). A directory
+    whose name does not fully match ``name_regex`` is not read, nor are those
+    below the top without ``recurse``. Owner, group, mode and replication are
+    null where the store does not tell them."""
+    descend = full_match(F.col("name"), name_regex) if name_regex else None
+    return list_folder(spark, root, recurse, descend)
 
 
 @dataclass(frozen=True)

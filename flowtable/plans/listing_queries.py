@@ -10,7 +10,7 @@ from flowtable.operators.listing import (ListingState, directory_status, file_in
 from flowtable.plans.common import ORDER_FILES_SQL, PAGE_FILES_SQL, order_files, page_files, perms_sql
 from flowtable.plans.registry import query
 from flowtable.session import scratch_path
-from flowtable.sources.files import write_text_files
+from flowtable.sources.files import write_files
 from flowtable.sources.tables import load
 
 NAME_REGEX = "[a-z0-9.]+"
@@ -146,30 +146,33 @@ def q_name_suffix_inventory(spark, sf_dir):
     return name_suffix_inventory(page_files(spark, sf_dir), "name", ".html", default="index")
 
 
-# Real files: pages as <lang>/<page_id>.html (urls ending in .html) or .txt,
-# listed from the folder with the binaryFile source.
-SCAN_REGEX = r"[a-z]{2}|[0-9]+\.html"
+# Real files: pages as <lang>/<page_id>.html (urls ending in .html) or .txt, with
+# '_' or '.' in front for urls with a query or a fragment; languages that the
+# filter leaves out are not read.
+SCAN_REGEX = r"[a-z]{2}|_?[0-9]+\.html"
 
 
 @query("scan_inventory", oracle=r"""
 WITH f AS (
   SELECT regexp_extract(url, '^[a-z]+://[^/?#]+/([a-z]+)', 1) AS lang,
-         CAST(page_id AS VARCHAR) || CASE WHEN regexp_matches(url, '\.html$') THEN '.html' ELSE '.txt' END AS name,
+         CASE WHEN contains(url, '#') THEN '.' WHEN contains(url, '?') THEN '_' ELSE '' END || CAST(page_id AS VARCHAR)
+           || CASE WHEN regexp_matches(url, '\.html([?#]|$)') THEN '.html' ELSE '.txt' END AS name,
          CAST(strlen(html) AS BIGINT) AS length
   FROM pages
 )
-SELECT name AS filename, '/' || lang AS path, length FROM f
-WHERE regexp_full_match(lang, '[a-z]{2}') AND regexp_full_match(name, '[0-9]+\.html')
+SELECT name AS filename, '/' || lang AS path, length, 'rw-' AS owner_may, true AS has_owner FROM f
+WHERE regexp_full_match(lang, '[a-z]{2}') AND regexp_full_match(name, '_?[0-9]+\.html')
 """)
 def q_scan_inventory(spark, sf_dir):
     base = scratch_path(spark, "pagefiles")
     pages = load(spark, sf_dir, "pages")
     lang = F.regexp_extract("url", r"^[a-z]+://[^/?#]+/([a-z]+)", 1)
-    ext = F.when(F.col("url").rlike(r"\.html$"), F.lit(".html")).otherwise(F.lit(".txt"))
-    rel = F.concat(lang, F.lit("/"), F.col("page_id").cast("string"), ext)
-    write_text_files(pages.select(rel.alias("rel"), "html"), base, "rel", "html") \
-        .write.format("noop").mode("overwrite").save()
-    listed = scan_inventory(spark, base)
+    mark = F.when(F.col("url").contains("#"), ".").when(F.col("url").contains("?"), "_").otherwise("")
+    ext = F.when(F.col("url").rlike(r"\.html([?#]|$)"), F.lit(".html")).otherwise(F.lit(".txt"))
+    rel = F.concat(lang, F.lit("/"), mark, F.col("page_id").cast("string"), ext)
+    write_files(pages.select(rel.alias("rel"), "html"), base, "rel", "html")
+    listed = scan_inventory(spark, base, name_regex=SCAN_REGEX)
     inv = file_inventory(listed, base, recurse=True, name_regex=SCAN_REGEX)
     # report the parent relative to the scanned root
-    return inv.select("filename", F.substring("path", len(base) + 1, 1 << 20).alias("path"), "length")
+    return inv.select("filename", F.substring("path", len(base) + 1, 1 << 20).alias("path"), "length",
+                      F.substring("permissions", 1, 3).alias("owner_may"), F.col("owner").isNotNull().alias("has_owner"))

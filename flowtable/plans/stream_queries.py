@@ -103,8 +103,7 @@ def q_zip_entries(spark, sf_dir):
         "doc_id", "text",
         F.concat("source", F.lit("_"), F.floor(F.col("doc_id") / ARCHIVE_BUCKET).cast("string")).alias("archive_key"),
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("entry_name"))
-    write_zip_archives(docs, base, "archive_key", "entry_name", "text", "doc_id").write.format("noop") \
-        .mode("overwrite").save()
+    write_zip_archives(docs, base, "archive_key", "entry_name", "text", "doc_id")
     entries = zip_entries(spark, base).withColumnRenamed("route", "entry_route")
     matched = nth_match(entries, ["archive", "entry_index", "entry_route"], "content", NTH_REGEX, NTH_K)
     first = first_value_per_archive(matched)

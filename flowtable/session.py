@@ -81,6 +81,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "flowtable", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: later
+    steps survive lost executors and never compute it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of ``df`` (file sizes for scans; an upper
     bound in practice, since filters are not subtracted without CBO)."""

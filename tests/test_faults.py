@@ -1,8 +1,6 @@
 """Inputs on which records were lost, jobs failed or plans disagreed."""
 
-import io
 import tempfile
-import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +9,6 @@ from flowtable.operators import (as_json_content, busy_nodes, capped_actions, pa
                                  sentiment, to_raster, utterances)
 from flowtable.operators.listing import ListingState, state_before
 from flowtable.operators.routing import _ranked_cutoff
-from flowtable.sources.archives import _unpack
 from flowtable.streaming import poll
 
 
@@ -124,26 +121,3 @@ def test_json_content_keeps_microseconds(spark):
 def test_parse_pairs_of_null(spark):
     row = parse_pairs(spark.createDataFrame([(None,)], "c string"), "c").first()
     assert row.pairs == {} and row.route == "success"
-
-
-def test_bad_archives_do_not_stop_the_others():
-    def archive(corrupt=False, encrypted=False):
-        buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr("a.txt", "one")
-            z.writestr("b.txt", "two " * 500)
-        raw = bytearray(buf.getvalue())
-        if corrupt:
-            at = raw.find(b"b.txt") + 5
-            raw[at:at + 8] = b"\xff" * 8
-        if encrypted:
-            at = raw.find(b"PK\x01\x02")
-            raw[at + 8] |= 1
-        return bytes(raw)
-
-    import pandas as pd
-    batch = pd.DataFrame({"path": ["bad", "locked", "good", "junk"],
-                          "content": [archive(corrupt=True), archive(encrypted=True), archive(), b"x"]})
-    out = pd.concat(_unpack([batch], "utf-8"))
-    assert out.groupby("archive")["route"].agg(list).to_dict() == {
-        "bad": ["success", "failure"], "locked": ["failure"], "good": ["success", "success"], "junk": ["failure"]}
