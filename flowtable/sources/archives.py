@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from flowtable.operators.listing import full_match, scan_inventory
 from flowtable.session import cluster_cores, stored
 from flowtable.sources.files import write_files
-from flowtable.sources.stores import open_store
+from flowtable.sources.stores import random_access
 
 ENTRY_SCHEMA = "archive string, entry_index int, entry_name string, content string, route string"
 DIRECTORY_SCHEMA = ("archive string, entry_index int, entry_name string, start long, packed long, size long, method int, "
@@ -49,9 +49,8 @@ def _batch(rows: list[tuple], fields) -> pa.RecordBatch:
 def _directory(archive: str) -> list[tuple]:
     """The central directory of an archive, folders left out; one row without
     an entry for an empty archive (``success``) or an unreadable one."""
-    store, path = open_store(archive)
     try:
-        with store.open_input_file(path) as file, zipfile.ZipFile(file) as z:
+        with random_access(archive) as file, zipfile.ZipFile(file) as z:
             entries = [i for i in z.infolist() if not i.is_dir()]
         rows = [(archive, n, i.filename, i.header_offset, i.compress_size, i.file_size, i.compress_type, i.CRC,
                  bool(i.flag_bits & 1), "success") for n, i in enumerate(entries)]
@@ -137,8 +136,7 @@ def _entries(batches, encoding: str, most: int):
                 if row["encrypted"]:
                     raise ValueError("encrypted entry")
                 if archive != name:
-                    store, path = open_store(archive)
-                    name, file = archive, store.open_input_file(path)
+                    name, file = archive, random_access(archive)
                 data = _content(file, row["start"], row["packed"], row["size"], row["method"], row["crc"], most)
                 rows.append((archive, index, row["entry_name"], data.decode(encoding, errors="replace"), "success"))
                 weight += len(data)
