@@ -1,17 +1,23 @@
 """Byte-level BPE encoding and decoding as a monoid tree reduction.
 
 A text is cut by the pre-tokeniser's pattern; every match is encoded on its
-own. A match is encoded by halves: both halves recursively, then the two token
-lists are joined. The join encodes a window around the border again. A token
-list is the BPE encoding of its bytes exactly when every pair of neighbours
-encodes to itself, so the tokens outside the window are proven stable as soon
-as the pairs at the window's two edges do; until then the window grows on the
-side that fails. Decoding concatenates up a balanced tree.
+own. A match is encoded by halves, down to single bytes: both halves
+recursively, then the two token lists are joined. The join encodes a window
+around the border again, at first the two tokens that meet there. A token list
+is the BPE encoding of its bytes exactly when every pair of neighbours encodes
+to itself, so the tokens outside the window are proven stable as soon as the
+pairs at the window's two edges do; until then the window grows on the side
+that fails. Decoding concatenates up a balanced tree.
+
+The left half has the largest power of two of bytes below the whole, so the
+same halves come up again and again. Results are remembered in three tables of
+fixed size: by the two tokens that meet at a border, by the bytes of a short
+half, and by the whole match.
 
 The rank file is read once per Python worker from ``path`` (installed on every
-node). Memory is bounded by one text plus a piece cache of fixed size. The
-pattern's classes are written out as ranges for the standard library's engine,
-which is twice as fast as ``regex`` and finds the same matches.
+node). Memory is bounded by one text plus the tables. The pattern's classes
+are written out as ranges for the standard library's engine, which is twice as
+fast as ``regex`` and finds the same matches.
 
 Defined cases: null text is empty and has no tokens; texts may have any length;
 strings of special tokens are ordinary text; unknown ids or null lists decode
@@ -35,9 +41,7 @@ from pyspark.sql import types as T
 
 from flowtable.llm.common import with_arrow_column
 
-LEAF = 16  # pieces up to this many bytes are encoded directly
-CACHE = 100_000  # pieces kept per worker, in each of two generations
-NEVER = 1 << 62  # rank of pairs that do not merge
+CACHE = 100_000  # entries of a table, in each of two generations
 
 
 def splitter(pattern: str):
@@ -66,22 +70,25 @@ def splitter(pattern: str):
     return split
 
 
-class Pieces(dict):
-    """Token ids by piece, made when missing. A full generation is set aside
-    and serves misses of the next one, so frequent pieces stay."""
+class Table(dict):
+    """Values by key, made when missing. A full generation is set aside and
+    serves misses of the next one, so frequent keys stay. Keys longer than
+    ``longest`` are not kept."""
 
-    def __init__(self, make):
+    def __init__(self, make, longest: int):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.longest, self.old = make, longest, {}
 
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.old.get(piece) or self.make(piece.encode())
-        if len(piece) <= 64:
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
             if len(self) >= CACHE:
                 self.old = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[key] = value
+        return value
 
 
 class Bpe:
@@ -92,100 +99,77 @@ class Bpe:
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._pieces = Pieces(self.piece)
-
-    def direct(self, piece: bytes) -> list[int]:
-        """Merge the lowest-ranked neighbours, leftmost first, to the end. Used
-        on leaves and windows."""
-        if len(piece) > 4 * LEAF:
-            return self._queued(piece)
-        rank = self.ranks.get
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        pairs = [rank(piece[i:i + 2], NEVER) for i in range(len(piece) - 1)]
-        while pairs and (best := min(pairs)) < NEVER:
-            at = pairs.index(best)
-            merged = parts[at] + parts[at + 1]
-            parts[at:at + 2] = [merged]
-            del pairs[at]
-            if at:
-                pairs[at - 1] = rank(parts[at - 1] + merged, NEVER)
-            if at < len(pairs):
-                pairs[at] = rank(merged + parts[at + 1], NEVER)
-        return [self.ranks[p] for p in parts]
-
-    def _queued(self, piece: bytes) -> list[int]:
-        """The same merges from a priority queue, for windows that grew long."""
+        # What the two tokens at a border encode to; halves; whole matches.
+        self.borders = Table(lambda pair: self.window(self.bytes_of[pair[0]] + self.bytes_of[pair[1]]), 2)
+        self.halves = Table(self.half, 16)
+        self.pieces = Table(lambda piece: self.half(piece.encode()), 64)
+        self.joins = 0
+
+    def window(self, piece: bytes) -> list[int]:
+        """The tokens of the bytes at a border: the lowest-ranked neighbours
+        merge, leftmost first, to the end."""
         ranks, n = self.ranks, len(piece)
+        if piece in ranks:
+            return [ranks[piece]]
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts at i
-        heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks.get(piece[i:i + 2])) is not None]
+        heap = [(ranks[pair], i, i + 2) for i in range(n - 1) if (pair := piece[i:i + 2]) in ranks]
         heapq.heapify(heap)
-
-        def push(i: int) -> None:
-            if i >= 0 and end[i] < n:
-                stop = end[end[i]]
-                if (rank := ranks.get(piece[i:stop])) is not None:
-                    heapq.heappush(heap, (rank, i, stop))
-
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
-            _, i, stop = heapq.heappop(heap)
+            _, i, stop = pop(heap)
             j = end[i]
             if j == 0 or j >= n or end[j] != stop:
                 continue  # one of the two parts has changed since
             end[i], end[j] = stop, 0  # 0: no part starts at j any more
             if stop < n:
                 before[stop] = i
-            push(i)
-            push(before[i])
+                wider = piece[i:end[stop]]
+                if wider in ranks:
+                    push(heap, (ranks[wider], i, end[stop]))
+            j = before[i]
+            if j >= 0:
+                wider = piece[j:stop]
+                if wider in ranks:
+                    push(heap, (ranks[wider], j, stop))
         out, i = [], 0
         while i < n:
             out.append(ranks[piece[i:end[i]]])
             i = end[i]
         return out
 
-    def stable(self, a: int, b: int) -> bool:
-        """Whether two neighbouring tokens encode to themselves."""
-        known = self._pairs.get((a, b))
-        if known is None:
-            if len(self._pairs) >= CACHE:
-                self._pairs.clear()
-            known = self._pairs[a, b] = self.direct(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-        return known
-
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of the concatenation of two encoded byte strings."""
         if not left or not right:
             return left + right
-        if self.stable(left[-1], right[0]):
+        self.joins += 1
+        a, b = left[-1], right[0]
+        window = self.borders[a, b]
+        if len(window) == 2 and window[0] == a:
             return left + right
-        i, j = 1, 1  # tokens of each side inside the window
+        i, j, borders = 1, 1, self.borders  # tokens of each side inside the window
         while True:
-            window = self.direct(b"".join(map(self.bytes_of.__getitem__, left[len(left) - i:] + right[:j])))
-            left_ok = i == len(left) or self.stable(left[-i - 1], window[0])
-            right_ok = j == len(right) or self.stable(window[-1], right[j])
+            left_ok = i == len(left) or borders[left[-i - 1], window[0]] == [left[-i - 1], window[0]]
+            right_ok = j == len(right) or borders[window[-1], right[j]] == [window[-1], right[j]]
             if left_ok and right_ok:
                 return left[:len(left) - i] + window + right[j:]
             i = i if left_ok else min(len(left), 2 * i)
             j = j if right_ok else min(len(right), 2 * j)
+            window = self.window(b"".join(map(self.bytes_of.__getitem__, left[len(left) - i:] + right[:j])))
 
-    def piece(self, piece: bytes) -> list[int]:
-        rank = self.ranks.get(piece)
-        if rank is not None:
-            return [rank]
-        return self._halves(piece)
-
-    def _halves(self, piece: bytes) -> list[int]:
-        if len(piece) <= LEAF:
-            return self.direct(piece)
-        mid = len(piece) // 2
-        return self.join(self._halves(piece[:mid]), self._halves(piece[mid:]))
+    def half(self, piece: bytes) -> list[int]:
+        """The encoding of the bytes: of both halves, joined."""
+        n = len(piece)
+        if n < 2:
+            return [self.ranks[piece]] if piece else []
+        mid = 1 << (n - 1).bit_length() - 1
+        return self.join(self.halves[piece[:mid]], self.halves[piece[mid:]])
 
     def encode(self, text: str) -> list[int]:
         return list(self.tokens(text))
 
     def tokens(self, text: str):
         """The ids one by one."""
-        return chain.from_iterable(map(self._pieces.__getitem__, self.split(text)))
+        return chain.from_iterable(map(self.pieces.__getitem__, self.split(text)))
 
     def decode(self, ids, lo: int = 0, hi: int | None = None) -> bytes:
         """The bytes of ``ids[lo:hi]``, concatenated up a balanced tree."""
