@@ -56,13 +56,41 @@ def same_key(a: DataFrame, b: DataFrame):
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["thash"] == b["thash"])
 
 
-def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose (doc_id, thash) is among the
-    materialised ``keys``; broadcast only if those are proven small."""
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have in any case of
+    letters: a name that is taken gets ``_1``, ``_2``, ... behind it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        free, n = name, 0
+        while free.lower() in taken:
+            n += 1
+            free = f"{name}_{n}"
+        taken.add(free.lower())
+        out.append(free)
+    return out
+
+
+def whole_row(df: DataFrame):
+    """All columns of ``df`` as one struct, whatever their names."""
+    return F.struct(*[df[f"`{c}`"].alias(c) for c in df.columns])
+
+
+def _keyed_join(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     keys = maybe_broadcast(keys.select(F.col("doc_id").alias("gone_id"), F.col("thash").alias("gone_hash")), row_bytes=48)
     text = F.coalesce(docs["text"], F.lit(""))
     return docs.join(keys, docs["doc_id"].cast("long").eqNullSafe(keys["gone_id"])
-                     & (F.xxhash64(text) == keys["gone_hash"]), "left_anti")
+                     & (F.xxhash64(text) == keys["gone_hash"]), how)
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose (doc_id, thash) is among the
+    materialised ``keys``; broadcast only if those are proven small."""
+    return _keyed_join(docs, keys, "left_anti")
+
+
+def within(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Only the rows whose (doc_id, thash) is among the ``keys``."""
+    return _keyed_join(docs, keys, "left_semi")
 
 
 ARROW_ROWS = 256  # rows of an output batch
@@ -72,17 +100,18 @@ def with_arrow_column(df: DataFrame, source: str, name: str, kind: T.DataType, m
     """``df`` with one more column ``name`` (in place of one of that name),
     computed from column ``source`` by ``make(array) -> array`` in small Arrow
     batches. All other columns pass through."""
-    kept = [f for f in df.schema.fields if f.name != name]
-    schema = T.StructType(kept + [T.StructField(name, kind)])
-    positions = [i for i, f in enumerate(df.schema.fields) if f.name != name]
-    names = [f.name for f in schema.fields]
+    kept = [(i, f) for i, f in enumerate(df.schema.fields) if f.name != name]
+    names = [f"c{i}" for i, _ in kept] + ["made"]
+    schema = T.StructType([T.StructField(n, f.dataType) for n, (_, f) in zip(names, kept)] + [T.StructField("made", kind)])
     at = df.columns.index(source)
 
     def run(batches):
         for whole in batches:
             for row in range(0, whole.num_rows, ARROW_ROWS):
                 batch = whole.slice(row, ARROW_ROWS)
-                columns = [batch.column(i) for i in positions]
+                columns = [batch.column(i) for i, _ in kept]
                 yield pa.RecordBatch.from_arrays([*columns, make(batch.column(at))], names=names)
 
-    return df.mapInArrow(run, schema)
+    # Plain names inside: the call cannot resolve names with dots.
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(run, schema).toDF(*[f.name for _, f in kept], name)

@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowtable.llm.common import materialize, maybe_broadcast, with_key
+from flowtable.llm.common import fresh, materialize, maybe_broadcast, with_key
 
 MIN_WORDS = 50
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -133,20 +133,21 @@ def repeated_runs(keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with its rows, and ``text`` without the later copies; plus
-    ``thash`` (of the old text), ``n_lines`` and ``n_removed``."""
-    gone = repeated_runs(with_key(docs), min_words).groupBy("doc_id", "thash") \
-        .agg(F.collect_list("line_at").alias("gone")).withColumnsRenamed({"doc_id": "gone_id", "thash": "gone_hash"})
-    gone = maybe_broadcast(materialize(gone, "deleted-lines"))
-    text = F.coalesce(docs["text"], F.lit(""))
-    old = docs.withColumn("thash", F.xxhash64(text))
-    both = old.join(gone, old["doc_id"].cast("long").eqNullSafe(gone["gone_id"]) & (old["thash"] == gone["gone_hash"]), "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    both = both.withColumn("all_lines_of_text", lines)
-    kept = F.array_except(F.sequence(F.lit(0), F.size("all_lines_of_text") - 1), F.col("gone"))
-    rest = F.array_join(F.transform(kept, lambda i: F.get(F.col("all_lines_of_text"), i)), "\n")
+    ``thash`` (of the old text), ``n_lines`` and ``n_removed``. Columns of
+    these three names in ``docs`` give way to them; all others come back."""
+    own = ("thash", "n_lines", "n_removed")
+    docs = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c.lower() not in own])
+    by_id, by_hash, gone, lines = fresh(docs, "gone_id", "gone_hash", "gone", "lines")
+    deleted = repeated_runs(with_key(docs), min_words).groupBy("doc_id", "thash") \
+        .agg(F.collect_list("line_at").alias(gone)).withColumnsRenamed({"doc_id": by_id, "thash": by_hash})
+    deleted = maybe_broadcast(materialize(deleted, "deleted-lines"))
+    old = docs.withColumn("thash", F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    both = old.join(deleted, old["doc_id"].cast("long").eqNullSafe(deleted[by_id]) & (old["thash"] == deleted[by_hash]), "left")
+    both = both.withColumn(lines, F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    rest = F.array_join(F.transform(kept, lambda i: F.get(F.col(lines), i)), "\n")
     rest = F.when(rest.rlike(_WORD), rest).otherwise(F.lit(""))
-    n_lines = F.size("all_lines_of_text").cast("long")
-    both = both.withColumn("n_lines", n_lines).withColumn(
-        "n_removed", F.coalesce(F.size("gone"), F.lit(0)).cast("long"))
-    both = both.withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(rest))
-    return both.drop("gone_id", "gone_hash", "gone", "all_lines_of_text")
+    both = both.withColumn("n_lines", F.size(lines).cast("long")).withColumn(
+        "n_removed", F.coalesce(F.size(gone), F.lit(0)).cast("long"))
+    both = both.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(rest))
+    return both.drop(by_id, by_hash, gone, lines)
