@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,53 @@ def java_regex_groups(spark: SparkSession, regex: str) -> int:
         raise ValueError(f"invalid regex {regex!r}: {exc}") from None
 
 
+def first_group(regex: str) -> str | None:
+    """The pattern text inside capture group 1, or None without one."""
+    i, start, depth, in_class = 0, None, 0, 0
+    while i < len(regex):
+        c = regex[i]
+        if regex.startswith("\\Q", i):  # quoted up to \E
+            end = regex.find("\\E", i)
+            i = len(regex) if end < 0 else end + 2
+            continue
+        if c == "\\":
+            i += 2
+            continue
+        if c == "[":
+            in_class += 1
+        elif c == "]" and in_class:
+            in_class -= 1
+        elif c == "(" and not in_class:
+            named = re.match(r"\(\?<[A-Za-z][A-Za-z0-9]*>", regex[i:])
+            if start is None and (not regex.startswith("(?", i) or named):
+                start, depth = i + (named.end() if named else 1), 0
+            elif start is not None:
+                depth += 1
+        elif c == ")" and not in_class and start is not None:
+            if depth == 0:
+                return regex[start:i]
+            depth -= 1
+        i += 1
+    return None
+
+
+def group_may_be_empty(spark: SparkSession, regex: str) -> bool:
+    """Whether capture group 1 can match the empty string (asked of the JVM's
+    regex engine). A group with look-around or anchors counts as one that can."""
+    inner = first_group(regex)
+    if inner is None or re.search(r"\(\?[=!<]|\\[bBAGZz]|[\^$]|\\[1-9]", inner):
+        return True
+    try:
+        return bool(spark.sparkContext._jvm.java.util.regex.Pattern.matches(f"(?:{inner})", ""))
+    except Exception:  # no JVM handle, or the part does not stand alone
+        import regex as pyregex
+
+        try:
+            return pyregex.fullmatch(f"(?:{inner})", "") is not None
+        except pyregex.error:
+            return True
+
+
 def regex_is_valid(spark: SparkSession, regex: str) -> bool:
     try:
         java_regex_groups(spark, regex)

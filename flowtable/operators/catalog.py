@@ -41,8 +41,29 @@ def describe_object(df: DataFrame, name: str) -> DataFrame:
 
 
 def describe_objects(spark: SparkSession, objects: dict[str, DataFrame]) -> DataFrame:
-    """``describe_object`` of many objects."""
-    return reduce(DataFrame.unionByName, [describe_object(df, name) for name, df in objects.items()])
+    """``describe_object`` of many objects in one keyed aggregate over the union
+    of their scans: each row tells which of its fields (by number) have a
+    value, and partial sums go into one exchange. A zero row per object keeps
+    empty ones."""
+    width = max((len(df.columns) for df in objects.values()), default=0)
+
+    def flags(n_rows: int, columns: list[Column]) -> list[Column]:
+        padded = columns + [F.lit(0)] * (width - len(columns))
+        return [F.lit(n_rows).cast("long").alias("n_rows"), *[c.cast("long").alias(f"set{i}") for i, c in enumerate(padded)]]
+
+    parts = []
+    for name, df in objects.items():
+        has = [F.col(f"`{c}`").isNotNull().cast("int") for c in df.columns]
+        parts.append(df.select(F.lit(name).alias("object"), *flags(1, has)))
+    parts.append(spark.createDataFrame([(n,) for n in objects], "object string").select("object", *flags(0, [])))
+    sums = reduce(DataFrame.unionAll, parts).groupBy("object").agg(
+        F.sum("n_rows").alias("n_rows"), F.array(*[F.sum(f"set{i}") for i in range(width)]).alias("n_set"))
+    fields = F.create_map(*[x for name, df in objects.items() for x in (F.lit(name), F.array(*[
+        F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type")) for f in df.schema.fields]))])
+    each = sums.select("object", "n_rows", "n_set", F.posexplode(fields[F.col("object")]).alias("i", "f"))
+    n_null = F.col("n_rows") - F.get("n_set", F.col("i"))
+    return each.select("object", (F.col("i") + 1).alias("ordinal"), F.col("f.name").alias("name"),
+                       F.col("f.type").alias("type"), "n_rows", n_null.alias("n_null"), (n_null > 0).alias("nullable"))
 
 
 def object_summary(df: DataFrame, name: str) -> DataFrame:

@@ -10,18 +10,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtable.functions.text import java_regex_groups, text_lines
+from flowtable.functions.text import group_may_be_empty, java_regex_groups, let, text_lines
 from flowtable.session import spread
 
 
 def nth_match_value(text: Column, regex: str, occurrence: int, group_support: bool,
-                    has_group: bool = True) -> Column:
+                    has_group: bool = True, unset_is_empty: bool = False) -> Column:
     """Struct(cnt, value, hit) of the ``occurrence``-th regex match over the lines of ``text``.
 
     Matches are counted across lines (zero-length ones too). The line that holds
     match k gives the value: group 1 (or the whole line) of the *last* match on
     that line. k <= 0 never matches. Group mode on a pattern without a group 1
-    gives no value. The fold runs inside one row: no shuffle, whole texts.
+    gives no value, and so does a line on which group 1 takes no part in match k
+    or a later one. Spark's functions give such a group as the empty string:
+    with ``unset_is_empty`` (group 1 cannot match nothing) an empty value is an
+    unset group. The fold runs inside one row: no shuffle, whole texts.
     """
     lines = text_lines(text)
     k = F.lit(int(occurrence)).cast("long")
@@ -36,7 +39,12 @@ def nth_match_value(text: Column, regex: str, occurrence: int, group_support: bo
     def step(acc: Column, line: Column) -> Column:
         def advance(total: Column) -> Column:
             if group_support:
-                picked = F.element_at(F.regexp_extract_all(line, F.lit(regex), 1), -1)
+                groups = F.regexp_extract_all(line, F.lit(regex), 1)
+                picked = F.element_at(groups, -1)
+                if unset_is_empty:
+                    # Match k and those after it on this line: none of them unset.
+                    from_k = let(groups, lambda g: F.slice(g, (F.size(g) - (total - k)).cast("int"), F.size(g)))
+                    picked = F.when(~F.exists(from_k, lambda v: v == F.lit("")), picked)
             else:
                 picked = line
             reached = F.struct(total.alias("cnt"), picked.alias("value"), F.lit(True).alias("hit"))
@@ -65,10 +73,11 @@ def nth_match(df: DataFrame, key_cols: Sequence[str], text_col: str, regex: str,
     except ValueError:
         return df.select(*keys, F.lit(False).alias("found"), F.lit(None).cast("string").alias("value"),
                          F.lit("failure").alias("route"))
-    res = nth_match_value(F.col(text_col), regex, occurrence, group_support, groups >= 1)
+    unset_is_empty = group_support and groups >= 1 and not group_may_be_empty(spark, regex)
+    res = nth_match_value(F.col(text_col), regex, occurrence, group_support, groups >= 1, unset_is_empty)
     # The fold is projected once; fields are read from the projected struct.
     out = df.select(*keys, res.alias("_nth"))
-    return out.select(*key_cols, F.coalesce(F.col("_nth.hit"), F.lit(False)).alias("found"),
+    return out.select(*key_cols, F.coalesce(F.col("_nth.hit") & F.col("_nth.value").isNotNull(), F.lit(False)).alias("found"),
                       F.col("_nth.value").alias("value"),
                       F.lit("success").alias("route"))
 

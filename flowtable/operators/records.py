@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtable.session import fits_broadcast
+from flowtable.functions.pieces import PIECE_ROWS, ordered_pieces
+from flowtable.session import stored
 
 
 def _as_col(pred: Column | str) -> Column:
@@ -43,28 +44,43 @@ JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 
 
 def as_json_content(df: DataFrame, per: str = "row", key_cols: Sequence[str] = (),
-                    order_cols: Sequence[str] = (), content_col: str = "content",
-                    table_max_rows: int = 100_000) -> DataFrame:
+                    order_cols: Sequence[str] = (), content_col: str = "content", piece_rows: int | None = None) -> DataFrame:
     """Rows as JSON text content.
 
     * ``per='row'``: one JSON object per row (no shuffle).
     * ``per='group'``: one JSON array per key, elements sorted by ``order_cols``
-      (partial aggregation before the shuffle).
-    * ``per='table'``: one JSON array for the whole result; allowed only for a
-      result proven to have at most ``table_max_rows`` rows.
+      (partial aggregation before the shuffle). With ``piece_rows`` (a power of
+      two) a key's array comes in pieces of at most that many elements, with
+      column ``part``: the contents of a key's parts, joined in order, are the
+      array. So a key may hold any share of the rows.
+    * ``per='table'``: one JSON array for the whole result, always in such
+      pieces (of 4096 rows if ``piece_rows`` does not say otherwise).
     """
     if per == "row":
         return df.select(*key_cols, F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias(content_col))
     body_cols = [c for c in df.columns if c not in key_cols]
     ordered = list(order_cols) + [c for c in body_cols if c not in order_cols]
     elem = F.struct(*[F.col(c) for c in ordered])
-    as_array = F.to_json(F.array_sort(F.collect_list(elem)), JSON_OPTIONS)
-    if per == "group":
-        if not key_cols:
-            raise ValueError("per='group' needs key_cols")
-        return df.groupBy(*key_cols).agg(as_array.alias(content_col))
-    if per == "table":
-        if not fits_broadcast(df, table_max_rows):
-            raise ValueError(f"result has more than {table_max_rows} rows; write it as files instead")
-        return df.agg(as_array.alias(content_col))
-    raise ValueError("per must be 'row', 'group' or 'table'")
+    if per not in ("group", "table"):
+        raise ValueError("per must be 'row', 'group' or 'table'")
+    if per == "group" and not key_cols:
+        raise ValueError("per='group' needs key_cols")
+    if per == "group" and piece_rows is None:
+        return df.groupBy(*key_cols).agg(F.to_json(F.array_sort(F.collect_list(elem)), JSON_OPTIONS).alias(content_col))
+    keys = list(key_cols) if per == "group" else []
+    pieces = ordered_pieces(df, keys, list(order_cols), F.to_json(elem, JSON_OPTIONS), ",", piece_rows or PIECE_ROWS)
+    pieces = stored(pieces, "json-pieces")
+    if not keys and pieces.isEmpty():
+        return df.sparkSession.createDataFrame([(0, "[]")], f"part long, {content_col} string")
+    if keys:
+        ends = pieces.groupBy(*[F.col(k).alias(f"_e{i}") for i, k in enumerate(keys)]).agg(
+            F.min("piece").alias("_first"), F.max("piece").alias("_last"))
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & pieces[k].eqNullSafe(ends[f"_e{i}"])
+        both = pieces.join(ends, same)
+    else:
+        both = pieces.withColumn("_first", pieces.agg(F.min("piece")).scalar()).withColumn("_last", pieces.agg(F.max("piece")).scalar())
+    text = F.concat(F.when(F.col("piece") == F.col("_first"), "[").otherwise(""), F.col("text"),
+                    F.when(F.col("piece") == F.col("_last"), "]").otherwise(","))
+    return both.select(*keys, F.col("piece").alias("part"), text.alias(content_col))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from flowtable.session import fits_broadcast, reliable_checkpoint, small_side
+from flowtable.session import reliable_checkpoint, small_side, stored
 
 # Magic bytes (hex prefix) of the accepted formats, and the
 # message for anything else.
@@ -51,7 +51,10 @@ def purge_keys(df: DataFrame, tombstones_df: DataFrame, key_col: str, tomb_key:
 def purge_report(df: DataFrame, tombstones_df: DataFrame, key_col: str, tomb_key: str | None = None) -> DataFrame:
     """Per tombstone: ``success`` when the key existed in ``df``, else ``failure``."""
     tk = tomb_key or key_col
-    present = df.select(F.col(key_col).alias("_k")).distinct().withColumn("_hit", F.lit(True))
+    # Only keys that have a tombstone are made distinct, not all of the table's.
+    wanted = tombstones_df.select(F.col(tk).alias("_k"))
+    present = df.select(F.col(key_col).alias("_k")).join(small_side(wanted.distinct(), check=wanted), "_k", "left_semi") \
+        .distinct().withColumn("_hit", F.lit(True))
     joined = tombstones_df.join(present, F.col(tk) == F.col("_k"), "left")
     return joined.select(*[F.col(c) for c in tombstones_df.columns],
                          F.when(F.col("_hit"), "success").otherwise("failure").alias("route"))
@@ -135,53 +138,50 @@ def busy_nodes(groups_df: DataFrame, queues_df: DataFrame, threshold: int = 10,
                queued: str = "queued_count") -> DataFrame:
     """Queues holding more than ``threshold`` records at any depth of a group tree.
 
-    Output: path (names root→group joined by ``/``), depth (root = 0), queue, count.
-    Busy queues are found first; their ancestor chains are then resolved level
-    by level (one join per tree level, frontier broadcast when proven small),
-    so the work follows the busy queues rather than the whole tree.
+    Output: path (names from the root to the group joined by ``/``), depth
+    (root = 0), queue, count. Chains are resolved by pointer doubling: after i
+    rounds every group knows its 2^i-th ancestor and the names up to it, so a
+    tree of depth d takes log2(d) joins however many groups it has. A queue
+    below a missing parent has no path and is left out; one below a circle of
+    groups is an error, found after log2(number of groups) rounds.
     """
     busy = queues_df.where(F.col(queued) > F.lit(threshold)).select(
-        F.col(queue_group).alias("_g"), F.col(queue_name).alias("queue"), F.col(queued).alias("count"))
-    groups = groups_df.select(F.col(group_id).alias("_id"), F.col(parent_id).alias("_parent"),
-                              F.col(name).alias("_name"))
-    # frontier: (queue row, group whose name is prepended next). The frontier
-    # only shrinks, so one size check decides how every level joins.
-    active = busy.select("_g", "queue", "count", F.lit(None).cast("string").alias("path"),
-                         F.lit(-1).alias("depth"), F.col("_g").alias("_cur")).persist()
-    first = active
-    bcast = fits_broadcast(active)
-    finished: list[DataFrame] = []
-    levels: list[DataFrame] = []
-    limit = None  # a chain longer than the number of groups runs in a circle
-    level = -1
+        F.col(queue_group).alias("id"), F.col(queue_name).alias("queue"), F.col(queued).alias("count"))
+    groups = groups_df.select(F.col(group_id).alias("id"), F.col(parent_id).alias("up"), F.col(name).alias("path"))
+    heads, circling, _ = _pointers(groups.select("id", "up"))
+    if circling is not None and not busy.join(circling, "id", "left_semi").isEmpty():
+        raise ValueError("the group tree has a cycle")
+    paths = _paths(groups.join(heads, "id"))
+    return paths.join(busy, "id").select("path", (F.col("n") - 1).cast("int").alias("depth"), "queue", "count")
+
+
+def _pointers(pairs: DataFrame) -> tuple[DataFrame, DataFrame | None, int]:
+    """(ids whose chain of ``up`` ends at a root, ids that never end or None,
+    rounds): pointers alone, so that a circle is found before any path grows."""
+    state = stored(pairs, "pointers")
+    limit = max(1, state.count()).bit_length() + 1
+    rounds = 0
     while True:
-        level += 1
-        if level == 64:
-            limit = groups.count()
-        if limit is not None and level > limit:
-            for cached in levels + [first]:
-                cached.unpersist()
-            raise ValueError("the group tree has a cycle")
-        left = F.broadcast(active) if bcast else active
-        step = left.join(groups, F.col("_cur") == F.col("_id"), "inner").select(
-            "_g", "queue", "count",
-            F.when(F.col("path").isNull(), F.col("_name"))
-             .otherwise(F.concat_ws("/", F.col("_name"), F.col("path"))).alias("path"),
-            (F.col("depth") + 1).alias("depth"), F.col("_parent").alias("_cur"))
-        # each level is materialised once: the emptiness test and the next level reuse it
-        step = reliable_checkpoint(step) if level % 8 == 7 else step.persist()
-        levels.append(step)
-        finished.append(step.where(F.col("_cur").isNull()))
-        active = step.where(F.col("_cur").isNotNull())
-        # stop once every chain reached a root (one small action per level)
-        if active.isEmpty():
-            break
-    out = finished[0]
-    for part in finished[1:]:
-        out = out.unionByName(part)
-    # depth counts levels below the root; the result (one row per busy queue) is
-    # materialised in the shared folder so the cached levels can be released
-    result = reliable_checkpoint(out.select("path", "depth", "queue", "count"))
-    for cached in levels + [first]:
-        cached.unpersist()
-    return result
+        done, open_ = state.where("up is null"), state.where("up is not null")
+        if open_.isEmpty():
+            return done.select("id"), None, rounds
+        if rounds == limit:
+            return done.select("id"), open_.select("id").distinct(), rounds
+        rounds += 1
+        # The pointer of a pointer; where the parent is missing, the chain is lost.
+        ahead = state.select(F.col("id").alias("up"), F.col("up").alias("next"))
+        state = stored(open_.join(small_side(ahead, check=ahead), "up").select("id", F.col("next").alias("up")).unionAll(done), "pointers")
+
+
+def _paths(groups: DataFrame) -> DataFrame:
+    """(id, path, n) of groups whose chains end: names and their number, by the
+    same doubling."""
+    state = stored(groups.select("id", "up", "path", F.lit(1).cast("long").alias("n")), "paths")
+    while True:
+        open_ = state.where("up is not null")
+        if open_.isEmpty():
+            return state.select("id", "path", "n")
+        ahead = state.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("path").alias("head"), F.col("n").alias("more"))
+        longer = open_.join(small_side(ahead, check=ahead), "up").select(
+            "id", F.col("next").alias("up"), F.concat_ws("/", "head", "path").alias("path"), (F.col("n") + F.col("more")).alias("n"))
+        state = stored(longer.unionAll(state.where("up is null").select("id", "up", "path", "n")), "paths")

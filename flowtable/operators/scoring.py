@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowtable.functions.pieces import ordered_pieces
 from flowtable.functions.text import word_count
 from flowtable.session import small_side, spread
 
@@ -56,19 +57,26 @@ def top_k_annotations(df: DataFrame, key_cols: Sequence[str], feature_col: str,
 
     ``row_number() <= k`` gets a partial group limit before the shuffle, so a
     hot key ships at most ``k`` rows per task. With ``keys_df``, keys without
-    any annotation come out once with route ``no detections``.
+    any annotation come out once with route ``no detections``: the keys travel
+    as marked rows through the same window, and a mark stays where its key has
+    nothing else.
     """
     src = df if features is None else df.where(F.col(feature_col).isin(list(features)))
-    w = Window.partitionBy(*key_cols, feature_col).orderBy(F.col(score_col).desc(), *[F.col(c) for c in tie_cols])
-    top = src.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
-             .withColumn("route", F.lit("success"))
+    src = src.withColumn("_mark", F.lit(False))
+    if keys_df is not None:
+        marks = [F.col(f.name) if f.name in key_cols else F.lit(f.name == "_mark").alias(f.name) if f.name == "_mark"
+                 else F.lit(None).cast(f.dataType).alias(f.name) for f in src.schema.fields]
+        src = src.unionAll(keys_df.select(*marks))
+    w = Window.partitionBy(*key_cols, feature_col, "_mark").orderBy(F.col(score_col).desc(), *[F.col(c) for c in tie_cols])
+    top = src.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     if keys_df is None:
-        return top
-    missing = keys_df.select(*key_cols).distinct().join(src.select(*key_cols).distinct(), list(key_cols), "left_anti")
-    filler = missing.select(*key_cols, *[F.lit(None).cast(top.schema[c].dataType).alias(c)
-                                         for c in top.columns if c not in key_cols and c != "route"],
-                            F.lit(NO_DETECTIONS).alias("route"))
-    return top.unionByName(filler)
+        return top.drop("_mark").withColumn("route", F.lit("success"))
+    # At most k rows a feature and k marks a key are left.
+    top = top.where(~F.col("_mark") | (F.col("rank") == 1))
+    found = F.max(~F.col("_mark")).over(Window.partitionBy(*key_cols))
+    top = top.withColumn("_found", found).where(~F.col("_mark") | ~F.col("_found"))
+    return top.withColumn("rank", F.when(~F.col("_mark"), F.col("rank"))) \
+        .withColumn("route", F.when(F.col("_mark"), F.lit(NO_DETECTIONS)).otherwise(F.lit("success"))).drop("_mark", "_found")
 
 
 def words(text: Column) -> Column:
@@ -157,13 +165,17 @@ def assemble_transcript(df: DataFrame, key_col: str, order_col: str, text_col: s
     first joined within buckets of ``bucket_size`` consecutive order values
     (so no group collects more than a bucket of turns), then the per-key merge
     concatenates the bucket strings in order. Both levels combine map-side
-    before their shuffle. Other order types use one level.
+    before their shuffle. Any other order type is sorted globally instead
+    (``ordered_pieces``), which needs no bounds on the order values.
     """
     order, text = F.col(order_col), F.col(text_col)
     integral = df.schema[order_col].dataType.typeName() in ("long", "integer", "short", "byte")
     if not bucket_size or not integral:
-        return df.groupBy(key_col).agg(_ordered_join(order, text).alias(out_col),
-                                       F.count(F.lit(1)).alias("n_parts"))
+        turn = F.concat(F.coalesce(text, F.lit("")), F.lit(" "))
+        pieces = ordered_pieces(df, [key_col], [order_col], turn)
+        whole = F.array_sort(F.collect_list(F.struct("piece", "text")))
+        return pieces.groupBy(key_col).agg(F.array_join(F.transform(whole, lambda p: p["text"]), "").alias(out_col),
+                                           F.sum("n").alias("n_parts"))
     buckets = df.groupBy(key_col, F.floor(order / F.lit(int(bucket_size))).alias("_b")).agg(
         _ordered_join(order, text).alias("_part"), F.count(F.lit(1)).alias("_n"))
     merged = F.array_sort(F.collect_list(F.struct(F.col("_b").alias("b"), F.col("_part").alias("p"))))

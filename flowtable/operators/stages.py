@@ -20,38 +20,32 @@ def _schema(keep: Sequence[T.StructField], out_schema: T.StructType) -> T.Struct
     return T.StructType(list(keep) + list(out_schema.fields) + ROUTE_FIELDS)
 
 
-def _run_rows(fn, pdf: pd.DataFrame, out_names: list[str]) -> pd.DataFrame:
-    """Row by row after a batch failed: isolate the failing rows."""
-    outs, codes, routes, errors = [], [], [], []
-    for i in range(len(pdf)):
-        row = pdf.iloc[i:i + 1]
-        try:
-            res = fn(row)
-            if len(res) != 1:
-                raise ValueError(f"stage returned {len(res)} rows for 1")
-            outs.append(res[out_names].iloc[0].tolist())
-            codes.append(0)
-            routes.append("success")
-            errors.append(None)
-        except Exception as exc:  # a bad row becomes a failure row
-            outs.append([None] * len(out_names))
-            codes.append(1)
-            routes.append("failure")
-            errors.append(f"{type(exc).__name__}: {exc}"[:500])
-    res = pd.DataFrame(outs, columns=out_names, index=pdf.index)
-    return res.assign(exit_code=codes, route=routes, error=errors)
-
-
-def _apply(fn, pdf: pd.DataFrame, keep: list[str], out_names: list[str], no_result) -> pd.DataFrame:
+def _run(fn, pdf: pd.DataFrame, out_names: list[str], no_result: bool) -> list[pd.DataFrame]:
+    """``fn`` over the batch; if it fails, over its two halves, down to the
+    rows that fail alone. A few bad rows cost a few more calls, not one a row."""
+    if not len(pdf):
+        return []
     try:
         res = fn(pdf)
         if len(res) != len(pdf):
             raise ValueError(f"stage returned {len(res)} rows for {len(pdf)}")
         res = res[out_names].set_axis(pdf.index)
         empty = res.isna().all(axis=1) if no_result else pd.Series(False, index=pdf.index)
-        res = res.assign(exit_code=0, route=["no results" if e else "success" for e in empty], error=None)
-    except Exception:
-        res = _run_rows(fn, pdf, out_names)
+        return [res.assign(exit_code=0, route=["no results" if e else "success" for e in empty], error=None)]
+    except Exception as exc:  # a bad row becomes a failure row, its message whole
+        if len(pdf) == 1:
+            row = pd.DataFrame([[None] * len(out_names)], columns=out_names, index=pdf.index, dtype=object)
+            return [row.assign(exit_code=1, route="failure", error=f"{type(exc).__name__}: {exc}")]
+        half = len(pdf) // 2
+        return _run(fn, pdf.iloc[:half], out_names, no_result) + _run(fn, pdf.iloc[half:], out_names, no_result)
+
+
+def _apply(fn, pdf: pd.DataFrame, keep: list[str], out_names: list[str], no_result: bool) -> pd.DataFrame:
+    parts = _run(fn, pdf, out_names, no_result)
+    if not parts:
+        return pd.DataFrame(columns=[*keep, *out_names, *(f.name for f in ROUTE_FIELDS)])
+    # Object columns of failed rows must not change the type of the others.
+    res = pd.concat([p.astype(object) for p in parts]) if len(parts) > 1 else parts[0]
     return pd.concat([pdf[keep].reset_index(drop=True), res.reset_index(drop=True)], axis=1)
 
 
@@ -60,8 +54,8 @@ def python_stage(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], out_
     """Run ``fn(batch) -> batch`` (row-aligned) over Arrow batches.
 
     Output: ``keep`` columns, ``out_schema`` columns, exit_code, route, error.
-    A batch that raises is re-run row by row; failing rows get exit code 1
-    and route ``failure``.
+    A batch that raises is halved until the failing rows stand alone; they get
+    exit code 1, route ``failure`` and the whole error text.
     """
     out_schema = T._parse_datatype_string(out_schema) if isinstance(out_schema, str) else out_schema
     keep = list(keep)

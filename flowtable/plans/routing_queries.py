@@ -37,8 +37,13 @@ _MAGIC_SQL = """CASE
   WHEN starts_with(h, '25504446') THEN 'application/pdf' END"""
 
 
+# Contents with each accepted magic prefix, one that ends too early, and plain text.
+_HEADS = ["49492A00", "4D4D002A", "FFD8FF", "47494638", "89504E470D0A1A0A", "424D", "25504446", "89504E47", ""]
+_HEAD_SQL = "CASE doc_id % 9 " + " ".join(f"WHEN {i} THEN '{h}'" for i, h in enumerate(_HEADS)) + " END"
+
+
 @query("detect_format", oracle=f"""
-WITH x AS (SELECT doc_id, upper(hex(encode(left(text, 8)))) AS h FROM documents),
+WITH x AS (SELECT doc_id, left({_HEAD_SQL} || upper(hex(encode(left(text, 8)))), 16) AS h FROM documents),
 m AS (SELECT doc_id, {_MAGIC_SQL} AS mime FROM x)
 SELECT doc_id, mime, CASE WHEN mime IS NULL THEN 'failure' ELSE 'success' END AS route,
        CASE WHEN mime IS NULL THEN 'unsupported image format' END AS reason
@@ -46,7 +51,11 @@ FROM m
 """)
 def q_detect_format(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    return detect_format(docs, "text").select("doc_id", "mime", "route", "reason")
+    head = F.lit("")
+    for i, h in enumerate(_HEADS):
+        head = F.when(F.col("doc_id") % 9 == i, F.lit(h)).otherwise(head)
+    content = F.concat(F.unhex(head), F.encode("text", "UTF-8"))
+    return detect_format(docs.select("doc_id", content.alias("content")), "content").select("doc_id", "mime", "route", "reason")
 
 
 @query("purge_keys", oracle="""

@@ -29,17 +29,21 @@ WITH a AS (
   SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, unnest(embedding) AS score
   FROM embeddings
 ), f AS (SELECT *, CASE WHEN pos < 32 THEN 'low' ELSE 'high' END AS feature FROM a),
-r AS (SELECT *, row_number() OVER (PARTITION BY vec_id, feature ORDER BY score DESC, pos) AS rank FROM f)
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id, feature ORDER BY score DESC, pos) AS rank FROM f
+      WHERE CAST(score AS DOUBLE) > 0.25)
 SELECT vec_id, feature, pos, CAST(score AS DOUBLE) AS score, CAST(rank AS INTEGER) AS rank, 'success' AS route
 FROM r WHERE rank <= 10
+UNION ALL
+SELECT vec_id, NULL, NULL, NULL, NULL, 'no detections' FROM embeddings WHERE vec_id NOT IN (SELECT vec_id FROM r)
 """)
 def q_top_k_annotations(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     ann = emb.select("vec_id", F.posexplode("embedding").alias("pos", "score")).select(
         "vec_id", "pos", F.col("score").cast("double").alias("score"),
         F.when(F.col("pos") < 32, "low").otherwise("high").alias("feature"))
+    ann = ann.where(F.col("score") > 0.25)  # weaker entries are no detections
     top = top_k_annotations(ann, ["vec_id"], "feature", "score", features=["low", "high"], k=10,
-                            tie_cols=["pos"], keys_df=emb)
+                            tie_cols=["pos"], keys_df=emb.select("vec_id"))
     return top.select("vec_id", "feature", "pos", "score", F.col("rank").cast("int").alias("rank"), "route")
 
 
@@ -88,6 +92,33 @@ def q_assemble_transcript(spark, sf_dir):
     return assemble_transcript(conv, "conv_id", "turn", "text")
 
 
+# Turns ordered by a text (role, then number): no bounds on the order values.
+@query("assemble_transcript_by_text", oracle="""
+WITH c AS (SELECT conv_id, role || '-' || lpad(CAST(turn AS VARCHAR), 8, '0') AS place, text FROM conversations)
+SELECT conv_id, string_agg(coalesce(text, '') || ' ', '' ORDER BY place) AS transcript, count(*) AS n_parts
+FROM c GROUP BY conv_id
+""")
+def q_assemble_transcript_by_text(spark, sf_dir):
+    conv = load(spark, sf_dir, "conversations")
+    place = F.concat("role", F.lit("-"), F.lpad(F.col("turn").cast("string"), 8, "0"))
+    return assemble_transcript(conv.select("conv_id", place.alias("place"), "text"), "conv_id", "place", "text")
+
+
+# Confidence of a recognised turn: here the share of its bytes that are letters.
+@query("utterances_confidence", oracle="""
+SELECT conv_id, turn, text AS transcript, coalesce(strlen(text), 0) AS n_bytes,
+       coalesce(len(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')), 0) AS n_words,
+       CASE WHEN coalesce(regexp_matches(text, '[^ \t\n\x0B\f\r]'), false) THEN 'success' ELSE 'no results' END AS route,
+       CASE WHEN strlen(text) > 0 THEN CAST(len(regexp_extract_all(text, '[a-z]')) AS DOUBLE) / strlen(text) END AS confidence
+FROM conversations
+""")
+def q_utterances_confidence(spark, sf_dir):
+    letters = F.regexp_count("text", F.lit("[a-z]")).cast("double")
+    share = F.when(F.octet_length("text") > 0, letters / F.octet_length("text"))
+    conv = load(spark, sf_dir, "conversations").withColumn("share", share)
+    return utterances(conv, "conv_id", "turn", "text", confidence_col="share")
+
+
 GATE_AS_OF = 1705708800000  # 2024-01-20 00:00:00 UTC
 GATE_DELAY = 5 * 24 * 3600 * 1000
 

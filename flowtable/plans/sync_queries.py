@@ -102,3 +102,16 @@ def q_content_sink_grouped(spark, sf_dir):
     events = load(spark, sf_dir, "events").select(
         "event_type", F.floor(F.col("event_id") / CHUNK).alias("chunk"), "event_id", "value")
     return as_json_content(events, per="group", key_cols=["event_type", "chunk"], order_cols=["event_id"])
+
+
+# All events as one JSON array in pieces, read back element by element.
+@query("content_sink_table", oracle="""
+SELECT event_id, '{"event_id":' || event_id || ',"value":' || CAST(value AS VARCHAR) || '}' AS element FROM events
+""")
+def q_content_sink_table(spark, sf_dir):
+    events = load(spark, sf_dir, "events").select("event_id", "value")
+    parts = as_json_content(events, per="table", order_cols=["event_id"])
+    # brackets and the commas at the seams go: each piece is an array again
+    inner = F.concat(F.lit("["), F.regexp_replace("content", r"^\[|[\],]$", ""), F.lit("]"))
+    elements = parts.select(F.explode(F.from_json(inner, "array<struct<event_id:bigint,value:double>>")).alias("e"))
+    return elements.select("e.event_id", F.to_json("e").alias("element"))

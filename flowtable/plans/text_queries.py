@@ -35,6 +35,34 @@ def q_nth_match(spark, sf_dir):
     return nth_match(docs, ["doc_id"], "text", NTH_REGEX, NTH_K, group_support=True)
 
 
+# A group that may take no part in a match: then there is no value.
+OPTIONAL_REGEX = "(s)?t"
+
+
+@query("nth_match_optional", oracle=f"""
+WITH lines AS (
+  SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS ord
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)
+), counted AS (
+  SELECT doc_id, ord, line, len(regexp_extract_all(line, '{OPTIONAL_REGEX}', 0)) AS n FROM lines
+), running AS (
+  SELECT doc_id, ord, line, n,
+         sum(n) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+  FROM counted
+), hit AS (
+  SELECT doc_id, regexp_extract_all(line, '{OPTIONAL_REGEX}', 1)[CAST({NTH_K} - (cum - n) AS BIGINT):] AS vals
+  FROM running WHERE cum >= {NTH_K} AND cum - n < {NTH_K}
+), ok AS (
+  SELECT doc_id, vals[-1] AS value FROM hit WHERE len(list_filter(vals, lambda v: coalesce(v, '') = '')) = 0
+)
+SELECT d.doc_id, ok.doc_id IS NOT NULL AS found, ok.value AS value, 'success' AS route
+FROM documents d LEFT JOIN ok ON d.doc_id = ok.doc_id
+""")
+def q_nth_match_optional(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    return nth_match(docs, ["doc_id"], "text", OPTIONAL_REGEX, NTH_K, group_support=True)
+
+
 # Definition tree: sentences (cropped: children see the last one), then words in it.
 DETECTORS = [
     {"name": "sentence", "pattern": "[A-Z][^.!?]*[.!?]", "crop": "true",

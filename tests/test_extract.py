@@ -5,6 +5,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from flowtable.functions.text import first_group
 from flowtable.operators.extract import extract_to, nested_detect, nth_match
 
 
@@ -111,3 +112,20 @@ def test_extract_to_attribute_and_content(spark):
     assert a == {1: ("555-1234", "success"), 2: (None, "failure")}
     c = {r.id: (r.text, r.route) for r in extract_to(df, "text", "[0-9]{3}-[0-9]{4}", destination="content").collect()}
     assert c == {1: ("555-1234", "success"), 2: ("no number", "failure")}
+
+
+def test_unmatched_group_gives_no_value(spark):
+    def run(text, regex, k):
+        row = nth_match(spark.createDataFrame([(1, text)], "id int, t string"), ["id"], "t", regex, k).first()
+        return row.found, row.value
+
+    assert run("ab\nxb", "(a)?b", 1) == (True, "a") and run("ab\nxb", "(a)?b", 2) == (False, None)
+    assert run("ab b ab", "(a)?b", 1) == (False, None)  # a later match on the line has no group
+    assert run("b ab", "(a)?b", 2) == (True, "a") and run("b ab", "(a)?b", 1) == (False, None)
+    assert run("xb", "(a*)b", 1) == (True, "")  # a group that matched nothing is a value
+    assert run("c", "(a)|c", 1) == (False, None) and run("b", "(?<n>a)?b", 1) == (False, None)
+
+
+def test_first_group():
+    assert [first_group(r) for r in (r"a(b(c)d)e", r"\((x)", r"[(](?:y)(z)", r"(?i)abc", r"\Q(q\E(r)", r"(?<n>s)")] == \
+        ["b(c)d", "x", "z", None, "r", "s"]

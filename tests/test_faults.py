@@ -104,6 +104,63 @@ def test_busy_nodes_deep_tree_and_cycle(spark):
                    spark.createDataFrame([(1, "q", 50)], queues.schema))
 
 
+def test_pointer_doubling_rounds(spark):
+    from flowtable.operators.routing import _pointers
+
+    chain = spark.range(90).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("up"))
+    ends, circling, rounds = _pointers(chain)
+    assert ends.count() == 90 and circling is None and rounds <= 8
+    ring = spark.range(10_000).select("id", ((F.col("id") + 1) % 10_000).alias("up"))
+    ends, circling, rounds = _pointers(ring.unionAll(spark.createDataFrame([(-1, None), (-2, -1), (-3, 77), (-4, -9)], ring.schema)))
+    assert rounds <= 15 and circling.count() == 10_001 and sorted(r.id for r in ends.collect()) == [-2, -1]
+
+
+def test_busy_nodes_beside_a_cycle(spark):
+    groups = spark.createDataFrame([(1, None, "a"), (2, 1, "b"), (3, 4, "c"), (4, 3, "d"), (5, 99, "e")],
+                                   "group_id long, parent_id long, name string")
+    queues = "group_id long, queue_name string, queued_count long"
+    found = busy_nodes(groups, spark.createDataFrame([(2, "q", 11), (2, "r", 10), (5, "s", 50), (3, "t", 1)], queues))
+    assert [tuple(r) for r in found.collect()] == [("a/b", 1, "q", 11)]  # below a missing parent: no path
+
+
+def test_json_array_in_pieces(spark):
+    import json
+
+    df = spark.range(5000).select((F.col("id") % 3 == 0).alias("hot"), "id").repartition(7)
+    parts = as_json_content(df, per="group", key_cols=["hot"], order_cols=["id"], piece_rows=64)
+    for hot in (True, False):
+        rows = parts.where(F.col("hot") == hot).orderBy("part").collect()
+        assert len(rows) > 20 and max(r.content.count("{") for r in rows) <= 64
+        assert [e["id"] for e in json.loads("".join(r.content for r in rows))] == [i for i in range(5000) if (i % 3 == 0) == hot]
+    whole = as_json_content(df, per="table", order_cols=["id"], piece_rows=256).orderBy("part").collect()
+    assert [e["id"] for e in json.loads("".join(r.content for r in whole))] == list(range(5000))
+    assert [r.content for r in as_json_content(df.limit(0), per="table").collect()] == ["[]"]
+
+
+def test_transcript_of_a_long_key_with_text_order(spark):
+    from flowtable.operators.scoring import assemble_transcript
+
+    df = spark.range(200_000).select(F.when(F.col("id") % 20 < 19, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                     F.lpad(F.col("id").cast("string"), 9, "0").alias("o"), F.col("id").cast("string").alias("t")).repartition(9)
+    row = assemble_transcript(df, "k", "o", "t").where("k = 'hot'").first()
+    assert row.n_parts == 190_000 and row.transcript == "".join(f"{i} " for i in range(200_000) if i % 20 < 19)
+
+
+def test_stage_failures_are_found_by_halving(spark):
+    import pandas as pd
+
+    from flowtable.operators.stages import python_stage
+
+    def fn(pdf):
+        if (pdf["id"] % 100 == 7).any():
+            raise ValueError("z" * 2000)
+        return pd.DataFrame({"twice": pdf["id"] * 2})
+
+    out = python_stage(spark.range(1000), fn, "twice long", keep=["id"]).collect()
+    assert {r.id: (r.twice, r.exit_code) for r in out} == {i: (None, 1) if i % 100 == 7 else (2 * i, 0) for i in range(1000)}
+    assert {len(r.error) for r in out if r.error} == {len("ValueError: ") + 2000}
+
+
 def test_rasters_of_odd_sizes(spark):
     df = spark.createDataFrame([(1, []), (2, [1, 2, 3]), (3, list(range(10)))], "id int, p array<int>") \
         .withColumn("img", to_raster(F.col("p"), 8))

@@ -115,3 +115,23 @@ def test_poll_stream_bounds_records_per_trigger(spark):
         q.stop()
     assert sizes == [10, 10, 5]
     assert sorted(r.id for r in spark.read.parquet(f"{base}/sink").collect()) == list(range(25))
+
+
+def test_delay_stream_with_many_waiting_records(spark):
+    """A million records wait; the next triggers read only what is due."""
+    from pyspark.sql import functions as F
+
+    base = scratch_path(spark, "t-delay-many")
+    schema = "id long, ts timestamp_ntz"
+    day = "timestamp_ntz '2024-01-01 00:00:00'"
+    early = spark.range(0, 1_000_000, numPartitions=8).selectExpr("id", f"{day} + make_dt_interval(0, 0, 0, id % 4000) as ts")
+    early.write.json(f"{base}/topic")
+    stream = lambda: topic_drain(spark, f"{base}/topic", schema, max_files_per_trigger=100)
+    run = lambda: drain_available(delay_stream(stream(), delay_ms=4_000_000, event_time_col="ts", shards=8),
+                                  f"{base}/sink", f"{base}/ckpt")
+    assert run().groupBy("route").count().collect()[0][1] == 1_000_000
+    publish(spark.sql(f"select 1000000L as id, {day} + make_dt_interval(0, 0, 0, 6000) as ts").coalesce(1), f"{base}/topic")
+    ready = run().where("route = 'ready'")
+    # due: stamps more than 4,000 s before the watermark of 6,000 s
+    assert ready.count() == 500_000 and ready.agg(F.max(F.col("id") % 4000)).first()[0] == 1999
+    assert ready.select("id").distinct().count() == 500_000
