@@ -148,7 +148,35 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@_query()
+@_query(r"""
+WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+w AS (
+  SELECT doc_id, i, ls[i] AS line, len(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+p AS (
+  SELECT doc_id, i, line, words, row_number() OVER o AS pos, sum(words) OVER o AS through FROM w WHERE words > 0
+  WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r AS (
+  SELECT a.doc_id, a.pos AS s, min(b.pos) AS e FROM p a JOIN p b
+    ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.through - a.through + a.words >= 50 GROUP BY a.doc_id, a.pos
+  UNION
+  SELECT a.doc_id, max(b.pos), a.pos FROM p a JOIN p b
+    ON a.doc_id = b.doc_id AND b.pos <= a.pos AND a.through - b.through + b.words >= 50 GROUP BY a.doc_id, a.pos),
+k AS (
+  SELECT r.doc_id, s, e, string_agg(line, chr(10) ORDER BY pos) AS run
+  FROM r JOIN p ON r.doc_id = p.doc_id AND p.pos BETWEEN s AND e GROUP BY r.doc_id, s, e),
+f AS (SELECT run, min({'d': doc_id, 's': s}) AS place FROM k GROUP BY run),
+g AS (
+  SELECT DISTINCT p.doc_id, p.i FROM k JOIN f ON k.run = f.run JOIN p ON p.doc_id = k.doc_id AND p.pos BETWEEN s AND e
+  WHERE place.d <> k.doc_id OR place.s + (e - s + 1) <= s),
+x AS (
+  SELECT d.doc_id, d.text, len(ls) AS n_lines, coalesce(len(h.gone), 0) AS n_removed,
+         array_to_string([ls[i] for i in range(1, len(ls) + 1) if NOT list_contains(coalesce(h.gone, []), i)], chr(10)) AS rest
+  FROM d LEFT JOIN (SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id) h ON d.doc_id = h.doc_id)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, n_removed,
+       CASE WHEN n_removed = 0 THEN text WHEN regexp_matches(rest, '[^\x20\x09-\x0D]') THEN rest ELSE '' END AS text
+FROM x
+""")
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
