@@ -142,6 +142,29 @@ def typed_schema(fields: Sequence[tuple[str, str]]) -> T.StructType:
                          for n, t in fields])
 
 
+def typed_extract(df: DataFrame, content_col: str, fields: Sequence[tuple[str, str]], keep: Sequence[str] = ()) -> DataFrame:
+    """JSON rows as typed columns: ``keep``, one column per described field
+    (``typed_schema``), ``route`` and ``bad_record``.
+
+    A text that is no JSON object, a value that does not fit its field's type
+    and a row without its id route ``failure`` with the whole text as
+    ``bad_record``; every other field of such a row is null. Fields that the
+    text does not mention are null; fields that are not described are left out.
+    """
+    bad = "_bad_record"
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in typed_schema(fields).fields], T.StructField(bad, T.StringType())])
+    row = F.from_json(F.col(content_col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    out = df.select(*[F.col(c) for c in keep], F.col(content_col).alias("_content"), row.alias("_row"))
+    ids = [F.col("_row").getField(n).isNotNull() for n, t in fields if t.lower() == "id"]
+    ok = F.col("_row").isNotNull() & F.col("_row").getField(bad).isNull()
+    for present in ids:
+        ok = ok & present
+    ok = F.coalesce(ok, F.lit(False))
+    return out.select(*keep, *[F.when(ok, F.col("_row").getField(n)).alias(n) for n, _ in fields],
+                      F.when(ok, F.lit("success")).otherwise(F.lit("failure")).alias("route"),
+                      F.when(~ok, F.col("_content")).alias("bad_record"))
+
+
 def build_extract_url(describes_df: DataFrame, base: str, table: str | Column, last_sync: str,
                       name_col: str = "sobject_name", fields_col: str = "fields_json",
                       encode_query: bool = False) -> DataFrame:

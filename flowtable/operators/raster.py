@@ -3,7 +3,7 @@ nearest-neighbour zoom and rectangle outlines, all as array lambdas."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,46 @@ def raster_text(img: Column) -> Column:
     return F.array_join(F.transform(img, lambda r: F.array_join(r, " ")), ";")
 
 
+# The planes of an image of 1, 3 or 4 channels in the order of its bytes.
+PLANES = {1: ("gray",), 3: ("blue", "green", "red"), 4: ("blue", "green", "red", "alpha")}
+
+
+def image_plane(image: Column, plane: str) -> Column:
+    """One plane (``gray``, ``blue``, ``green``, ``red`` or ``alpha``) of a struct
+    of Spark's ``image`` source as a raster; null where the image has no such
+    plane. Bytes are read by array expressions. A gray image has its one plane
+    under every colour's name."""
+    n, width, height = image["nChannels"], image["width"], image["height"]
+    at = F.lit(None).cast("int")
+    for channels, names in PLANES.items():
+        if plane in names:
+            at = F.when(n == channels, F.lit(names.index(plane))).otherwise(at)
+    if plane in ("blue", "green", "red"):
+        at = F.when(n == 1, F.lit(0)).otherwise(at)
+    # Two hexadecimal digits a byte, read by their place in the digits' row.
+    digits = F.hex(image["data"])
+
+    def value(byte: Column) -> Column:
+        digit = lambda i: F.instr(F.lit("123456789ABCDEF"), F.substring(digits, (byte * 2 + i).cast("int"), F.lit(1)))
+        return digit(1) * 16 + digit(2)
+
+    rows = F.transform(F.sequence(F.lit(0), height - 1), lambda r: F.transform(
+        F.sequence(F.lit(0), width - 1), lambda c: value((r * width + c) * n + at)))
+    return F.when(at.isNotNull() & (height > 0) & (width > 0), rows)
+
+
+def read_images(spark: SparkSession, path: str, plane: str = "gray", out_col: str = "img") -> DataFrame:
+    """Image files below ``path`` as rasters: ``origin``, ``height``, ``width``,
+    ``channels``, ``out_col`` and ``route``. Decoding is the ``image`` source's;
+    a file that is no image, or has no such plane, routes ``failure``."""
+    found = spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").load(path)
+    image = F.col("image")
+    img = F.when(image["nChannels"] > 0, image_plane(image, plane))
+    out = found.select(image["origin"].alias("origin"), image["height"].alias("height"), image["width"].alias("width"),
+                       image["nChannels"].alias("channels"), img.alias(out_col))
+    return out.withColumn("route", F.when(F.col(out_col).isNotNull(), F.lit("success")).otherwise(F.lit("failure")))
+
+
 def raster_height(img: Column) -> Column:
     return F.size(img)
 

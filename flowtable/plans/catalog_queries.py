@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtable.operators.catalog import (build_extract_url, describe_objects, list_objects, object_summary,
-                                         quota_usage, typed_ddl)
+                                         quota_usage, typed_ddl, typed_extract)
 from flowtable.plans.registry import query
 from flowtable.sources.tables import TABLES, load, load_many
 
@@ -135,3 +135,33 @@ def q_quota_usage(spark, sf_dir):
     events = load(spark, sf_dir, "events")
     limits = spark.createDataFrame(EVENT_LIMITS, "scope string, max bigint")
     return quota_usage(events, "event_type", limits)
+
+
+# Events as extracted JSON rows: some cut short, some with a text for a number, some without their id.
+_EVENT_FIELDS = [("event_id", "id"), ("event_type", "string"), ("value", "double"), ("tags", "picklist")]
+_JSON_SQL = """'{"event_id":' || event_id || ',"event_type":"' || event_type || '","value":' || CAST(value AS VARCHAR)
+  || ',"tags":["a","' || user_id || '"],"more":1}'"""
+
+
+@query("typed_extract", oracle=f"""
+WITH e AS (SELECT *, {_JSON_SQL} AS j FROM events),
+b AS (SELECT *, CASE event_id % 10 WHEN 3 THEN left(j, length(j) - 5) WHEN 7 THEN replace(j, '"value":', '"value":"x')
+  WHEN 8 THEN replace(j, '"event_id":' || event_id || ',', '') ELSE j END AS c FROM e)
+SELECT event_id AS key, CASE WHEN event_id % 10 NOT IN (3, 7, 8) THEN CAST(event_id AS VARCHAR) END AS event_id,
+       CASE WHEN event_id % 10 NOT IN (3, 7, 8) THEN event_type END AS event_type,
+       CASE WHEN event_id % 10 NOT IN (3, 7, 8) THEN value END AS value,
+       CASE WHEN event_id % 10 NOT IN (3, 7, 8) THEN 'a ' || user_id END AS tags,
+       CASE WHEN event_id % 10 IN (3, 7, 8) THEN 'failure' ELSE 'success' END AS route,
+       CASE WHEN event_id % 10 IN (3, 7, 8) THEN c END AS bad_record
+FROM b
+""")
+def q_typed_extract(spark, sf_dir):
+    events = load(spark, sf_dir, "events")
+    tags = F.array(F.lit("a"), F.col("user_id").cast("string"))
+    json = F.to_json(F.struct("event_id", "event_type", "value", tags.alias("tags"), F.lit(1).alias("more")))
+    last = F.col("event_id") % 10
+    cut = F.when(last == 3, F.expr("left(j, length(j) - 5)")).when(last == 7, F.replace("j", F.lit('"value":'), F.lit('"value":"x'))) \
+        .when(last == 8, F.replace("j", F.concat(F.lit('"event_id":'), F.col("event_id").cast("string"), F.lit(",")), F.lit(""))) \
+        .otherwise(F.col("j"))
+    content = events.withColumn("j", json).select(F.col("event_id").alias("key"), cut.alias("content"))
+    return typed_extract(content, "content", _EVENT_FIELDS, keep=["key"]).withColumn("tags", F.array_join("tags", " "))

@@ -135,3 +135,14 @@ def test_delay_stream_with_many_waiting_records(spark):
     # due: stamps more than 4,000 s before the watermark of 6,000 s
     assert ready.count() == 500_000 and ready.agg(F.max(F.col("id") % 4000)).first()[0] == 1999
     assert ready.select("id").distinct().count() == 500_000
+
+
+def test_listing_stream_starts_again_for_another_source(spark):
+    base = scratch_path(spark, "t-listing-source")
+    rows = [(f"/d/{n}", n, "/d", 1, t, "u", "g", 1, 0o644, False) for n, t in [("a", 10), ("b", 20)]]
+    spark.createDataFrame(rows, FILES_SCHEMA).write.parquet(f"{base}/snap")
+    for at_ms, source in ((100, "/d *"), (200, "/d *"), (300, "/d *.csv"), (400, "/d *.csv")):
+        announce(spark, f"{base}/manifests", f"{base}/snap", at_ms, source)
+        listing_stream(spark, f"{base}/manifests", f"{base}/state", f"{base}/out", f"{base}/ckpt").awaitTermination()
+    got = sorted((r.as_of_ms, r.name) for r in emitted_so_far(spark, f"{base}/out").collect())
+    assert got == [(100, "a"), (200, "b"), (300, "a"), (400, "b")]
