@@ -327,6 +327,51 @@ def test_pii_spans(spark, field):
     assert got[2, 0] == ([], []) and got[None, 0] == ([], [])
 
 
+def _card(rng, n, valid):
+    while True:
+        d = "".join(str(rng.randrange(10)) for _ in range(n))
+        if pii_crf._luhn(d) == valid:
+            return d
+
+
+def test_added_spans_precision_and_recall(field):
+    """Lines made from other words and other numbers than the labelled table's."""
+    rng = random.Random(11)
+    words = "river stone maybe seven garden under Tuesday glass write about orange never window".split()
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    made = {
+        "phone": lambda: f"({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}",
+        "secret": lambda: rng.choice([f"AKIA{hexa(16).upper()}", f"password={hexa(18)}", f'"{hexa(40)}"']),
+        "card": lambda: _card(rng, 15, True)}
+    other = [lambda: _card(rng, 16, False), lambda: str(rng.randrange(100_000)), lambda: f"{rng.randrange(9)}.{rng.randrange(9)}",
+             lambda: "WORDS***", lambda: f"20{rng.randrange(10, 30)}-0{rng.randrange(1, 9)}-1{rng.randrange(9)}", lambda: "state-of-the-art"]
+    want, got = set(), set()
+    for i in range(600):
+        line, spans = [], []
+        for _ in range(rng.randint(3, 9)):
+            line.append(rng.choice(words) if rng.random() < 0.8 else rng.choice(other)())
+        kind = rng.choice(list(made))
+        text = made[kind]()
+        at_word = rng.randint(1, len(line))
+        before = " ".join(line[:at_word]) + " "
+        text_line = before + text + rng.choice(["", ",", ".", " "]) + " " + " ".join(line[at_word:])
+        raw = np.frombuffer(text_line.encode(), np.uint8)
+        found = pii_crf.added_spans(field, np.array([0, len(raw)]), raw).get(0, [])
+        want.add((i, kind, len(before), len(before) + len(text)))
+        got |= {(i, k, a, b) for k, a, b in found}
+    hits = len({w for w in want if any(g[:2] == w[:2] and g[2] < w[3] and w[2] < g[3] for g in got)})
+    right = len({g for g in got if any(g[:2] == w[:2] and g[2] < w[3] and w[2] < g[3] for w in want)})
+    print("recall", hits / len(want), "precision", right / len(got), "exact", len(got & want) / len(want))
+    assert hits / len(want) >= 0.9 and right / len(got) >= 0.9
+
+
+def test_neighbouring_spans_stay_apart(field):
+    for line, want in (("paid with 378282246310005 371449635398431 on it", ["378282246310005", "371449635398431"]),
+                       ("ring (212) 555-0187%%% today", ["(212) 555-0187"]), ("order 7536784127813051 4845168114407320 came", [])):
+        raw = np.frombuffer(line.encode(), np.uint8)
+        assert [line[a:b] for _, a, b in pii_crf.added_spans(field, np.array([0, len(raw)]), raw).get(0, [])] == want
+
+
 # 10 GAM
 
 def test_gam_held_out(spark):
