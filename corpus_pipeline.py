@@ -29,9 +29,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs are cut out; a document of which
     nothing is left goes. ``n_chars`` follows the text."""
-    cut = line_dedup.dedup_lines(docs.select(docs["doc_id"], docs["text"], whole_row(docs).alias("row")))
+    others = whole_row(docs, but=("doc_id", "text")).alias("row")
+    cut = line_dedup.dedup_lines(docs.select(docs["doc_id"], docs["text"], others))
     cut = cut.filter("not (n_removed > 0 and text = '')")
-    new = {"text": F.col("text"),
+    new = {"doc_id": F.col("doc_id"), "text": F.col("text"),
            "n_chars": F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("row").getField("n_chars"))}
     return cut.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 

@@ -69,6 +69,13 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
         yield a, b, offsets[a:b + 1] - offsets[a], data[offsets[a]:offsets[b]]
         a = b
+    release()
+
+
+def release() -> None:
+    """Gives back the memory that Arrow keeps of earlier batches: workers live
+    on from stage to stage."""
+    pa.default_memory_pool().release_unused()
 
 
 def word_bounds(offsets: np.ndarray, data: np.ndarray, separator: np.ndarray = SPACE):

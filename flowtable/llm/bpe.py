@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from flowtable.llm.common import with_arrow_column
 
-CACHE = 100_000  # entries of a table, in each of two generations
+CACHE = 80_000  # entries of a table, in each of two generations
 
 
 def splitter(pattern: str):
@@ -105,12 +105,12 @@ class Bpe:
         self.pieces = Table(lambda piece: self.half(piece.encode()), 64)
         self.joins = 0
 
-    def window(self, piece: bytes) -> list[int]:
+    def window(self, piece: bytes) -> tuple[int, ...]:
         """The tokens of the bytes at a border: the lowest-ranked neighbours
         merge, leftmost first, to the end."""
         ranks, n = self.ranks, len(piece)
         if piece in ranks:
-            return [ranks[piece]]
+            return (ranks[piece],)
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts at i
         heap = [(ranks[pair], i, i + 2) for i in range(n - 1) if (pair := piece[i:i + 2]) in ranks]
         heapq.heapify(heap)
@@ -135,9 +135,9 @@ class Bpe:
         while i < n:
             out.append(ranks[piece[i:end[i]]])
             i = end[i]
-        return out
+        return tuple(out)
 
-    def join(self, left: list[int], right: list[int]) -> list[int]:
+    def join(self, left: tuple, right: tuple) -> tuple[int, ...]:
         """The encoding of the concatenation of two encoded byte strings."""
         if not left or not right:
             return left + right
@@ -148,19 +148,19 @@ class Bpe:
             return left + right
         i, j, borders = 1, 1, self.borders  # tokens of each side inside the window
         while True:
-            left_ok = i == len(left) or borders[left[-i - 1], window[0]] == [left[-i - 1], window[0]]
-            right_ok = j == len(right) or borders[window[-1], right[j]] == [window[-1], right[j]]
+            left_ok = i == len(left) or borders[left[-i - 1], window[0]] == (left[-i - 1], window[0])
+            right_ok = j == len(right) or borders[window[-1], right[j]] == (window[-1], right[j])
             if left_ok and right_ok:
                 return left[:len(left) - i] + window + right[j:]
             i = i if left_ok else min(len(left), 2 * i)
             j = j if right_ok else min(len(right), 2 * j)
             window = self.window(b"".join(map(self.bytes_of.__getitem__, left[len(left) - i:] + right[:j])))
 
-    def half(self, piece: bytes) -> list[int]:
+    def half(self, piece: bytes) -> tuple[int, ...]:
         """The encoding of the bytes: of both halves, joined."""
         n = len(piece)
         if n < 2:
-            return [self.ranks[piece]] if piece else []
+            return (self.ranks[piece],) if piece else ()
         mid = 1 << (n - 1).bit_length() - 1
         return self.join(self.halves[piece[:mid]], self.halves[piece[mid:]])
 

@@ -70,9 +70,10 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def whole_row(df: DataFrame):
-    """All columns of ``df`` as one struct, whatever their names."""
-    return F.struct(*[df[f"`{c}`"].alias(c) for c in df.columns])
+def whole_row(df: DataFrame, but: tuple[str, ...] = ()):
+    """The columns of ``df`` (without those in ``but``) as one struct, whatever
+    their names."""
+    return F.struct(*[df[f"`{c}`"].alias(c) for c in df.columns if c not in but])
 
 
 def _keyed_join(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
@@ -111,6 +112,7 @@ def with_arrow_column(df: DataFrame, source: str, name: str, kind: T.DataType, m
                 batch = whole.slice(row, ARROW_ROWS)
                 columns = [batch.column(i) for i, _ in kept]
                 yield pa.RecordBatch.from_arrays([*columns, make(batch.column(at))], names=names)
+            pa.default_memory_pool().release_unused()
 
     # Plain names inside: the call cannot resolve names with dots.
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
