@@ -218,8 +218,11 @@ def unpack(data: bytes):
         at = end
 
 
-def read_archives(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One row per record of the archives at ``paths``."""
+def read_archives(spark: SparkSession, folder: str, manifest: DataFrame | None = None) -> DataFrame:
+    """One row per record of the archives in ``folder``; with the ``manifest``
+    of a write, without archives that it does not name (those of attempts that
+    were lost after they had written). Names are compared in tasks; only such
+    strays, few if any, are sent around."""
     def run(batches):
         for batch in batches:
             for r in range(batch.num_rows):
@@ -234,9 +237,15 @@ def read_archives(spark: SparkSession, paths: list[str]) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=list(_FIELDS))
 
-    if not paths:
+    if manifest is not None and manifest.isEmpty():
         return spark.createDataFrame([], _SCHEMA)
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(run, _SCHEMA)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
+    name = F.substring_index("path", "/", -1)
+    if manifest is not None:
+        known = manifest.select(F.substring_index("path", "/", -1).alias("name"))
+        strays = materialize(files.select("path", name.alias("name")).join(known, "name", "left_anti").select(F.col("path").alias("stray")), "strays")
+        files = files.join(maybe_broadcast(strays), F.col("path") == F.col("stray"), "left_anti")
+    return files.select("path", "content").mapInArrow(run, _SCHEMA)
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:
@@ -254,9 +263,8 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     refers = F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id")), F.col("first"))
     marked = marked.select(F.coalesce(F.col("page_id").cast("string"), F.lit("null")).alias("page_id"), "url", "payload",
                            refers.cast("string").alias("refers_to"))
-    manifest = write_archives(marked, work_path(spark, "archives"))
-    # The manifest has one short row per archive of ARCHIVE_BYTES.
-    records = read_archives(spark, sorted(r.path for r in manifest.select("path").collect()))
+    folder = work_path(spark, "archives")
+    records = read_archives(spark, folder, write_archives(marked, folder))
 
     number = r"^<urn:page:(-?[0-9]+)>$"
     read = records.select(
