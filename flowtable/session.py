@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Largest lookup side (rows) that operators broadcast after checking it.
 BROADCAST_MAX_ROWS = 1_000_000
+# ... and their size as JSON text, an upper bound in practice of what is sent.
+BROADCAST_MAX_BYTES = 64 << 20
 # Sides whose plan statistics already exceed this are not counted at all.
 BROADCAST_MAX_EST_BYTES = 1 << 30
 
@@ -99,13 +101,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Proves that ``df`` has at most ``max_rows`` rows (stops reading after
-    max_rows + 1). Sides the optimizer already estimates as large are refused
-    without reading them, so the check never costs a scan of a big table."""
+    """Proves that ``df`` has at most ``max_rows`` rows and at most
+    ``BROADCAST_MAX_BYTES`` (stops reading after max_rows + 1 rows). Sides the
+    optimizer already estimates as large are refused without reading them, so
+    the check never costs a scan of a big table."""
     est = estimated_bytes(df)
     if est is not None and est > BROADCAST_MAX_EST_BYTES:
         return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).cast("long"))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    return rows <= max_rows and (size or 0) <= BROADCAST_MAX_BYTES
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, check: DataFrame | None = None) -> DataFrame:
