@@ -146,3 +146,60 @@ def test_listing_stream_starts_again_for_another_source(spark):
         listing_stream(spark, f"{base}/manifests", f"{base}/state", f"{base}/out", f"{base}/ckpt").awaitTermination()
     got = sorted((r.as_of_ms, r.name) for r in emitted_so_far(spark, f"{base}/out").collect())
     assert got == [(100, "a"), (200, "b"), (300, "a"), (400, "b")]
+
+
+def test_record_topic_bounds_every_batch_and_survives_a_restart(spark):
+    from flowtable.streaming.records import _RecordReader, record_topic
+
+    base = scratch_path(spark, "t-records")
+    rows = lambda a, b: spark.range(a, b).selectExpr("id", "concat('é', id) as body").coalesce(1)
+    publish(rows(0, 23), f"{base}/topic", records_per_file=7)
+    publish(rows(23, 64), f"{base}/topic")
+    sizes = []
+
+    def drain(more=None):
+        stream = record_topic(spark, f"{base}/topic", "id long, body string", f"{base}/log", max_records_per_trigger=10)
+        q = start_drain(stream, f"{base}/sink", f"{base}/ckpt", "0 seconds")
+        try:
+            q.processAllAvailable()
+            if more is not None:
+                publish(more, f"{base}/topic")
+                q.processAllAvailable()
+        finally:
+            q.stop()
+        sizes.extend(p["numInputRows"] for p in q.recentProgress if p["numInputRows"])
+
+    drain()
+    assert sizes == [10] * 6 + [4]
+    drain(rows(64, 80))  # a restart, then more arrives
+    got = spark.read.parquet(f"{base}/sink").collect()
+    assert sorted((r.id, r.body) for r in got) == [(i, f"é{i}") for i in range(80)]
+    assert max(sizes) == 10 and sum(sizes) == 80
+
+    # A lost batch is planned again from its logged places and reads the same bytes.
+    reader = _RecordReader(f"{base}/topic", f"{base}/log2", 10)
+    start, end = reader.initialOffset(), reader.latestOffset()
+    read = lambda: [v for p in reader.partitions(start, end) for b in reader.read(p) for v in b.column(0).to_pylist()]
+    assert len(read()) == 10 and read() == read()
+    again = _RecordReader(f"{base}/topic", f"{base}/log2", 10)
+    later = again.latestOffset()
+    assert [v for p in again.partitions(end, later) for b in again.read(p) for v in b.column(0).to_pylist()] != read()
+
+
+def test_record_topic_lines_without_an_end(spark, tmp_path):
+    from flowtable.streaming.records import _RecordReader
+
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    for name, text in (("a", "1\n2"), ("b", ""), ("c", "3\n" + "x" * 200_000 + "\n"), ("d", "5"), ("_skip", "no\n")):
+        (topic / name).write_text(text)
+    for most in (1, 2, 3, 100):
+        reader = _RecordReader(str(topic), str(tmp_path / f"log{most}"), most)
+        at, sizes, lines = reader.initialOffset(), [], []
+        while (end := reader.latestOffset()) != at:
+            got = [v for p in reader.partitions(at, end) for b in reader.read(p) for v in b.column(0).to_pylist()]
+            at = end
+            if got:
+                sizes.append(len(got))
+                lines += got
+        assert sorted(map(len, lines)) == [1, 1, 1, 1, 200_000] and max(sizes) <= most and len(sizes) == -(-5 // most)
