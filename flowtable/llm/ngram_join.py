@@ -59,7 +59,7 @@ SHINGLE = 5
 THRESHOLD = (80, 100)
 SHARE = 20  # the first filter asks for n // SHARE common prefix tokens
 SMALL = 64  # classes of a bucket whose pairs are looked up directly
-ROUNDS = 6  # times that large buckets are split by their hubs
+ROUNDS = 4  # times that large buckets are split by their hubs
 
 
 def _overlap(n, num: int, den: int):
@@ -196,6 +196,14 @@ def _open(buckets: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.join(many, rows["key"] == many["k2"]).drop("k2")
 
 
+def _crossing(linked: DataFrame, comps: DataFrame) -> DataFrame:
+    """The links (a, b) of classes with their hubs that join two components."""
+    hubs, own = comps.toDF("n1", "r1"), comps.toDF("n2", "r2")
+    both = linked.join(hubs, F.col("hub") == F.col("n1"), "left").join(own, F.col("class") == F.col("n2"), "left")
+    return both.filter(F.coalesce("r1", "hub") != F.coalesce("r2", "class")) \
+        .select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b"))
+
+
 def _direct(rows: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) across components within the buckets."""
     other = rows.select("key", *[F.col(c).alias(f"{c}2") for c in ("class", "n", "m", "comp", "w", "d")]) \
@@ -305,8 +313,10 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, threshold: tuple[int,
             break
         spokes = materialize(_spokes(large, sets, num, den), "differences")
         buckets = _split(spokes, num, den)
-        links = links.unionAll(spokes.filter("linked").select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")))
-        comps = materialize(components(links), "components")
+        new = materialize(_crossing(spokes.filter("linked"), comps), "new-links")
+        if not new.isEmpty():  # most hubs are those of the first comparison
+            links = links.unionAll(new)
+            comps = materialize(components(links), "components")
     else:
         pairs = pairs.unionAll(_direct(_open(buckets, comps), num, den))
     more = materialize(_verified(pairs.distinct(), sets, orders, num, den).select("a", "b"), "cross-links")
