@@ -103,3 +103,21 @@ def test_transcript_buckets_keep_order(spark):
     two = {r.k: (r.transcript, r.n_parts) for r in assemble_transcript(df, "k", "o", "t", bucket_size=4).collect()}
     assert one == two
     assert one[1][0] == "".join(f"t{i} " for i in range(50))
+
+
+def test_top_k_annotations_query_ranks_every_entry(spark, tmp_path):
+    import duckdb
+
+    from __spark_entry__ import oracle_sql, queries
+    from tests.compare import compare
+
+    rows = [(1, [0.01 * i for i in range(64)]), (2, [-1.0] * 64), (3, [0.2, None, 0.1]), (4, []), (5, None)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    df = queries()["top_k_annotations"](spark, str(tmp_path))
+    n = {}
+    for r in df.collect():
+        n[r.vec_id, r.route] = n.get((r.vec_id, r.route), 0) + 1
+    assert n == {(1, "success"): 20, (2, "success"): 20, (3, "success"): 3, (4, "no detections"): 1, (5, "no detections"): 1}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    compare(df, con, oracle_sql()["top_k_annotations"])
