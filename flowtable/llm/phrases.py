@@ -11,6 +11,7 @@ a run of 1 to ``LONGEST`` words of one piece. Passes over the texts:
 2. Candidates. A phrase is a candidate if its counter and those of both its
    parts one word shorter (and so of all its parts) reach ``least``. Since a
    phrase is never more frequent than its parts, no frequent phrase is lost.
+   A task gives each of its candidates out once, whatever its number of texts.
 3. Counting. The distinct candidates of each language are dealt into shards,
    each a double-array trie over the shard's own word codes, built in a task.
    Tries are broadcast in packs of a bounded size, and the states of all text
@@ -60,6 +61,8 @@ BYTES_A_BUCKET = 64  # text bytes for each counter
 FILTER_BYTES = MAX_BUCKETS * BYTES_A_BUCKET
 SHARD_BYTES = 4 << 20  # candidates in a trie
 PACK_BYTES = 32 << 20  # tries in a broadcast
+DISTINCT_BYTES = 64 << 20  # distinct candidates that a task holds
+DISTINCT_ROWS = 1 << 16  # fewest new ones that are merged with them, most in an output batch
 
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = True
@@ -184,21 +187,62 @@ def _distinct(coded: pa.DictionaryArray, where: np.ndarray, size: int) -> tuple[
     return joined.cast(pa.string()), counts
 
 
-def _candidates(texts: DataFrame, flags: dict[int, np.ndarray]) -> DataFrame:
-    """(lang, phrase): the second step."""
+class _Distinct:
+    """The distinct phrases that a task has found so far. It is emptied when
+    they exceed ``most`` bytes: then some come out again, and none is lost."""
+
+    def __init__(self, most: int):
+        self.most, self.kept, self.new = most, {}, {}
+        self.rows = self.new_rows = 0
+
+    def add(self, lang: str, found: pa.Array):
+        self.new.setdefault(lang, []).append(found)
+        self.new_rows += len(found)
+        if self.new_rows > max(DISTINCT_ROWS, self.rows):
+            self._merge()
+            if sum(a.nbytes for a in self.kept.values()) > self.most:
+                yield from self.rest()
+
+    def _merge(self) -> None:
+        for lang, found in self.new.items():
+            parts = [a.cast(pa.large_string()) for a in found]
+            if lang in self.kept:
+                parts.append(self.kept[lang])
+            self.kept[lang] = pa.concat_arrays(parts).unique()
+        self.rows = sum(map(len, self.kept.values()))
+        self.new, self.new_rows = {}, 0
+
+    def rest(self):
+        self._merge()
+        for lang, found in self.kept.items():
+            for i in range(0, len(found), DISTINCT_ROWS):
+                part = found.slice(i, DISTINCT_ROWS).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), part], names=["lang", "phrase"])
+        self.kept, self.rows = {}, 0
+
+
+def _candidate_rows(texts: DataFrame, flags: dict[int, np.ndarray], most: int = DISTINCT_BYTES) -> DataFrame:
+    """(lang, phrase) of every task's candidates, each once a task: slices
+    share most of them, so rows by slice would grow faster than the input."""
     sent = texts.sparkSession.sparkContext.broadcast(flags)
 
     def run(batches):
+        own = _Distinct(most)
         for batch in batches:
             for lang, words in _by_lang(batch):
                 coded = words.strings()
                 for size, where, _ in words.phrases(_seed(lang), sent.value, LONGEST):
                     if not len(where):
                         break
-                    found, _ = _distinct(coded, where, size)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), found], names=["lang", "phrase"])
+                    yield from own.add(lang, _distinct(coded, where, size)[0])
+        yield from own.rest()
+
+    return texts.mapInArrow(run, "lang string, phrase string")
 
-    return materialize(texts.mapInArrow(run, "lang string, phrase string").distinct(), "phrase-candidates")
+
+def _candidates(texts: DataFrame, flags: dict[int, np.ndarray]) -> DataFrame:
+    """(lang, phrase): the second step."""
+    return materialize(_candidate_rows(texts, flags).distinct(), "phrase-candidates")
 
 
 class Trie:

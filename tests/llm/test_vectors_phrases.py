@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,35 @@ def test_phrases_empty(spark):
     assert phrases.collocations(spark.createDataFrame([(None, None), ("en", "a b")], "lang string, text string")).count() == 0
 
 
+def test_candidates_come_once_a_task(spark):
+    texts = spark.createDataFrame([(lang, f"one two three. {'x' * (i % 7 + 1)}") for i in range(60) for lang in ("en", "de")],
+                                  "lang string, text string").coalesce(1)
+    flags = {size: np.full(8192, 255, dtype=np.uint8) for size in range(1, 6)}  # every phrase passes
+    want = {(lang, p) for lang in ("en", "de") for p in ["one", "two", "three", "one two", "two three", "one two three",
+                                                         *("x" * i for i in range(1, 8))]}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rows = [tuple(r) for r in phrases._candidate_rows(texts, flags).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(rows) == len(want) and set(rows) == want
+
+
+def test_held_candidates_are_bounded_and_none_is_lost():
+    own, out, most = phrases._Distinct(1 << 20), [], 0
+    for i in range(120):
+        found = pa.array([f"w{i % 50} {j}" for j in range(2000)])
+        for batch in own.add("en" if i % 2 else "de", found):
+            out += zip(*batch.to_pydict().values())
+        most = max(most, own.rows + own.new_rows)
+    for batch in own.rest():
+        out += zip(*batch.to_pydict().values())
+    want = {("en" if i % 2 else "de", f"w{i % 50} {j}") for i in range(120) for j in range(2000)}
+    assert set(out) == want and most < 220_000
+    assert not own.kept and not own.new
+
+
 def test_trie_finds_exactly_its_phrases():
     rng = random.Random(3)
     for _ in range(30):
