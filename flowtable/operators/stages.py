@@ -1,12 +1,13 @@
 """Pluggable Python stages: a user's batch function or a model with a
-load-once set-up, run with ``mapInPandas`` (Arrow batches, one loader per
-task). A failing row routes ``failure``; it never fails the task."""
+load-once set-up, run with ``mapInPandas`` (pieces of Arrow batches, one loader
+per task). A failing row routes ``failure``; it never fails the task."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -15,6 +16,10 @@ from flowtable.session import spread
 ROUTE_FIELDS = [T.StructField("exit_code", T.IntegerType()), T.StructField("route", T.StringType()),
                 T.StructField("error", T.StringType())]
 
+# Rows of a function's or a model's call: what it makes of them on the way is
+# several times their size, and an Arrow batch holds up to 10,000 rows.
+PIECE_ROWS = 1024
+
 
 def _schema(keep: Sequence[T.StructField], out_schema: T.StructType) -> T.StructType:
     return T.StructType(list(keep) + list(out_schema.fields) + ROUTE_FIELDS)
@@ -40,6 +45,16 @@ def _run(fn, pdf: pd.DataFrame, out_names: list[str], no_result: bool) -> list[p
         return _run(fn, pdf.iloc[:half], out_names, no_result) + _run(fn, pdf.iloc[half:], out_names, no_result)
 
 
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches in pieces of at most ``PIECE_ROWS`` rows. A batch is let go
+    before the next one is read, and Arrow's memory goes back."""
+    for pdf in batches:
+        for a in range(0, len(pdf), PIECE_ROWS):
+            yield pdf.iloc[a:a + PIECE_ROWS].reset_index(drop=True)
+        del pdf
+        pa.default_memory_pool().release_unused()
+
+
 def _apply(fn, pdf: pd.DataFrame, keep: list[str], out_names: list[str], no_result: bool) -> pd.DataFrame:
     parts = _run(fn, pdf, out_names, no_result)
     if not parts:
@@ -51,7 +66,8 @@ def _apply(fn, pdf: pd.DataFrame, keep: list[str], out_names: list[str], no_resu
 
 def python_stage(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], out_schema: T.StructType | str,
                  keep: Sequence[str] = ()) -> DataFrame:
-    """Run ``fn(batch) -> batch`` (row-aligned) over Arrow batches.
+    """Run ``fn(batch) -> batch`` (row-aligned) over batches of at most
+    ``PIECE_ROWS`` rows.
 
     Output: ``keep`` columns, ``out_schema`` columns, exit_code, route, error.
     A batch that raises is halved until the failing rows stand alone; they get
@@ -63,7 +79,7 @@ def python_stage(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], out_
     out_names = out_schema.fieldNames()
 
     def run(batches):
-        for pdf in batches:
+        for pdf in _pieces(batches):
             yield _apply(fn, pdf, keep, out_names, no_result=False)
 
     return spread(df, heavy=True).mapInPandas(run, _schema(keep_fields, out_schema))
@@ -75,8 +91,8 @@ def model_batch_job(df: DataFrame, loader: Callable[[], object],
     """Per-record model call with load-once set-up.
 
     ``loader()`` runs once per task (in the iterator's prologue), then
-    ``predict(model, batch)`` per Arrow batch (row-aligned). Rows whose outputs
-    are all null route ``no results``; rows that raise route ``failure``.
+    ``predict(model, batch)`` per batch of at most ``PIECE_ROWS`` rows
+    (row-aligned). Rows whose outputs are all null route ``no results``; rows that raise route ``failure``.
     """
     out_schema = T._parse_datatype_string(out_schema) if isinstance(out_schema, str) else out_schema
     keep = list(keep)
@@ -86,7 +102,7 @@ def model_batch_job(df: DataFrame, loader: Callable[[], object],
     def run(batches):
         model = loader()
         fn = lambda pdf: predict(model, pdf)
-        for pdf in batches:
+        for pdf in _pieces(batches):
             yield _apply(fn, pdf, keep, out_names, no_result=True)
 
     return spread(df, heavy=True).mapInPandas(run, _schema(keep_fields, out_schema))

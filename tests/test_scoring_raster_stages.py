@@ -85,6 +85,20 @@ def test_model_batch_job_routes(spark):
     assert got == {1: ("animal:cat", "success"), 2: (None, "no results"), 3: (None, "failure")}
 
 
+def test_stages_take_batches_of_bounded_rows(spark):
+    from flowtable.operators.stages import PIECE_ROWS
+
+    def fn(pdf):
+        return pd.DataFrame({"n": [len(pdf)] * len(pdf), "at": pdf.index})
+
+    df = spark.range(20_000)
+    for out in (python_stage(df, fn, "n long, at long", keep=["id"]),
+                model_batch_job(df, lambda: None, lambda model, pdf: fn(pdf), "n long, at long", keep=["id"])):
+        rows = out.collect()
+        assert sorted(r.id for r in rows) == list(range(20_000))
+        assert max(r.n for r in rows) == PIECE_ROWS and all(r["at"] < r.n for r in rows)
+
+
 def test_sentiment_join_path_matches_inline_path(spark, monkeypatch):
     import flowtable.operators.scoring as scoring
 
