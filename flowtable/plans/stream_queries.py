@@ -15,8 +15,8 @@ from flowtable.sources.archives import first_value_per_archive, write_zip_archiv
 from flowtable.sources.tables import load
 from flowtable.streaming.delay import delay_stream
 from flowtable.streaming.listing import announce, emitted_so_far, listing_stream
-from flowtable.streaming.records import record_topic
-from flowtable.streaming.topic import drain_available, publish, start_drain, topic_drain
+from flowtable.streaming.records import drain_records
+from flowtable.streaming.topic import drain_available, publish, topic_drain
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -35,17 +35,11 @@ SUPPLIER_SCHEMA = "s_suppkey bigint, s_name string, s_nationkey bigint"
 @query("topic_records", oracle="SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey FROM supplier")
 def q_topic_records(spark, sf_dir):
     """Suppliers as a topic of uneven files, a bounded number of records a
-    trigger, whatever the files hold."""
+    trigger, whatever the files hold; lanes of files are drained side by side."""
     base = scratch_path(spark, "records")
     publish(load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").cast("long").alias("s_nationkey")),
             f"{base}/topic", records_per_file=137)
-    stream = record_topic(spark, f"{base}/topic", SUPPLIER_SCHEMA, f"{base}/log", max_records_per_trigger=100)
-    q = start_drain(stream, f"{base}/sink", f"{base}/checkpoint", "0 seconds")
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    return spark.read.schema(SUPPLIER_SCHEMA).parquet(f"{base}/sink")
+    return drain_records(spark, f"{base}/topic", SUPPLIER_SCHEMA, base, max_records_per_trigger=100)
 
 
 GATE_DELAY_MS = 24 * 3600 * 1000

@@ -3,6 +3,9 @@
 import datetime as dt
 import time
 
+import pytest
+from pyspark.sql import functions as F
+
 from flowtable.operators.listing import FILES_SCHEMA
 from flowtable.session import scratch_path
 from flowtable.streaming.delay import delay_stream
@@ -203,3 +206,58 @@ def test_record_topic_lines_without_an_end(spark, tmp_path):
                 sizes.append(len(got))
                 lines += got
         assert sorted(map(len, lines)) == [1, 1, 1, 1, 200_000] and max(sizes) <= most and len(sizes) == -(-5 // most)
+
+
+def test_record_topic_backlog_is_listed_once_and_small_ranges_share_a_task(tmp_path, monkeypatch):
+    from flowtable.streaming import records
+
+    topic, log = tmp_path / "topic", tmp_path / "log"
+    topic.mkdir()
+    for i in range(6):
+        (topic / f"a{i}").write_text(f"{i}\n{i}\n")
+    reader = records._RecordReader(str(topic), str(log), 5)
+    asked = []
+    real = records.fs.FileSelector
+    monkeypatch.setattr(records.fs, "FileSelector", lambda path, **kw: (asked.append(path), real(path, **kw))[1])
+    at, lines, tasks = reader.initialOffset(), [], []
+    for step in range(4):
+        if (end := reader.latestOffset()) == at:
+            break
+        parts = reader.partitions(at, end)
+        lines += [v for p in parts for b in reader.read(p) for v in b.column(0).to_pylist()]
+        tasks.append(len(parts))
+        at = end
+        if step == 0:  # found when the backlog is drained, in the trigger that has room for it
+            (topic / "b").write_text("6\n")
+    assert lines == [c for i in range(6) for c in (str(i), str(i))] + ["6"]
+    assert tasks == [1, 1, 1]
+    # at the start, twice in the trigger that reaches the end (the first finds b), and with nothing left to read
+    assert [str(topic)] * 4 == [p for p in asked if p == str(topic)]
+
+    monkeypatch.setattr(records, "_TASK_BYTES", 5)
+    wide = records._RecordReader(str(topic), str(tmp_path / "log2"), 100)
+    start, end = wide.initialOffset(), wide.latestOffset()
+    parts = wide.partitions(start, end)
+    assert [len(p.parts) for p in parts] == [1] * 7
+    assert [v for p in parts for b in wide.read(p) for v in b.column(0).to_pylist()] == lines
+
+
+def test_drain_records_lanes_take_each_file_once(spark):
+    from flowtable.streaming.records import _RecordReader, drain_records
+
+    base = scratch_path(spark, "t-lanes")
+    rows = spark.range(0, 60).selectExpr("id", "concat('é', id) as body").coalesce(1)
+    publish(rows, f"{base}/topic", records_per_file=7)
+    for lanes in (3, 16):  # 9 files: of 16 lanes some have none
+        run = scratch_path(spark, "t-lanes-run")
+        got = drain_records(spark, f"{base}/topic", "id long, body string", run, max_records_per_trigger=5, lanes=lanes)
+        assert sorted((r.id, r.body) for r in got.collect()) == [(i, f"é{i}") for i in range(60)]
+        sizes = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
+        assert max(sizes) == 5  # a trigger's small ranges are one task, so one file of a sink is one trigger
+
+    reader = _RecordReader(f"{base}/topic", f"{base}/log", 5, 1, 3)
+    end = reader.latestOffset()
+    again = _RecordReader(f"{base}/topic", f"{base}/log", 5, 1, 3)
+    assert again.partitions(again.initialOffset(), end) == reader.partitions(reader.initialOffset(), end)
+    with pytest.raises(ValueError, match="lane 1 of 3"):
+        _RecordReader(f"{base}/topic", f"{base}/log", 5, 1, 4).latestOffset()
