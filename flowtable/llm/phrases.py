@@ -3,13 +3,16 @@
 Words are cut inside pieces (runs without ``[.,;:!?\\x0A-\\x0D]``); a phrase is
 a run of 1 to ``LONGEST`` words of one piece. Passes over the texts:
 
-1. Filter. Words and pairs of words are hashed into tables of small saturating
-   counters, one for each length, and the tables of all tasks are added up; a
-   second pass does the same for the phrases of 3 and more words whose pairs
-   may all be frequent. A phrase whose counter stays below ``least`` occurs
-   less often than that.
-2. Candidates. A phrase is a candidate if its counter and those of both its
-   parts one word shorter (and so of all its parts) reach ``least``. Since a
+1. Filter. Words and pairs of words are hashed, and small saturating counters
+   of the hashes are added up. The hashes are dealt into lanes, as many as the
+   input needs, and a task adds up a lane, so that no counters are shared by
+   more phrases when the input grows; a task that reads texts counts what it
+   holds before it gives it out. A second pass does the same for the phrases
+   of 3 and more words whose pairs may all be frequent. The hashes that reach
+   ``least`` set two bits each in a table for their length, which is sent to
+   all tasks. A phrase without both its bits occurs less often than that.
+2. Candidates. A phrase is a candidate if it has its bits, and so have both
+   its parts one word shorter (and so all its parts). Since a
    phrase is never more frequent than its parts, no frequent phrase is lost.
    A task gives each of its candidates out once, whatever its number of texts.
 3. Counting. The distinct candidates of each language are dealt into shards,
@@ -19,12 +22,9 @@ a run of 1 to ``LONGEST`` words of one piece. Passes over the texts:
    states are counted per task with ``bincount`` and summed.
 
 Counts are exact whatever the hashes do: words are compared as strings when a
-trie gives them codes. Passes run in as many tasks as the cluster has cores, so
-that one table, or one vector of counts, serves all texts that a core reads.
-The counter tables grow with the input up to
-``MAX_BUCKETS`` a length. Inputs of more than ``FILTER_BYTES`` would only fill
-them, and the candidates would be nearly all phrases; they are counted by a
-plain shuffle on the phrase instead, with the same result.
+trie gives them codes. Steps 2 and 3 run in as many tasks as the cluster has
+cores, so that one set of candidates, or one vector of counts, serves all texts
+that a core reads. All inputs go this way, whatever their size and ``least``.
 
 Per language: n counts all words, f(phrase) all occurrences, overlaps
 included. A candidate of 2 or more words with a = f >= ``least`` is cut after
@@ -55,12 +55,13 @@ from flowtable.session import cluster_cores
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-CHUNK = 1 << 16  # counters in a row of the filter
-MIN_BUCKETS, MAX_BUCKETS = CHUNK, 1 << 25
-BYTES_A_BUCKET = 64  # text bytes for each counter
-FILTER_BYTES = MAX_BUCKETS * BYTES_A_BUCKET
+LANE_BYTES = 16 << 20  # text bytes for each lane of the filter
+FILTER_BYTES = 8 << 20  # hashes of a length that a task holds before it gives them out
+KEY = np.uint64((1 << 32) - 1)  # the part of a hash that is counted in its lane
+MIN_BITS, MAX_BITS = 1 << 16, 1 << 28  # of the table of a length
+BITS_A_KEY = 64
 SHARD_BYTES = 4 << 20  # candidates in a trie
-PACK_BYTES = 32 << 20  # tries in a broadcast
+PACK_BYTES = 48 << 20  # tries in a broadcast
 DISTINCT_BYTES = 64 << 20  # distinct candidates that a task holds
 DISTINCT_ROWS = 1 << 16  # fewest new ones that are merged with them, most in an output batch
 
@@ -70,6 +71,25 @@ _SEPARATOR = _BREAK.copy()
 _SEPARATOR[[0x20, 0x09]] = True
 
 
+def _slots(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each hash in a table of ``bits``."""
+    last, key = np.uint64(bits - 1), h & KEY
+    return (key & last).astype(np.int64), (at.mix(key) & last).astype(np.int64)
+
+
+def _marked(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes have both their bits set."""
+    ok = np.ones(len(h), dtype=bool)
+    for slot in _slots(h, 8 * len(table)):
+        ok &= (table[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+    return ok
+
+
+def _mark(table: np.ndarray, h: np.ndarray) -> None:
+    for slot in _slots(h, 8 * len(table)):
+        np.bitwise_or.at(table, slot >> 3, (128 >> (slot & 7)).astype(np.uint8))
+
+
 class Words:
     """The words of a slice of texts: byte ranges, rows, and whether the next
     word follows in the same piece."""
@@ -100,8 +120,7 @@ class Words:
                 h, where = h[ok], where[ok]
                 h = at.mix(h * np.uint64(0x9E3779B97F4A7C15) + words[where + size - 1])
             if size in flags:
-                slot = (h & np.uint64(8 * len(flags[size]) - 1)).astype(np.int64)
-                ok = (flags[size][slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+                ok = _marked(flags[size], h)
                 h, where = h[ok], where[ok]
             yield size, where, h
 
@@ -124,53 +143,88 @@ def _texts(docs: DataFrame) -> DataFrame:
         .filter("text is not null and text <> ''")
 
 
-_FILTER = "size int, chunk int, lang string, n long, counts binary"
-
-
-def _filter(texts: DataFrame, least: int, buckets: int, sizes: list[int], known: dict[int, np.ndarray]):
-    """(n per lang, {length: bits of the counters that reach ``least``})."""
+def _lane_rows(texts: DataFrame, most: int, lanes: int, sizes: list[int], known: dict[int, np.ndarray], held: int) -> DataFrame:
+    """The hashes of each length by lane with their counts, each once for what
+    a task holds; and (size and lane 0) the number of words of each language."""
     sent = texts.sparkSession.sparkContext.broadcast(known)
+    kind = np.uint8 if most < 256 else np.uint32
+
+    def give(size, found):
+        h = np.concatenate(found)
+        found.clear()
+        h.sort()
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        counts = np.minimum(np.diff(first, append=len(h)), most).astype(kind)
+        h = h[first]
+        border = np.searchsorted(h, np.arange(lanes, dtype=np.uint64) << np.uint64(32))
+        border = np.append(border, len(h))
+        h = (h & KEY).astype(np.uint32)
+        binary = lambda x: pa.Array.from_buffers(
+            pa.binary(), lanes, [None, pa.py_buffer((border * x.itemsize).astype(np.int32)), pa.py_buffer(x)])
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([size] * lanes, pa.int32()), pa.array(np.arange(lanes), pa.int32()), pa.nulls(lanes, pa.string()),
+             pa.nulls(lanes, pa.int64()), binary(h), binary(counts)], names=["size", "lane", "lang", "n", "keys", "counts"])
+        return batch.filter(pa.array(np.diff(border) > 0))
 
     def run(batches):
-        tables = {size: np.zeros(buckets, dtype=np.uint8) for size in sizes}
+        own = {size: [] for size in sizes}
+        room = {size: held for size in sizes}
         n: dict[str, int] = {}
         for batch in batches:
             for lang, words in _by_lang(batch):
                 n[lang] = n.get(lang, 0) + len(words.starts)
                 for size, _, h in words.phrases(_seed(lang), sent.value, sizes[-1]):
-                    if size in tables and len(h):
-                        table = tables[size]
-                        slot, count = np.unique(h & np.uint64(buckets - 1), return_counts=True)
-                        slot = slot.astype(np.int64)
-                        table[slot] = np.minimum(least, table[slot] + np.minimum(count, least)).astype(np.uint8)
+                    if size in own and len(h):
+                        own[size].append(h & np.uint64((lanes << 32) - 1))
+                        room[size] -= h.nbytes
+                        if room[size] < 0:
+                            yield give(size, own[size])
+                            room[size] = held
+        for size, found in own.items():
+            if found:
+                yield give(size, found)
+        m = len(n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([0] * m, pa.int32()), pa.array([0] * m, pa.int32()), pa.array(list(n), pa.string()),
+             pa.array(list(n.values()), pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())],
+            names=["size", "lane", "lang", "n", "keys", "counts"])
 
-        def rows(size, chunks, langs, counts, tables):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(size, pa.int32()), pa.array(chunks, pa.int32()), pa.array(langs, pa.string()),
-                 pa.array(counts, pa.int64()), pa.array(tables, pa.binary())], names=["size", "chunk", "lang", "n", "counts"])
+    return texts.mapInArrow(run, "size int, lane int, lang string, n long, keys binary, counts binary")
 
-        m = len(n)
-        yield rows([0] * m, [0] * m, list(n), list(n.values()), [None] * m)
-        for size, table in tables.items():
-            for c in range(buckets // CHUNK):
-                part = table[c * CHUNK:(c + 1) * CHUNK]
-                if part.any():
-                    yield rows([size], [c], [None], [None], [part.tobytes()])
 
-    made = materialize(texts.mapInArrow(run, _FILTER), "phrase-filter")
+def _filter(texts: DataFrame, least: int, lanes: int, sizes: list[int], known: dict[int, np.ndarray], held: int):
+    """(n per lang, {length: bits of the hashes that reach ``least``})."""
+    most = min(max(least, 1), int(KEY))
+    kind = np.uint8 if most < 256 else np.uint32
 
     def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(CHUNK, dtype=np.int64)
-        for value in table.column("counts"):
-            total += np.frombuffer(value.as_buffer(), np.uint8)
-        return pa.table([table.column("size").slice(0, 1), table.column("chunk").slice(0, 1),
-                         pa.array([np.packbits(total >= least).tobytes()], pa.binary())], names=["size", "chunk", "bits"])
-
-    found = {size: np.zeros(buckets // 8, dtype=np.uint8) for size in sizes}  # at most MAX_BUCKETS / 8 bytes a length
-    for r in made.filter("size > 0").select("size", "chunk", "counts").groupBy("size", "chunk").applyInArrow(
-            add, "size int, chunk int, bits binary").toLocalIterator():
-        found[r["size"]][r.chunk * CHUNK // 8:(r.chunk + 1) * CHUNK // 8] = np.frombuffer(r.bits, np.uint8)
-    return made.filter("size = 0").groupBy("lang").agg(F.sum("n").alias("n")), found
+        size = table.column("size")[0].as_py()
+        if not size:
+            n = table.group_by("lang").aggregate([("n", "sum")])
+            return pa.table([pa.array([0] * len(n), pa.int32()), n.column("lang"), n.column("n_sum"), pa.nulls(len(n), pa.binary())],
+                            names=["size", "lang", "n", "keys"])
+        keys, counts = (np.concatenate([np.frombuffer(v.as_buffer(), of) for v in table.column(name)])
+                        for name, of in (("keys", np.uint32), ("counts", kind)))
+        at.release()
+        both = keys.astype(np.uint64)
+        both <<= np.uint64(32)
+        both |= counts
+        both.sort()
+        key = both >> np.uint64(32)
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        key = key[first][np.add.reduceat(both & KEY, first) >= most]
+        return pa.table([pa.array([size], pa.int32()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()),
+                         pa.array([key.astype(np.uint32).tobytes()], pa.binary())], names=["size", "lang", "n", "keys"])
+
+    made = materialize(_lane_rows(texts, most, lanes, sizes, known, held).groupBy("size", "lane").applyInArrow(
+        add, "size int, lang string, n long, keys binary"), "phrase-filter")
+    keys = made.filter("size > 0")
+    flags = {size: np.zeros(MIN_BITS // 8, dtype=np.uint8) for size in sizes}
+    for r in keys.groupBy("size").agg((F.sum(F.length("keys")) / 4).cast("long").alias("keys")).collect():
+        flags[r["size"]] = np.zeros(min(MAX_BITS, max(MIN_BITS, 1 << (BITS_A_KEY * r["keys"]).bit_length())) // 8, dtype=np.uint8)
+    for r in keys.select("size", "keys").toLocalIterator():
+        _mark(flags[r["size"]], np.frombuffer(r["keys"], np.uint32).astype(np.uint64))
+    return made.filter("size = 0").select("lang", "n"), flags
 
 
 def _distinct(coded: pa.DictionaryArray, where: np.ndarray, size: int) -> tuple[pa.Array, np.ndarray]:
@@ -314,10 +368,11 @@ class Trie:
             free = np.flatnonzero(~used[low:low + 4096]) + low
             bases = free - codes[0]
             bases = bases[bases + codes[-1] < len(used)]
-            if len(bases):
-                fits = ~used[bases[:, None] + codes].any(axis=1)
-                if fits.any():
-                    return int(bases[np.argmax(fits)])
+            for c in codes[1:17]:  # a few children rule out most bases
+                bases = bases[~used[bases + c]]
+            for b in bases.tolist():
+                if not used[b + codes].any():
+                    return b
             low += 4096
             if low + codes[-1] >= len(used):
                 return len(used)  # the caller makes room
@@ -326,23 +381,25 @@ class Trie:
         to = self.base[state] + codes
         return np.where((self.check[to] == state) & (codes > 0), to, self.dead)
 
-    def count(self, words: Words, coded: pa.DictionaryArray, totals: np.ndarray) -> None:
-        """Adds the occurrences of all phrases to ``totals``, by state."""
-        known = pc.index_in(coded.dictionary, pa.array(self.words, coded.dictionary.type))
-        codes = pc.fill_null(pc.add(known, 1), 0).to_numpy()[coded.indices.to_numpy()]
-        where = np.arange(len(codes))
-        state = np.zeros(len(codes), dtype=np.int64)
-        for size in range(1, LONGEST + 1):
-            state = self.step(state, codes[where + size - 1])
-            alive = state != self.dead
-            where, state = where[alive], state[alive]
-            totals += np.bincount(state, minlength=len(totals))
-            more = where < len(codes) - size
+    def count(self, words: Words, codes: np.ndarray, indices: np.ndarray, totals: np.ndarray) -> None:
+        """Adds the occurrences of all phrases to ``totals``, by state; the
+        word at position i has the trie's code ``codes[indices[i]]``."""
+        first = self.step(np.zeros(len(codes), dtype=np.int64), codes)  # once a distinct word
+        where = np.flatnonzero((first != self.dead)[indices])
+        state = first[indices[where]]
+        seen = [state]
+        for size in range(2, LONGEST + 1):
+            more = where < len(indices) - size + 1
             where, state = where[more], state[more]
-            goes = words.follows[where + size - 1]
+            goes = words.follows[where + size - 2]
             where, state = where[goes], state[goes]
+            state = self.step(state, codes[indices[where + size - 1]])
+            alive = state != self.dead
+            where, state = where[alive], state[alive]
             if not len(where):
-                return
+                break
+            seen.append(state)
+        totals += np.bincount(np.concatenate(seen), minlength=len(totals))
 
 
 def _tries(candidates: DataFrame, shard_bytes: int) -> DataFrame:
@@ -366,6 +423,17 @@ def _tries(candidates: DataFrame, shard_bytes: int) -> DataFrame:
         build, "lang string, shard long, phrase string, slot long, trie binary"), "tries")
 
 
+def _pack(rows) -> tuple[list[str], dict[tuple[str, int], Trie]]:
+    """(the words of all tries, the tries by language and shard); a trie's
+    words are numbered from 1 as they stand in the first."""
+    tries = {(r.lang, r.shard): pickle.loads(bytes(r.trie)) for r in rows}
+    names = sorted({w for t in tries.values() for w in t.words})
+    number = {w: i + 1 for i, w in enumerate(names)}
+    for t in tries.values():
+        t.words = np.array([number[w] for w in t.words], dtype=np.int32)
+    return names, tries
+
+
 def _trie_counts(texts: DataFrame, tries: DataFrame, pack_bytes: int) -> DataFrame:
     """(lang, phrase, f) of all candidates: the third pass, once per pack."""
     made = tries.filter("trie is not null").select("lang", "shard", "trie")
@@ -383,20 +451,26 @@ def _trie_counts(texts: DataFrame, tries: DataFrame, pack_bytes: int) -> DataFra
         inside = F.lit(False)
         for lang, shard in pack:
             inside = inside | ((F.col("lang") == lang) & (F.col("shard") == shard))
-        blobs = {(r.lang, r.shard): bytes(r.trie) for r in made.filter(inside).collect()}
-        sent = texts.sparkSession.sparkContext.broadcast(blobs)
+        sent = texts.sparkSession.sparkContext.broadcast(_pack(made.filter(inside).toLocalIterator()))
 
         def run(batches, sent=sent):
-            own = {k: pickle.loads(v) for k, v in sent.value.items()}
-            totals = {k: np.zeros(len(t.base), dtype=np.int64) for k, t in own.items()}
+            names, own = sent.value
+            known = {w: i + 1 for i, w in enumerate(names)}
+            codes, totals = {}, {}
+            for k, trie in own.items():
+                codes[k] = np.zeros(len(names) + 1, dtype=np.int32)
+                codes[k][trie.words] = np.arange(1, len(trie.words) + 1)
+                totals[k] = np.zeros(len(trie.base), dtype=np.int64)
             for batch in batches:
                 for lang, words in _by_lang(batch):
                     if not len(words.starts):
                         continue
                     coded = words.strings()
+                    names_here = np.array([known.get(w, 0) for w in coded.dictionary.to_pylist()], dtype=np.int64)
+                    indices = coded.indices.to_numpy()
                     for (l, s), trie in own.items():  # noqa: E741
                         if l == lang:
-                            trie.count(words, coded, totals[l, s])
+                            trie.count(words, codes[l, s][names_here], indices, totals[l, s])
             for (lang, shard), total in totals.items():
                 slot = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays(
@@ -415,43 +489,17 @@ def _trie_counts(texts: DataFrame, tries: DataFrame, pack_bytes: int) -> DataFra
         .select("lang", "phrase", "f")
 
 
-def _shuffle_counts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(n per lang, f per lang and phrase) by a plain shuffle."""
-    def run(batches):
-        for batch in batches:
-            for lang, words in _by_lang(batch):
-                coded = words.strings()
-                where = np.arange(len(words.starts))
-                for size in range(1, LONGEST + 1):
-                    if size > 1:
-                        where = where[where < len(words.starts) - size + 1]
-                        where = where[words.follows[where + size - 2]]
-                    if not len(where):
-                        break
-                    joined, count = _distinct(coded, where, size)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(count), pa.string()), joined, pa.array([size] * len(count), pa.int32()),
-                         pa.array(count, pa.int64())], names=["lang", "phrase", "size", "c"])
-
-    made = texts.mapInArrow(run, "lang string, phrase string, size int, c long").groupBy("lang", "phrase", "size").agg(F.sum("c").alias("f"))
-    made = materialize(made, "phrase-counts")
-    return made.filter("size = 1").groupBy("lang").agg(F.sum("f").alias("n")), made.select("lang", "phrase", "f")
-
-
 def phrase_counts(docs: DataFrame, least: int = LEAST, shard_bytes: int = SHARD_BYTES, pack_bytes: int = PACK_BYTES,
                   filter_bytes: int = FILTER_BYTES) -> tuple[DataFrame, DataFrame]:
     """(lang, n) and (lang, phrase, f): all phrases with f >= ``least``."""
     texts = _texts(docs)
     size = texts.agg(F.sum(F.octet_length("text").cast("long")).alias("b")).first()["b"] or 0
-    if size > filter_bytes or not 1 <= least <= 255:
-        sizes, counts = _shuffle_counts(texts)
-    else:
-        texts = texts.coalesce(cluster_cores(docs.sparkSession))
-        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, 1 << (size // BYTES_A_BUCKET).bit_length()))
-        sizes, flags = _filter(texts, least, buckets, [1, 2], {})
-        flags |= _filter(texts, least, max(MIN_BUCKETS, buckets // 4), list(range(3, LONGEST + 1)), flags)[1]
-        tries = _tries(_candidates(texts, flags), shard_bytes)
-        counts = _trie_counts(texts, tries, pack_bytes)
+    lanes = 1 << (size // LANE_BYTES).bit_length()
+    sizes, flags = _filter(texts, least, lanes, [1, 2], {}, filter_bytes)
+    flags |= _filter(texts, least, lanes, list(range(3, LONGEST + 1)), flags, filter_bytes)[1]
+    texts = texts.coalesce(cluster_cores(docs.sparkSession))
+    tries = _tries(_candidates(texts, flags), shard_bytes)
+    counts = _trie_counts(texts, tries, pack_bytes)
     return sizes, materialize(counts.filter(F.col("f") >= least), "frequent-phrases")
 
 

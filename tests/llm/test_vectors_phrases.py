@@ -131,6 +131,44 @@ def test_phrases_empty(spark):
     assert phrases.collocations(spark.createDataFrame([(None, None), ("en", "a b")], "lang string, text string")).count() == 0
 
 
+def rare_and_common(least):
+    """Texts of words that occur once, and of two phrases ``least`` and ``least`` - 1 times."""
+    rare = [("en", " ".join(f"w{i}x{j}" for j in range(50))) for i in range(80)]
+    return rare + [("en", "often said here")] * least + [("de", "nearly said here")] * (least - 1) + [(None, "often said")]
+
+
+def test_large_inputs_give_out_no_rare_phrases(spark, monkeypatch):
+    rows, kept = {}, phrases.materialize
+    def counted(df, name):
+        out = kept(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+    monkeypatch.setattr(phrases, "materialize", counted)
+    monkeypatch.setattr(phrases, "LANE_BYTES", 1000, raising=False)
+    df = spark.createDataFrame(rare_and_common(20), "lang string, text string").repartition(4)
+    n, found = phrases.phrase_counts(df, least=20, filter_bytes=0)  # of more bytes than a task may hold
+    assert {(r.lang, r.phrase): r.f for r in found.collect()} == {
+        ("en", p): 20 for p in ["often", "said", "here", "often said", "said here", "often said here"]}
+    assert {r.lang: r.n for r in n.collect()} == {"en": 4060, "de": 57, "und": 2}
+    assert rows.get("phrase-candidates", 0) < 30 and sum(v for k, v in rows.items() if k != "phrase-filter") < 100
+
+
+@pytest.mark.parametrize("least, lanes, held", [(8, 1, 1 << 20), (8, 16, 0), (300, 4, 2000)])
+def test_filter_marks_what_reaches_the_least(spark, least, lanes, held):
+    texts = phrases._texts(spark.createDataFrame(rare_and_common(least), "lang string, text string").repartition(5))
+    n, flags = phrases._filter(texts, least, lanes, [1, 2], {}, held)
+    assert {r.lang: r.n for r in n.collect()} == {"en": 4000 + 3 * least, "de": 3 * least - 3, "und": 2}
+    marked = {1: 0, 2: 0}
+    for lang, text in set(rare_and_common(least)):
+        words = phrases.Words(np.array([0, len(text)]), np.frombuffer(text.encode(), np.uint8))
+        for size, _, h in words.phrases(phrases._seed(lang or "und"), {}, 2):
+            found = phrases._marked(flags[size], h)
+            assert found.all() or text != "often said here" or lang != "en"
+            assert text != "nearly said here" or not found.any()
+            marked[size] += found.sum()
+    assert marked == {1: 3, 2: 2}
+
+
 def test_candidates_come_once_a_task(spark):
     texts = spark.createDataFrame([(lang, f"one two three. {'x' * (i % 7 + 1)}") for i in range(60) for lang in ("en", "de")],
                                   "lang string, text string").coalesce(1)
